@@ -127,6 +127,136 @@ def q_summary_totals(spark, sf_dir):
     return out.select("total_records", F.round("avg_completeness", 9).alias("avg_completeness"))
 
 
+# --------------------------------------------------------------------------- profiles
+
+def _union_sql(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def _null_profile_sql(source_sql: str, cols: tuple[str, ...], alias: str = "src") -> str:
+    sums = ", ".join(f"sum(CASE WHEN {_missing_sql(c)} THEN 1 ELSE 0 END) AS m{i}" for i, c in enumerate(cols))
+    parts = [f"SELECT '{c}' AS \"column\", CAST(coalesce(m{i}, 0) AS BIGINT) AS null_count, "
+             f"CASE WHEN n = 0 THEN 0.0 ELSE CAST(coalesce(m{i}, 0) AS DOUBLE) / n END AS null_ratio FROM t"
+             for i, c in enumerate(cols)]
+    return f"WITH {alias} AS ({source_sql}), t AS (SELECT count(*) AS n, {sums} FROM {alias})\n" + _union_sql(parts)
+
+
+@register("null_profile", _null_profile_sql(FX2_SQL, _ALL_FX2))
+def q_null_profile(spark, sf_dir):
+    return pr.null_profile(fx2(spark, sf_dir))
+
+
+_FILTER_COLS = ("kind", "name", "review", "amount")
+
+
+@register("null_ratio_filter", f"""
+SELECT * FROM ({_null_profile_sql(FX2_SQL, _ALL_FX2)}) p
+WHERE "column" IN ({", ".join(f"'{c}'" for c in _FILTER_COLS)}) AND null_ratio >= 0.1""")
+def q_null_ratio_filter(spark, sf_dir):
+    return pr.null_ratio_filter(pr.null_profile(fx2(spark, sf_dir)), _FILTER_COLS, 0.1)
+
+
+_FX1_COLS = ("doc_id", "text", "source", "n_chars", "quality", "toxic")
+
+
+def _grouped_null_sql() -> str:
+    sums = ", ".join(f"sum(CASE WHEN {_missing_sql(c)} THEN 1 ELSE 0 END) AS m{i}" for i, c in enumerate(_FX1_COLS))
+    parts = [f"SELECT lang, CAST(n AS BIGINT) AS total_rows, '{c}' AS \"column\", CAST(m{i} AS BIGINT) AS null_count, "
+             f"CAST(m{i} AS DOUBLE) / n AS null_ratio FROM t" for i, c in enumerate(_FX1_COLS)]
+    return (f"WITH fx1 AS ({FX1_SQL}), t AS (SELECT lang, count(*) AS n, {sums} FROM fx1 GROUP BY lang), "
+            f"p AS ({_union_sql(parts)})\n"
+            "SELECT lang, total_rows, \"column\", null_count, round(null_ratio, 9) AS null_ratio, "
+            "round(avg(null_ratio) OVER (PARTITION BY \"column\"), 9) AS avg_null_ratio_fixed FROM p")
+
+
+@register("null_ratio_fixed", _grouped_null_sql())
+def q_null_ratio_fixed(spark, sf_dir):
+    prof = pr.null_profile_by_group(fx1(spark, sf_dir), ["lang"], _FX1_COLS)
+    out = pr.with_fixed_average(prof, "column", "null_ratio", "avg_null_ratio_fixed")
+    return out.withColumns({"null_ratio": F.round("null_ratio", 9),
+                            "avg_null_ratio_fixed": F.round("avg_null_ratio_fixed", 9)})
+
+
+_FX2_TYPES = {"record_id": "bigint", "kind": "string", "name": "string", "review": "string",
+              "amount": "double", "event_ts": "timestamp_ntz"}
+
+
+def _inventory_sql(source_sql: str, types: dict[str, str], exact: bool = True) -> str:
+    cols = list(types)
+    aggs = ", ".join(f"count({c}) AS nn{i}, count(DISTINCT {c}) AS dc{i}" for i, c in enumerate(cols))
+    parts = [f"SELECT '{c}' AS \"column\", '{types[c]}' AS data_type, CAST(nn{i} AS BIGINT) AS non_null_count, "
+             f"CAST(n - nn{i} AS BIGINT) AS null_count, CASE WHEN n = 0 THEN 0.0 ELSE CAST(nn{i} AS DOUBLE) / n END AS fill_rate, "
+             f"CAST(dc{i} AS BIGINT) AS distinct_count FROM t" for i, c in enumerate(cols)]
+    return f"WITH src AS ({source_sql}), t AS (SELECT count(*) AS n, {aggs} FROM src)\n" + _union_sql(parts)
+
+
+@register("column_inventory_exact", _inventory_sql(FX2_SQL, _FX2_TYPES))
+def q_inventory_exact(spark, sf_dir):
+    return pr.column_inventory(fx2(spark, sf_dir), exact=True)
+
+
+_ORDERS_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
+                 "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"}
+
+
+@register("column_inventory_approx", f"""
+SELECT "column", data_type, non_null_count, null_count, fill_rate, true AS distinct_within_rsd
+FROM ({_inventory_sql("SELECT * FROM orders", _ORDERS_TYPES)}) x""")
+def q_inventory_approx(spark, sf_dir):
+    """HLL distinct counts checked against exact ones (3 x rsd tolerance)."""
+    orders = table(spark, sf_dir, "orders")
+    approx = pr.column_inventory(orders, exact=False, rsd=0.05)
+    exact = pr.column_inventory(orders, exact=True).select("column", F.col("distinct_count").alias("exact_dc"))
+    joined = approx.join(exact, "column")
+    ok = F.abs(F.col("distinct_count") - F.col("exact_dc")) <= F.col("exact_dc") * F.lit(0.15)
+    return joined.select("column", "data_type", "non_null_count", "null_count", "fill_rate",
+                         ok.alias("distinct_within_rsd"))
+
+
+_LINEITEM_NUM = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                 "l_extendedprice", "l_discount", "l_tax")
+
+
+@register("numeric_statistics", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev, "
+    f"CAST(min({c}) AS DOUBLE) AS min, CAST(quantile_disc({c}, 0.5) AS DOUBLE) AS median, "
+    f"CAST(max({c}) AS DOUBLE) AS max FROM lineitem" for c in _LINEITEM_NUM))
+def q_numeric_statistics(spark, sf_dir):
+    stats = pr.numeric_statistics(table(spark, sf_dir, "lineitem"))
+    return stats.withColumns({"mean": F.round("mean", 6), "stddev": F.round("stddev", 6)})
+
+
+_DOC_STRINGS = ("text", "lang", "source")
+
+
+@register("top_values", f"""
+WITH long AS ({_union_sql([f"SELECT '{c}' AS \"column\", {c} AS value FROM documents" for c in _DOC_STRINGS])}),
+counted AS (SELECT "column", value, CAST(count(*) AS BIGINT) AS count FROM long
+            WHERE NOT {_missing_sql('value')} GROUP BY "column", value),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY count DESC, value ASC) AS rn FROM counted)
+SELECT "column", value, count FROM ranked WHERE rn <= 5""")
+def q_top_values(spark, sf_dir):
+    return pr.top_values(table(spark, sf_dir, "documents"))
+
+
+@register("group_count_desc", """
+SELECT event_type, CAST(count(*) AS BIGINT) AS records FROM events GROUP BY event_type""")
+def q_group_count_desc(spark, sf_dir):
+    return pr.group_count_desc(table(spark, sf_dir, "events"), "event_type")
+
+
+@register("profile_top_k", f"""
+SELECT * FROM ({_null_profile_sql(FX2_SQL, _ALL_FX2)}) p ORDER BY null_ratio DESC, "column" LIMIT 5""")
+def q_profile_top_k(spark, sf_dir):
+    prof = pr.null_profile(fx2(spark, sf_dir))
+    return pr.top_k(prof, [F.desc("null_ratio"), F.asc("column")], 5)
+
+
+@register("sample_export", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 500")
+def q_sample_export(spark, sf_dir):
+    return pr.preview(table(spark, sf_dir, "orders"), ["o_orderkey"], 500)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
