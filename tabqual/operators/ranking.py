@@ -8,19 +8,21 @@
   aggregation over the pruned columns; the driver only sees a few scalars
   per column.
 * :func:`ordered_cumulative` - running sums over an ordering within groups
-  (prefix sums). Rows are range-partitioned on (group, order) into buckets,
-  summed locally per bucket with a window, and shifted by per-bucket offsets
-  from a table with at most ``buckets + groups`` rows. A hot group is split
-  across buckets; equal order values stay in one bucket, so ties are exact.
+  (prefix sums). Rows get a bucket from split keys sampled on (group, order),
+  are summed locally per bucket with a window, and shifted by per-bucket
+  offsets from a table with at most ``buckets + groups`` rows. A hot group is
+  split across buckets; equal keys stay in one bucket, so ties are exact.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabqual.functions.columns import qcol
 from tabqual.session import shuffle_partitions
@@ -151,6 +153,61 @@ def _select_in_bracket(df: DataFrame, cols: Sequence[str], state: dict) -> dict:
     return {r["column"]: r["value"] for r in picked.collect()}
 
 
+def _literal(value, dtype: T.DataType) -> Column:
+    """A literal of exactly ``dtype`` built from an exact text form (no time-zone shifts)."""
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, T.StringType):
+        return F.lit(value)
+    if isinstance(value, float):
+        return F.lit(repr(value)).cast(dtype)
+    if isinstance(value, (dt.datetime, dt.date)):
+        return F.lit(value.isoformat(sep=" ") if isinstance(value, dt.datetime) else value.isoformat()).cast(dtype)
+    return F.lit(str(value)).cast(dtype)
+
+
+def range_bounds(df: DataFrame, key_cols: Sequence[str], buckets: int,
+                 oversample: int = 64, seed: int = 17) -> list[tuple]:
+    """Up to ``buckets - 1`` ascending split keys from a seeded sample of about
+    ``oversample * buckets`` rows (sorted by Spark, so in Spark's key order)."""
+    if buckets <= 1:
+        return []
+    keys = [qcol(c) for c in key_cols]
+    n = df.select(*keys).count()
+    if n == 0:
+        return []
+    frac = min(1.0, oversample * buckets / n)
+    sample = [tuple(r) for r in df.select(*keys).sample(False, frac, seed).orderBy(*keys).collect()]
+    if not sample:
+        return []
+    picks = [sample[(i * len(sample)) // buckets] for i in range(1, buckets)]
+    return list(dict.fromkeys(picks))  # ordered de-dup keeps ascending order
+
+
+def bucket_expr(df: DataFrame, key_cols: Sequence[str], bounds: Sequence[tuple]) -> Column:
+    """Number of bounds <= key: a balanced CASE tree, log2(#bounds) comparisons per row.
+
+    Monotone in the key order, so each bucket holds one contiguous key range
+    and equal keys always share a bucket.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if len(key_cols) == 1:
+        key = qcol(key_cols[0])
+        lits = [_literal(b[0], types[key_cols[0]]) for b in bounds]
+    else:
+        key = F.struct(*[qcol(c).alias(f"k{i}") for i, c in enumerate(key_cols)])
+        lits = [F.struct(*[_literal(v, types[c]).alias(f"k{i}") for i, (c, v) in enumerate(zip(key_cols, b))])
+                for b in bounds]
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key < lits[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
+
+    return tree(0, len(lits))
+
+
 def ordered_cumulative(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                        sum_cols: Sequence[str], buckets: int | None = None,
                        rank_col: str | None = None, count_col: str | None = None) -> DataFrame:
@@ -158,16 +215,19 @@ def ordered_cumulative(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
 
     Ties on the order columns are included (RANGE frame). ``rank_col`` adds
     the SQL ``rank()`` within the group and ``count_col`` the group size.
+    The bucket of a row is a pure function of its key, so the per-bucket
+    totals and the per-row running sums agree however often a stage is
+    recomputed.
     """
     groups, order, sums = list(group_cols), list(order_cols), list(sum_cols)
     nb = buckets or shuffle_partitions(df.sparkSession)
-    ranged = (df.repartitionByRange(nb, *[F.col(c) for c in groups + order])
-                .withColumn("_bucket", F.spark_partition_id()))
+    bounds = range_bounds(df, groups + order, nb)
+    bucketed = df.withColumn("_bucket", bucket_expr(df, groups + order, bounds))
     local_w = Window.partitionBy("_bucket", *groups).orderBy(*order)
-    local = ranged.withColumns({f"{c}_lcum": F.sum(c).over(local_w) for c in sums})
+    local = bucketed.withColumns({f"{c}_lcum": F.sum(c).over(local_w) for c in sums})
     if rank_col:
         local = local.withColumn("_lrank", F.rank().over(local_w))
-    totals = ranged.groupBy("_bucket", *groups).agg(
+    totals = bucketed.groupBy("_bucket", *groups).agg(
         *[F.sum(c).alias(f"{c}_btot") for c in sums], F.count(F.lit(1)).alias("_bcnt"))
     before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*groups)

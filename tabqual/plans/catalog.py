@@ -14,10 +14,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabqual.functions.sampling import poisson1_weight_sql
 from tabqual.operators import curate as cu
+from tabqual.operators import evaluate as ev
+from tabqual.operators import features as fe
 from tabqual.operators import profile as pr
 from tabqual.operators import quality as qu
-from tabqual.plans.fixtures import FX1_SQL, FX2_SOURCE_COLUMNS, FX2_SQL, fx1, fx2, table
+from tabqual.operators import split as sp
+from tabqual.plans.fixtures import FX1_SQL, FX2_SOURCE_COLUMNS, FX2_SQL, FX3_SQL, fx1, fx2, fx3, table
+from tabqual.session import shared_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -257,6 +262,212 @@ def q_sample_export(spark, sf_dir):
     return pr.preview(table(spark, sf_dir, "orders"), ["o_orderkey"], 500)
 
 
+# --------------------------------------------------------------------------- curation layout
+
+@register("scaling_query", f"""
+WITH fx2 AS ({FX2_SQL})
+SELECT CAST(year(event_ts) AS INTEGER) AS ingest_year, CAST(count(*) AS BIGINT) AS rows,
+  round(avg(CAST({_NONEMPTY_SRC} AS DOUBLE) / 4.0), 9) AS avg_comp
+FROM fx2 GROUP BY 1""")
+def q_scaling_query(spark, sf_dir):
+    cur = cu.curate(fx2(spark, sf_dir), columns=_SRC, time_col="event_ts")
+    return cur.groupBy("ingest_year").agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
+                                          F.round(F.avg("completeness_ratio"), 9).alias("avg_comp"))
+
+
+@register("curated_partition_roundtrip", f"""
+WITH fx2 AS ({FX2_SQL}), r AS (SELECT event_ts, CAST({_NONEMPTY_SRC} AS DOUBLE) / 4.0 AS ratio FROM fx2)
+SELECT CAST(year(event_ts) AS INTEGER) AS ingest_year, CAST(month(event_ts) AS INTEGER) AS ingest_month,
+  CAST(count(*) AS BIGINT) AS rows, round(avg(ratio), 9) AS avg_completeness,
+  CAST(sum(CASE WHEN {_band_sql('ratio')} = 'LOW' THEN 1 ELSE 0 END) AS BIGINT) AS low_rows
+FROM r GROUP BY 1, 2""")
+def q_curated_roundtrip(spark, sf_dir):
+    """Curate, write partitioned by event year/month, read back with partition discovery."""
+    from tabqual.sources import sinks
+    cur = cu.curate(fx2(spark, sf_dir), columns=_SRC, time_col="event_ts")
+    path = shared_path(spark, "curated")
+    sinks.write_partitioned_parquet(cur, path, ("ingest_year", "ingest_month"))
+    back = spark.read.parquet(path)
+    return back.groupBy("ingest_year", "ingest_month").agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows"),
+        F.round(F.avg("completeness_ratio"), 9).alias("avg_completeness"),
+        F.sum(F.when(F.col("quality_band") == "LOW", 1).otherwise(0)).cast("bigint").alias("low_rows"))
+
+
+# --------------------------------------------------------------------------- split, label, features
+
+_SPLIT_SQL = """
+SELECT o_orderkey, o_orderstatus AS label,
+  CASE WHEN pr <= 0.7 THEN 'train' WHEN pr <= 0.85 THEN 'validation' ELSE 'test' END AS split
+FROM (SELECT o_orderkey, o_orderstatus,
+        percent_rank() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey) AS pr FROM orders) x"""
+
+
+def _orders_split(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.col("o_orderstatus").alias("label"))
+    return sp.stratified_split(o, "label", ["o_orderdate", "o_orderkey"])
+
+
+@register("stratified_split", _SPLIT_SQL)
+def q_stratified_split(spark, sf_dir):
+    return _orders_split(spark, sf_dir).select("o_orderkey", "label", "split")
+
+
+@register("split_class_distribution", f"""
+WITH s AS ({_SPLIT_SQL}), c AS (SELECT split, label, CAST(count(*) AS BIGINT) AS count FROM s GROUP BY 1, 2)
+SELECT split, label, count, round(CAST(count AS DOUBLE) / sum(count) OVER (PARTITION BY split), 9) AS ratio FROM c""")
+def q_split_distribution(spark, sf_dir):
+    dist = sp.split_class_distribution(_orders_split(spark, sf_dir), "label")
+    return dist.withColumn("ratio", F.round("ratio", 9))
+
+
+@register("label_builder", f"""
+WITH fx2 AS ({FX2_SQL}),
+r AS (SELECT record_id, CAST({_present_sql('kind')} AS DOUBLE) / 1.0 AS label_basis_ratio FROM fx2),
+t AS (SELECT quantile_disc(label_basis_ratio, 0.15) AS thr FROM r)
+SELECT record_id, label_basis_ratio,
+  CASE WHEN label_basis_ratio <= thr THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS label
+FROM r, t""")
+def q_label_builder(spark, sf_dir):
+    src = fx2(spark, sf_dir).select(*_SRC)
+    labeled, _ = fe.build_label(src, keep_ratio=True)
+    return labeled.select("record_id", "label_basis_ratio", "label")
+
+
+_GUARD_CANDIDATES = ("name", "review", "amount", "event_ts")
+_GUARD_UNION = _union_sql([f"SELECT '{c}' AS \"column\", r{i} AS missing_ratio FROM r"
+                           for i, c in enumerate(_GUARD_CANDIDATES)])
+
+
+@register("feature_missing_guard", f"""
+WITH fx2 AS ({FX2_SQL}),
+r AS (SELECT {", ".join(f"avg(CASE WHEN {_missing_sql(c)} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS r{i}" for i, c in enumerate(_GUARD_CANDIDATES))} FROM fx2),
+u AS ({_GUARD_UNION}),
+s AS (SELECT max(CASE WHEN missing_ratio <= 0.1 THEN 1 ELSE 0 END) AS any_strict FROM u)
+SELECT "column", round(missing_ratio, 9) AS missing_ratio,
+  CASE WHEN any_strict = 1 THEN missing_ratio <= 0.1 ELSE missing_ratio <= 0.3 END AS kept
+FROM u, s""")
+def q_feature_missing_guard(spark, sf_dir):
+    df = fx2(spark, sf_dir)
+    basis = fe.label_basis_columns(_SRC)
+    candidates = fe.feature_candidates(df.columns, basis)
+    guard = fe.missing_guard(fe.missing_ratios(df, candidates))
+    return guard.withColumn("missing_ratio", F.round("missing_ratio", 9))
+
+
+# --------------------------------------------------------------------------- evaluation
+
+@register("confusion_profit", f"""
+WITH p AS ({FX3_SQL}), c AS (SELECT
+  sum(CASE WHEN score >= 0.5 AND label = 1 THEN 1 ELSE 0 END) AS tp,
+  sum(CASE WHEN score >= 0.5 AND label = 0 THEN 1 ELSE 0 END) AS fp,
+  sum(CASE WHEN score < 0.5 AND label = 1 THEN 1 ELSE 0 END) AS fn,
+  sum(CASE WHEN score < 0.5 AND label = 0 THEN 1 ELSE 0 END) AS tn, count(*) AS n FROM p)
+SELECT CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn,
+  CAST(n AS BIGINT) AS rows, CAST(tp * 600 - fp * 120 - fn * 350 AS DOUBLE) AS expected_profit FROM c""")
+def q_confusion_profit(spark, sf_dir):
+    return ev.confusion_profit(fx3(spark, sf_dir))
+
+
+def _pairwise_auc_sql(src: str, group: str | None = None) -> str:
+    """Brute-force ROC-AUC: every (positive, negative) pair, ties count one half."""
+    g_sel = f"{group}, " if group else ""
+    g_join = f"AND a.{group} = b.{group}" if group else ""
+    g_by = f"GROUP BY a.{group}" if group else ""
+    g_out = f"a.{group} AS {group}, " if group else ""
+    return (f"SELECT {g_out}sum(CASE WHEN a.score > b.score THEN 1.0 WHEN a.score = b.score THEN 0.5 ELSE 0.0 END) "
+            f"/ (count(*)) AS roc_auc FROM (SELECT {g_sel}score FROM {src} WHERE label = 1) a "
+            f"JOIN (SELECT {g_sel}score FROM {src} WHERE label = 0) b ON TRUE {g_join} {g_by}")
+
+
+@register("auc_ranksum", f"""
+WITH p AS ({FX3_SQL}),
+a AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM p GROUP BY score),
+pts AS (SELECT score, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp FROM a),
+cur AS (SELECT score, CAST(tp AS DOUBLE) / (SELECT sum(pos) FROM a) AS recall,
+          CAST(tp AS DOUBLE) / (tp + fp) AS prec FROM pts),
+seq AS (SELECT recall, prec, lag(recall, 1, 0.0) OVER (ORDER BY score DESC) AS r0,
+          coalesce(lag(prec) OVER (ORDER BY score DESC), prec) AS p0 FROM cur),
+roc AS ({_pairwise_auc_sql('p')})
+SELECT round((SELECT roc_auc FROM roc), 9) AS roc_auc,
+  round((SELECT sum((recall - r0) * (prec + p0) / 2.0) FROM seq), 9) AS pr_auc,
+  (SELECT CAST(sum(label) AS BIGINT) FROM p) AS positives,
+  (SELECT CAST(sum(1 - label) AS BIGINT) FROM p) AS negatives""")
+def q_auc_ranksum(spark, sf_dir):
+    m = ev.auc_metrics(fx3(spark, sf_dir))
+    return m.select(F.round("roc_auc", 9).alias("roc_auc"), F.round("pr_auc", 9).alias("pr_auc"),
+                    F.col("positives").cast("bigint").alias("positives"),
+                    F.col("negatives").cast("bigint").alias("negatives"))
+
+
+_U_SQL = ("CAST(('0x' || substr(md5(concat_ws(':', '7', CAST(rep AS VARCHAR), CAST(doc_id AS VARCHAR))), 1, 8)) AS BIGINT)"
+          " / 4294967296.0")
+
+
+@register("auc_bootstrap_ci", f"""
+WITH p AS ({FX3_SQL}),
+reps AS (SELECT p.doc_id, p.label, p.score, r.range AS rep FROM p, range(0, 200) r),
+w AS (SELECT rep, label, score, {poisson1_weight_sql('u')} AS w FROM (SELECT *, {_U_SQL} AS u FROM reps) x),
+pos AS (SELECT rep, score, w FROM w WHERE label = 1 AND w > 0),
+neg AS (SELECT rep, score, w FROM w WHERE label = 0 AND w > 0),
+auc AS (SELECT a.rep, sum(a.w * b.w * CASE WHEN a.score > b.score THEN 1.0 WHEN a.score = b.score THEN 0.5 ELSE 0.0 END)
+               / (sum(a.w * b.w)) AS auc
+        FROM pos a JOIN neg b ON a.rep = b.rep GROUP BY a.rep)
+SELECT round(coalesce(quantile_cont(auc, 0.025), 0.0), 9) AS auc_ci_low,
+       round(coalesce(quantile_cont(auc, 0.975), 0.0), 9) AS auc_ci_high,
+       CAST(count(*) AS BIGINT) AS replicates_used FROM auc""")
+def q_auc_bootstrap_ci(spark, sf_dir):
+    ci = ev.bootstrap_auc_ci(fx3(spark, sf_dir), id_col="doc_id", seed=7)
+    return ci.select(F.round("auc_ci_low", 9).alias("auc_ci_low"), F.round("auc_ci_high", 9).alias("auc_ci_high"),
+                     "replicates_used")
+
+
+@register("class_weights", """
+WITH c AS (SELECT quality, CAST(count(*) AS BIGINT) AS n_class FROM labels GROUP BY quality)
+SELECT quality, n_class, round(CAST(sum(n_class) OVER () AS DOUBLE) / (count(*) OVER () * n_class), 9) AS weight FROM c""")
+def q_class_weights(spark, sf_dir):
+    w = ev.class_weights(table(spark, sf_dir, "labels"), "quality")
+    return w.withColumn("weight", F.round("weight", 9))
+
+
+def _scored_models(spark, sf_dir):
+    base = fx3(spark, sf_dir)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = base.join(docs, "doc_id").select(
+        "doc_id", "lang", "source", "label", F.size(F.split("text", " ")).cast("double").alias("score"),
+        F.lit("word_count").alias("model"))
+    chars = base.select("doc_id", "lang", "source", "label", "score", F.lit("char_length").alias("model"))
+    return chars.unionByName(words)
+
+
+_SCORED_MODELS_SQL = f"""
+SELECT doc_id, lang, source, label, score, 'char_length' AS model FROM ({FX3_SQL}) f
+UNION ALL
+SELECT f.doc_id, f.lang, f.source, f.label, CAST(len(string_split(d.text, ' ')) AS DOUBLE) AS score, 'word_count' AS model
+FROM ({FX3_SQL}) f JOIN documents d USING (doc_id)"""
+
+
+def _group_auc_sql(group: str) -> str:
+    return (f"SELECT a.model, a.{group}, CASE WHEN count(*) = 0 THEN NULL ELSE sum(CASE WHEN a.score > b.score THEN 1.0 "
+            f"WHEN a.score = b.score THEN 0.5 ELSE 0.0 END) / count(*) END AS test_roc_auc "
+            f"FROM (SELECT * FROM m WHERE label = 1) a JOIN (SELECT * FROM m WHERE label = 0) b "
+            f"ON a.model = b.model AND a.{group} = b.{group} GROUP BY a.model, a.{group}")
+
+
+@register("model_score_mart", f"""
+WITH m AS ({_SCORED_MODELS_SQL}),
+u AS (SELECT model, test_roc_auc FROM ({_group_auc_sql('lang')}) x
+      UNION ALL SELECT model, test_roc_auc FROM ({_group_auc_sql('source')}) y)
+SELECT model, round(avg(test_roc_auc), 9) AS avg_test_roc_auc FROM u WHERE model IS NOT NULL GROUP BY model""")
+def q_model_score_mart(spark, sf_dir):
+    """Average test AUC per scorer over two metric tables (per language, per source)."""
+    scored = _scored_models(spark, sf_dir)
+    by_lang = ev.auc_metrics(scored, group_cols=["model", "lang"]).select("model", F.col("roc_auc").alias("test_roc_auc"))
+    by_src = ev.auc_metrics(scored, group_cols=["model", "source"]).select("model", F.col("roc_auc").alias("test_roc_auc"))
+    mart = ev.model_score_mart(by_lang, by_src)
+    return mart.withColumn("avg_test_roc_auc", F.round("avg_test_roc_auc", 9))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

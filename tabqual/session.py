@@ -69,3 +69,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+
+    Used for small derived tables that several later passes read, so their
+    (possibly expensive) inputs are computed once and survive lost executors.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
