@@ -22,7 +22,9 @@ from tabqual.operators import profile as pr
 from tabqual.operators import quality as qu
 from tabqual.operators import split as sp
 from tabqual.plans.fixtures import FX1_SQL, FX2_SOURCE_COLUMNS, FX2_SQL, FX3_SQL, fx1, fx2, fx3, table
+from tabqual.plans import derived_sources as ds
 from tabqual.session import shared_path
+from tabqual.sources import readers as rd
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -468,6 +470,96 @@ def q_model_score_mart(spark, sf_dir):
     return mart.withColumn("avg_test_roc_auc", F.round("avg_test_roc_auc", 9))
 
 
+# --------------------------------------------------------------------------- sources
+
+_ORDERS_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+def _restore_types(df: DataFrame, like: DataFrame) -> DataFrame:
+    """Cast read-back columns to the original table's types, in its column order."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema.fields])
+
+
+@register("csv_roundtrip", "SELECT * FROM orders")
+def q_csv_roundtrip(spark, sf_dir):
+    """Orders written as CSV with a header, read back with inferred types."""
+    orders = table(spark, sf_dir, "orders")
+    back = rd.read_csv(spark, ds.write_csv_copy(spark, orders, "orders-csv"))
+    return _restore_types(back, orders)
+
+
+@register("json_lines_roundtrip", "SELECT * FROM events")
+def q_json_roundtrip(spark, sf_dir):
+    """Events written as JSON lines, read back with an inferred schema."""
+    events = table(spark, sf_dir, "events")
+    back = rd.read_json_lines(spark, ds.write_json_copy(spark, events, "events-json"))
+    return _restore_types(back, events)
+
+
+@register("geojson_flatten", """
+SELECT event_id, user_id, event_type, value,
+  CASE WHEN event_type = 'error' THEN NULL ELSE 'Point' END AS geometry_type FROM events""")
+def q_geojson_flatten(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    flat = rd.read_geojson(spark, ds.write_geojson_lines(spark, events), multiline=False)
+    return flat.select("event_id", "user_id", "event_type", "value", "geometry_type")
+
+
+@register("json_unwrap", "SELECT event_id, user_id, event_type, value FROM events")
+def q_json_unwrap(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    rows = rd.read_wrapped_json(spark, ds.write_results_lines(spark, events), multiline=False)
+    return rows.select("event_id", "user_id", "event_type", "value")
+
+
+@register("corrupt_split", f"""
+SELECT CASE WHEN event_id % {ds.DAMAGE_EVERY} = 0 THEN 'quarantine' ELSE 'good' END AS status,
+  CAST(count(*) AS BIGINT) AS rows FROM events GROUP BY 1""")
+def q_corrupt_split(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    path = ds.write_damaged_json_lines(spark, events)
+    schema = "event_id bigint, user_id bigint, event_type string, value double"
+    from pyspark.sql import types as T
+    good, bad = rd.read_with_quarantine(spark, path, T._parse_datatype_string(schema))
+    g = good.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(F.lit("good").alias("status"), "rows")
+    b = bad.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(F.lit("quarantine").alias("status"), "rows")
+    return g.unionByName(b)
+
+
+@register("format_detect", """
+WITH s AS (SELECT page_id, lower(url) AS name,
+             regexp_replace(substr(html, 1, 4096), '^\\s+', '') AS sample FROM pages),
+f AS (SELECT page_id, name, sample, regexp_extract(sample, '^([^\\r\\n]*)', 1) AS first_line FROM s)
+SELECT page_id, CASE
+  WHEN html_len = 0 THEN 'empty'
+  WHEN name LIKE '%.csv' THEN 'csv'
+  WHEN name LIKE '%.geojson' OR (contains(sample, 'FeatureCollection') AND contains(sample, '"type"')) THEN 'geojson'
+  WHEN name LIKE '%.json' THEN 'json'
+  WHEN contains(first_line, ',') AND NOT (starts_with(first_line, '{') OR starts_with(first_line, '[')) THEN 'csv'
+  ELSE 'json' END AS format
+FROM f JOIN (SELECT page_id, strlen(html) AS html_len FROM pages) l USING (page_id)""")
+def q_format_detect(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return pages.select("page_id", rd.format_expr(F.col("url"), F.col("html")).alias("format"))
+
+
+_HOST_RE = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
+
+
+@register("resource_rank", f"""
+WITH c AS (SELECT regexp_extract(url, '{_HOST_RE}', 1) AS dataset, url, page_id AS ordinal,
+  CASE WHEN lower(url) LIKE '%.csv' THEN 0 WHEN contains(lower(url), 'geojson') THEN 1
+       WHEN lower(url) LIKE '%.json' THEN 2 ELSE 9 END AS rank FROM pages),
+r AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY rank, ordinal) AS rn FROM c)
+SELECT dataset, url, CAST(rank AS INTEGER) AS rank, ordinal FROM r WHERE rn = 1""")
+def q_resource_rank(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    catalog_df = pages.select(F.regexp_extract("url", _HOST_RE, 1).alias("dataset"),
+                              F.lit(None).cast("string").alias("format"), "url",
+                              F.col("page_id").alias("ordinal"))
+    return rd.best_resource(catalog_df)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
