@@ -560,6 +560,45 @@ def q_resource_rank(spark, sf_dir):
     return rd.best_resource(catalog_df)
 
 
+# --------------------------------------------------------------------------- models (rows-only checks)
+
+_TRAINED: dict[tuple, object] = {}
+
+
+def _model_frames(spark, sf_dir):
+    """FX3 split per label class in ``doc_id`` order; features lang, source, n_chars."""
+    data = fx3(spark, sf_dir).select("doc_id", "lang", "source", "n_chars", "label")
+    split = sp.stratified_split(data, "label", ["doc_id"])
+    return sp.split_frames(split)
+
+
+def _trained(spark, sf_dir):
+    from tabqual.operators import models as mo
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        train, val, test = _model_frames(spark, sf_dir)
+        _TRAINED[key] = mo.train_and_compare(train, val, test, ["lang", "source"], ["n_chars"], id_col="doc_id",
+                                             parallelism=4)
+    return _TRAINED[key]
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    return _trained(spark, sf_dir).comparison
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    return _trained(spark, sf_dir).importances
+
+
+@register("balanced_lr")
+def q_balanced_lr(spark, sf_dir):
+    from tabqual.operators import models as mo
+    train, _, test = _model_frames(spark, sf_dir)
+    return mo.balanced_logistic(train, test, ["lang", "source"], ["n_chars"])
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
