@@ -66,3 +66,8 @@ def ordered_unique(names: Iterable[str]) -> list[str]:
 
 def type_name(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
+
+
+def sql_str(value: str) -> str:
+    """A SQL string literal for ``value``."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

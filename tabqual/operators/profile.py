@@ -18,12 +18,19 @@ from tabqual.functions.columns import (
     MAX_STRING_PROFILE_COLUMNS,
     numeric_columns,
     qcol,
+    quote,
+    sql_str,
     string_columns,
 )
-from tabqual.functions.missing import is_missing, missing_flag, safe_ratio
+from tabqual.functions.literals import literal_table
+from tabqual.functions.missing import is_missing, missing_flag_sql, safe_ratio_sql
 from tabqual.operators.ranking import exact_quantiles
 
 
+def _inline(structs: list[str]) -> str:
+    return f"inline(array({', '.join(structs)}))"
+
+
 def summary_totals(df: DataFrame, ratio_col: str | None = "completeness_ratio") -> DataFrame:
     """``total_records`` (+ ``avg_completeness`` when the ratio column exists)."""
     aggs = [F.count(F.lit(1)).cast("bigint").alias("total_records")]
@@ -48,28 +55,24 @@ def group_count_desc(df: DataFrame, column: str, count_name: str = "records") ->
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``column, null_count, null_ratio`` where null means NULL or blank; most missing first."""
     cols = list(df.columns if columns is None else columns)
-    aggs = [F.count(F.lit(1)).alias("total")] + [F.sum(missing_flag(c)).alias(f"m{i}") for i, c in enumerate(cols)]
-    wide = df.agg(*aggs)
-    rows = wide.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"),
-                 F.coalesce(F.col(f"m{i}"), F.lit(0)).cast("bigint").alias("null_count"),
-                 safe_ratio(F.coalesce(F.col(f"m{i}"), F.lit(0)), F.col("total")).alias("null_ratio"))
-        for i, c in enumerate(cols)])))
+    aggs = ["count(1) AS total"] + [f"sum({missing_flag_sql(c)}) AS m{i}" for i, c in enumerate(cols)]
+    wide = df.agg(*[F.expr(a) for a in aggs])
+    rows = wide.selectExpr(_inline([
+        f"named_struct('column', {sql_str(c)}, 'null_count', CAST(coalesce(m{i}, 0) AS BIGINT), "
+        f"'null_ratio', {safe_ratio_sql(f'coalesce(m{i}, 0)', 'total')})" for i, c in enumerate(cols)]))
     return rows.orderBy(F.desc("null_ratio"), F.asc("column"))
 
 
 def null_profile_by_group(df: DataFrame, group_cols: Sequence[str],
                           columns: Sequence[str] | None = None) -> DataFrame:
-    """Null profile per group: ``<groups>, column, null_count, total_rows, null_ratio``."""
+    """Null profile per group: ``<groups>, total_rows, column, null_count, null_ratio``."""
     groups = list(group_cols)
     cols = [c for c in (df.columns if columns is None else columns) if c not in groups]
-    aggs = [F.count(F.lit(1)).alias("total")] + [F.sum(missing_flag(c)).alias(f"m{i}") for i, c in enumerate(cols)]
+    aggs = [F.expr("count(1) AS total")] + [F.expr(f"sum({missing_flag_sql(c)}) AS m{i}") for i, c in enumerate(cols)]
     wide = df.groupBy(*[qcol(g).alias(g) for g in groups]).agg(*aggs)
-    return wide.select(*groups, F.col("total").cast("bigint").alias("total_rows"), F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"),
-                 F.col(f"m{i}").cast("bigint").alias("null_count"),
-                 safe_ratio(F.col(f"m{i}"), F.col("total")).alias("null_ratio"))
-        for i, c in enumerate(cols)])))
+    return wide.selectExpr(*[quote(g) for g in groups], "CAST(total AS BIGINT) AS total_rows", _inline([
+        f"named_struct('column', {sql_str(c)}, 'null_count', CAST(m{i} AS BIGINT), "
+        f"'null_ratio', {safe_ratio_sql(f'm{i}', 'total')})" for i, c in enumerate(cols)]))
 
 
 def with_fixed_average(df: DataFrame, by: str = "column", value: str = "null_ratio",
@@ -96,19 +99,17 @@ def column_inventory(df: DataFrame, columns: Sequence[str] | None = None, exact:
     """
     cols = list(df.columns if columns is None else columns)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    aggs = [F.count(F.lit(1)).alias("total")]
+    aggs = ["count(1) AS total"]
     for i, c in enumerate(cols):
-        v = qcol(c)
-        aggs.append(F.count(v).alias(f"nn{i}"))
-        aggs.append((F.count_distinct(v) if exact else F.approx_count_distinct(v, rsd)).alias(f"dc{i}"))
-    wide = df.agg(*aggs)
-    rows = wide.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("data_type"),
-                 F.col(f"nn{i}").cast("bigint").alias("non_null_count"),
-                 (F.col("total") - F.col(f"nn{i}")).cast("bigint").alias("null_count"),
-                 safe_ratio(F.col(f"nn{i}"), F.col("total")).alias("fill_rate"),
-                 F.col(f"dc{i}").cast("bigint").alias("distinct_count"))
-        for i, c in enumerate(cols)])))
+        q = quote(c)
+        distinct = f"count(DISTINCT {q})" if exact else f"approx_count_distinct({q}, {rsd!r})"
+        aggs += [f"count({q}) AS nn{i}", f"{distinct} AS dc{i}"]
+    wide = df.agg(*[F.expr(a) for a in aggs])
+    rows = wide.selectExpr(_inline([
+        f"named_struct('column', {sql_str(c)}, 'data_type', {sql_str(types[c])}, "
+        f"'non_null_count', CAST(nn{i} AS BIGINT), 'null_count', CAST(total - nn{i} AS BIGINT), "
+        f"'fill_rate', {safe_ratio_sql(f'nn{i}', 'total')}, 'distinct_count', CAST(dc{i} AS BIGINT))"
+        for i, c in enumerate(cols)]))
     return rows.orderBy(F.desc("fill_rate"), F.desc("distinct_count"), F.asc("column"))
 
 
@@ -124,26 +125,22 @@ def numeric_statistics(df: DataFrame, columns: Sequence[str] | None = None,
     cols = list(numeric_columns(df) if columns is None else columns)[:max_columns]
     schema = "column string, mean double, stddev double, min double, median double, max double"
     if not cols:
-        return df.sparkSession.createDataFrame([], schema)
+        return literal_table(df.sparkSession, [], schema)
     aggs = []
     for i, c in enumerate(cols):
-        v = qcol(c)
-        aggs += [F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"sd{i}"),
-                 F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}")]
+        q = quote(c)
+        aggs += [f"avg({q}) AS mean{i}", f"stddev_samp({q}) AS sd{i}", f"min({q}) AS min{i}", f"max({q}) AS max{i}"]
         if median == "approx":
-            aggs.append(F.percentile_approx(v, 0.5, accuracy).alias(f"med{i}"))
-    wide = df.agg(*aggs)
+            aggs.append(f"percentile_approx({q}, 0.5, {int(accuracy)}) AS med{i}")
+    wide = df.agg(*[F.expr(a) for a in aggs])
     if median == "exact":
         meds = exact_quantiles(df, cols, 0.5, accuracy=accuracy)
-        wide = wide.select("*", *[F.lit(meds[c]).cast("double").alias(f"med{i}") for i, c in enumerate(cols)])
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"),
-                 F.col(f"mean{i}").cast("double").alias("mean"),
-                 F.col(f"sd{i}").cast("double").alias("stddev"),
-                 F.col(f"min{i}").cast("double").alias("min"),
-                 F.col(f"med{i}").cast("double").alias("median"),
-                 F.col(f"max{i}").cast("double").alias("max"))
-        for i, c in enumerate(cols)])))
+        wide = wide.selectExpr("*", *[f"CAST({meds[c]!r} AS DOUBLE) AS med{i}" if meds[c] is not None
+                                      else f"CAST(NULL AS DOUBLE) AS med{i}" for i, c in enumerate(cols)])
+    return wide.selectExpr(_inline([
+        f"named_struct('column', {sql_str(c)}, 'mean', CAST(mean{i} AS DOUBLE), 'stddev', CAST(sd{i} AS DOUBLE), "
+        f"'min', CAST(min{i} AS DOUBLE), 'median', CAST(med{i} AS DOUBLE), 'max', CAST(max{i} AS DOUBLE))"
+        for i, c in enumerate(cols)]))
 
 
 def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5,
@@ -157,9 +154,9 @@ def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5,
     """
     cols = list(string_columns(df, exclude=("ingested_at",)) if columns is None else columns)[:max_columns]
     if not cols:
-        return df.sparkSession.createDataFrame([], "column string, value string, count bigint")
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), qcol(c).cast("string").alias("value")) for c in cols])))
+        return literal_table(df.sparkSession, [], "column string, value string, count bigint")
+    long = df.selectExpr(_inline([f"named_struct('column', {sql_str(c)}, 'value', CAST({quote(c)} AS STRING))"
+                                  for c in cols]))
     counted = (long.where(~is_missing("value"))
                    .groupBy("column", "value").agg(F.count(F.lit(1)).cast("bigint").alias("count")))
     w = Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value"))

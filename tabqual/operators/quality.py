@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabqual.functions.columns import first_name_column, qcol
+from tabqual.functions.columns import first_name_column, quote, sql_str
+from tabqual.functions.literals import literal_table
 from tabqual.functions.missing import completeness_ratio, missing_count, non_empty_count
 
 # Quality bands and their inclusive lower bounds on the
@@ -80,12 +81,12 @@ def name_length(columns: Sequence[str]) -> Column:
     name_col = first_name_column(columns)
     if name_col is None:
         return F.lit(0)
-    return F.length(F.coalesce(qcol(name_col).cast("string"), F.lit("")))
+    return F.expr(f"length(coalesce(CAST({quote(name_col)} AS STRING), ''))")
 
 
 def band_dimension(spark: SparkSession, bands: Sequence[tuple[str, float]] = QUALITY_BANDS) -> DataFrame:
     """The quality dimension: one row per band (its size is the band list, a parameter)."""
-    return spark.createDataFrame([(b, float(r)) for b, r in bands], BAND_SCHEMA)
+    return literal_table(spark, [(b, float(r)) for b, r in bands], BAND_SCHEMA)
 
 
 def band_range_dimension(spark: SparkSession,
@@ -105,23 +106,25 @@ def band_range_dimension(spark: SparkSession,
         T.StructField("range_lo", T.DoubleType(), False),
         T.StructField("range_hi", T.DoubleType(), True),
     ])
-    return spark.createDataFrame(rows, schema)
+    return literal_table(spark, rows, schema)
 
 
-def band_expr(ratio: Column, bands: Sequence[tuple[str, float]] = QUALITY_BANDS) -> Column:
+def band_sql(ratio_sql: str, bands: Sequence[tuple[str, float]] = QUALITY_BANDS) -> str:
     """CASE chain generated from the band rows, so thresholds live in one place."""
     ordered = sorted(bands, key=lambda b: b[1], reverse=True)
-    expr = None
-    for name, lower in ordered[:-1]:
-        cond = ratio >= F.lit(float(lower))
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    last = F.lit(ordered[-1][0])
-    return last if expr is None else expr.otherwise(last)
+    whens = " ".join(f"WHEN {ratio_sql} >= CAST({float(lo)!r} AS DOUBLE) THEN {sql_str(name)}"
+                     for name, lo in ordered[:-1])
+    last = sql_str(ordered[-1][0])
+    return f"CASE {whens} ELSE {last} END" if whens else last
+
+
+def band_expr(ratio_col: str, bands: Sequence[tuple[str, float]] = QUALITY_BANDS) -> Column:
+    return F.expr(band_sql(quote(ratio_col), bands))
 
 
 def assign_band(df: DataFrame, ratio_col: str = "completeness_ratio",
                 bands: Sequence[tuple[str, float]] = QUALITY_BANDS) -> DataFrame:
-    return df.withColumn("quality_band", band_expr(F.col(ratio_col), bands))
+    return df.withColumn("quality_band", band_expr(ratio_col, bands))
 
 
 def ingestion_validation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

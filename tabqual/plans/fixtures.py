@@ -24,8 +24,16 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 FX2_SOURCE_COLUMNS = ("record_id", "kind", "name", "review")
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """The parquet table (file listing and footer read once per application)."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def fx1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,30 +46,21 @@ FX1_SQL = "SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l US
 
 
 def fx2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    key = F.col("o_orderkey")
-    return o.select(
-        key.alias("record_id"),
-        F.when(key % 7 == 0, F.lit(None).cast("string"))
-         .when(key % 11 == 0, F.lit("  "))
-         .otherwise(F.col("o_orderpriority")).alias("kind"),
-        F.when(key % 2 == 0, F.lit(" "))
-         .otherwise(F.concat(F.lit("NAME "), (F.col("o_custkey") % 100).cast("string"))).alias("name"),
-        F.when(key % 5000 == 1, F.lit("BREACHED")).otherwise(F.lit(None).cast("string")).alias("review"),
-        F.when(key % 13 == 0, F.lit(None).cast("double")).otherwise(F.col("o_totalprice")).alias("amount"),
-        F.col("o_orderdate").alias("event_ts"),
-    )
+    return table(spark, sf_dir, "orders").selectExpr(*FX2_SELECT)
+
 
+# One select list, valid in both Spark SQL and the oracle's SQL dialect.
+FX2_SELECT = (
+    "o_orderkey AS record_id",
+    "CASE WHEN o_orderkey % 7 = 0 THEN CAST(NULL AS STRING) WHEN o_orderkey % 11 = 0 THEN '  ' "
+    "ELSE o_orderpriority END AS kind",
+    "CASE WHEN o_orderkey % 2 = 0 THEN ' ' ELSE concat('NAME ', CAST(o_custkey % 100 AS STRING)) END AS name",
+    "CASE WHEN o_orderkey % 5000 = 1 THEN 'BREACHED' END AS review",
+    "CASE WHEN o_orderkey % 13 = 0 THEN CAST(NULL AS DOUBLE) ELSE o_totalprice END AS amount",
+    "o_orderdate AS event_ts",
+)
 
-FX2_SQL = """SELECT o_orderkey AS record_id,
-  CASE WHEN o_orderkey % 7 = 0 THEN CAST(NULL AS VARCHAR)
-       WHEN o_orderkey % 11 = 0 THEN '  ' ELSE o_orderpriority END AS kind,
-  CASE WHEN o_orderkey % 2 = 0 THEN ' '
-       ELSE concat('NAME ', CAST(o_custkey % 100 AS VARCHAR)) END AS name,
-  CASE WHEN o_orderkey % 5000 = 1 THEN 'BREACHED' END AS review,
-  CASE WHEN o_orderkey % 13 = 0 THEN CAST(NULL AS DOUBLE) ELSE o_totalprice END AS amount,
-  o_orderdate AS event_ts
-FROM orders"""
+FX2_SQL = "SELECT " + ",\n  ".join(FX2_SELECT).replace("AS STRING", "AS VARCHAR") + "\nFROM orders"
 
 
 def fx3(spark: SparkSession, sf_dir: str) -> DataFrame:
