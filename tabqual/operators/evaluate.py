@@ -68,9 +68,8 @@ def _curve_areas(scores: DataFrame, group_cols: Sequence[str], buckets: int | No
         scores, groups = scores.withColumn("_all", F.lit(0)), ["_all"]
     # one row per (group, distinct score); read by several passes below
     scores = materialize(scores)
-    totals = scores.groupBy(*groups).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    cum = ordered_cumulative(scores, groups, ["_s"], ["pos", "neg"], buckets=buckets)
-    cum = cum.join(totals, groups, "inner")
+    cum = ordered_cumulative(scores, groups, ["_s"], ["pos", "neg"], buckets=buckets, with_totals=True)
+    cum = cum.withColumnsRenamed({"pos_tot": "P", "neg_tot": "N"})
     tp = F.col("P") - F.col("pos_cum") + F.col("pos")      # positives scored >= s
     fp = F.col("N") - F.col("neg_cum") + F.col("neg")      # negatives scored >= s
     tp_prev, fp_prev = tp - F.col("pos"), fp - F.col("neg")

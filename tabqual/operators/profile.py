@@ -119,28 +119,29 @@ def numeric_statistics(df: DataFrame, columns: Sequence[str] | None = None,
     """``column, mean, stddev, min, median, max`` for numeric columns (sample stddev).
 
     ``median="exact"`` gives the lower median (rank ``ceil(n/2)``) through
-    :func:`exact_quantiles`; ``"approx"`` uses ``percentile_approx`` with
-    ``accuracy`` in the same single pass.
+    :func:`exact_quantiles`, whose first pass also computes the other
+    statistics; ``"approx"`` uses ``percentile_approx`` with ``accuracy``.
+    The result has one row per column, built from those few scalars.
     """
     cols = list(numeric_columns(df) if columns is None else columns)[:max_columns]
     schema = "column string, mean double, stddev double, min double, median double, max double"
     if not cols:
         return literal_table(df.sparkSession, [], schema)
-    aggs = []
+    stats = []
     for i, c in enumerate(cols):
         q = quote(c)
-        aggs += [f"avg({q}) AS mean{i}", f"stddev_samp({q}) AS sd{i}", f"min({q}) AS min{i}", f"max({q}) AS max{i}"]
+        stats += [f"CAST(avg({q}) AS DOUBLE) AS mean{i}", f"CAST(stddev_samp({q}) AS DOUBLE) AS sd{i}",
+                  f"CAST(min({q}) AS DOUBLE) AS min{i}", f"CAST(max({q}) AS DOUBLE) AS max{i}"]
         if median == "approx":
-            aggs.append(f"percentile_approx({q}, 0.5, {int(accuracy)}) AS med{i}")
-    wide = df.agg(*[F.expr(a) for a in aggs])
+            stats.append(f"CAST(percentile_approx({q}, 0.5, {int(accuracy)}) AS DOUBLE) AS med{i}")
     if median == "exact":
-        meds = exact_quantiles(df, cols, 0.5, accuracy=accuracy)
-        wide = wide.selectExpr("*", *[f"CAST({meds[c]!r} AS DOUBLE) AS med{i}" if meds[c] is not None
-                                      else f"CAST(NULL AS DOUBLE) AS med{i}" for i, c in enumerate(cols)])
-    return wide.selectExpr(_inline([
-        f"named_struct('column', {sql_str(c)}, 'mean', CAST(mean{i} AS DOUBLE), 'stddev', CAST(sd{i} AS DOUBLE), "
-        f"'min', CAST(min{i} AS DOUBLE), 'median', CAST(med{i} AS DOUBLE), 'max', CAST(max{i} AS DOUBLE))"
-        for i, c in enumerate(cols)]))
+        meds, row = exact_quantiles(df, cols, 0.5, accuracy=accuracy, extra_aggs=[F.expr(e) for e in stats])
+        row = dict(row, **{f"med{i}": (None if meds[c] is None else float(meds[c])) for i, c in enumerate(cols)})
+    else:
+        row = df.agg(*[F.expr(e) for e in stats]).first().asDict()
+    rows = [(c, row[f"mean{i}"], row[f"sd{i}"], row[f"min{i}"], row[f"med{i}"], row[f"max{i}"])
+            for i, c in enumerate(cols)]
+    return literal_table(df.sparkSession, rows, schema)
 
 
 def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5,

@@ -24,11 +24,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabqual.functions.columns import qcol
+from tabqual.functions.columns import qcol, quote
 from tabqual.session import shuffle_partitions
 
 DEFAULT_ACCURACY = 10_000
-DEFAULT_FINAL_DISTINCT = 200_000
+DEFAULT_FINAL_DISTINCT = 1_000_000
+# Fixed value: inputs up to this many rows are ordered by one plain window.
+SMALL_INPUT_ROWS = 1_000_000
 MAX_ROUNDS = 20
 
 
@@ -47,35 +49,38 @@ def _in_bracket(c: Column, lo, hi) -> Column:
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5,
                     accuracy: int = DEFAULT_ACCURACY,
-                    final_distinct: int = DEFAULT_FINAL_DISTINCT) -> dict[str, float | None]:
+                    final_distinct: int = DEFAULT_FINAL_DISTINCT,
+                    extra_aggs: Sequence[Column] = ()) -> tuple[dict[str, object], dict]:
     """Exact ``q``-quantile (lower, discrete) of each numeric column.
 
-    Returns ``{column: value}`` (``None`` for a column with no values).
+    Returns ``({column: value}, extra)``: ``None`` for a column with no values,
+    and ``extra`` holds the values of ``extra_aggs``, computed in the same
+    first pass (so a profile needs no separate scan for its other statistics).
     """
     cols = list(columns)
-    if not cols:
-        return {}
     delta = 2.0 / accuracy
     lo_p, hi_p = max(0.0, q - delta), min(1.0, q + delta)
 
     # pass 1: sizes, distinct estimate and an initial bracket for every column
-    aggs = []
+    aggs = list(extra_aggs)
     for i, c in enumerate(cols):
-        v = qcol(c)
-        aggs += [F.count(v).alias(f"n{i}"),
-                 F.approx_count_distinct(v).alias(f"d{i}"),
-                 F.percentile_approx(v, [lo_p, hi_p], accuracy).alias(f"p{i}")]
-    row = df.agg(*aggs).first()
+        v = quote(c)
+        aggs += [F.expr(f"count({v}) AS _qn{i}"), F.expr(f"approx_count_distinct({v}) AS _qd{i}"),
+                 F.expr(f"percentile_approx({v}, array({lo_p!r}, {hi_p!r}), {int(accuracy)}) AS _qp{i}")]
+    if not aggs:
+        return {}, {}
+    row = df.agg(*aggs).first().asDict()
+    extra = {k: v for k, v in row.items() if not k.startswith("_q")}
 
     state: dict[str, dict] = {}
-    result: dict[str, float | None] = {}
+    result: dict[str, object] = {}
     for i, c in enumerate(cols):
-        n = row[f"n{i}"]
+        n = row[f"_qn{i}"]
         if not n:
             result[c] = None
             continue
         state[c] = {"rank": target_rank(q, n), "below": 0, "size": n, "lo": None, "hi": None,
-                    "distinct": row[f"d{i}"], "bounds": row[f"p{i}"]}
+                    "distinct": row[f"_qd{i}"], "bounds": row[f"_qp{i}"]}
 
     for _ in range(MAX_ROUNDS):
         narrowing = [c for c, s in state.items() if c not in result and s["distinct"] > final_distinct]
@@ -129,28 +134,32 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5,
     remaining = [c for c in state if c not in result]
     if remaining:
         result.update(_select_in_bracket(df, remaining, state))
-    return result
+    return result, extra
 
 
 def _select_in_bracket(df: DataFrame, cols: Sequence[str], state: dict) -> dict:
-    """Group the few values left in each bracket and pick the target rank."""
-    parts = []
+    """Group the few values left in each bracket (one scan for all columns) and
+    pick the target rank. Integral and fractional values travel in separate
+    struct fields, so no value is rounded through another type."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    structs = []
     for c in cols:
         s = state[c]
         v = qcol(c)
-        part = (df.where(_in_bracket(v, s["lo"], s["hi"]))
-                  .groupBy(v.alias("value")).agg(F.count(F.lit(1)).alias("cnt"))
-                  .select(F.lit(c).alias("column"), F.col("value").cast("double").alias("value"),
-                          "cnt", F.lit(s["rank"] - s["below"]).cast("bigint").alias("want")))
-        parts.append(part)
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    w = Window.partitionBy("column").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    picked = (union.withColumn("cum", F.sum("cnt").over(w))
-                   .where(F.col("cum") >= F.col("want"))
-                   .groupBy("column").agg(F.min("value").alias("value")))
-    return {r["column"]: r["value"] for r in picked.collect()}
+        integral = isinstance(types[c], T.IntegralType)
+        keep = _in_bracket(v, s["lo"], s["hi"])
+        structs.append(F.struct(
+            F.lit(c).alias("column"),
+            F.when(keep, v.cast("bigint") if integral else F.lit(None).cast("bigint")).alias("iv"),
+            F.when(keep, F.lit(None).cast("double") if integral else v.cast("double")).alias("dv"),
+            F.lit(s["rank"] - s["below"]).cast("bigint").alias("want")))
+    long = df.select(F.inline(F.array(*structs))).where(F.col("iv").isNotNull() | F.col("dv").isNotNull())
+    counted = long.groupBy("column", "iv", "dv", "want").agg(F.count(F.lit(1)).alias("cnt"))
+    w = Window.partitionBy("column").orderBy("iv", "dv").rowsBetween(Window.unboundedPreceding, 0)
+    picked = (counted.withColumn("cum", F.sum("cnt").over(w))
+                     .where(F.col("cum") >= F.col("want"))
+                     .groupBy("column").agg(F.min(F.struct("iv", "dv")).alias("v")))
+    return {r["column"]: (r["v"]["iv"] if r["v"]["iv"] is not None else r["v"]["dv"]) for r in picked.collect()}
 
 
 def _literal(value, dtype: T.DataType) -> Column:
@@ -167,13 +176,13 @@ def _literal(value, dtype: T.DataType) -> Column:
 
 
 def range_bounds(df: DataFrame, key_cols: Sequence[str], buckets: int,
-                 oversample: int = 64, seed: int = 17) -> list[tuple]:
+                 oversample: int = 64, seed: int = 17, n_rows: int | None = None) -> list[tuple]:
     """Up to ``buckets - 1`` ascending split keys from a seeded sample of about
     ``oversample * buckets`` rows (sorted by Spark, so in Spark's key order)."""
     if buckets <= 1:
         return []
     keys = [qcol(c) for c in key_cols]
-    n = df.select(*keys).count()
+    n = df.select(*keys).count() if n_rows is None else n_rows
     if n == 0:
         return []
     frac = min(1.0, oversample * buckets / n)
@@ -210,18 +219,33 @@ def bucket_expr(df: DataFrame, key_cols: Sequence[str], bounds: Sequence[tuple])
 
 def ordered_cumulative(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                        sum_cols: Sequence[str], buckets: int | None = None,
-                       rank_col: str | None = None, count_col: str | None = None) -> DataFrame:
+                       rank_col: str | None = None, count_col: str | None = None,
+                       small_rows: int = SMALL_INPUT_ROWS, with_totals: bool = False) -> DataFrame:
     """Add ``<c>_cum`` = sum of ``c`` over rows of the same group ordered at or before this one.
 
     Ties on the order columns are included (RANGE frame). ``rank_col`` adds
-    the SQL ``rank()`` within the group and ``count_col`` the group size.
+    the SQL ``rank()`` within the group, ``count_col`` the group size and
+    ``with_totals`` the group sum ``<c>_tot`` of every summed column.
     The bucket of a row is a pure function of its key, so the per-bucket
     totals and the per-row running sums agree however often a stage is
     recomputed.
     """
     groups, order, sums = list(group_cols), list(order_cols), list(sum_cols)
     nb = buckets or shuffle_partitions(df.sparkSession)
-    bounds = range_bounds(df, groups + order, nb)
+    n = df.count()
+    if n <= small_rows:
+        # proven small: one window per group is bounded by n rows
+        w = Window.partitionBy(*groups).orderBy(*order)
+        cols = {f"{c}_cum": F.sum(c).over(w) for c in sums}
+        if rank_col:
+            cols[rank_col] = F.rank().over(w).cast("bigint")
+        whole = Window.partitionBy(*groups)
+        if count_col:
+            cols[count_col] = F.count(F.lit(1)).over(whole).cast("bigint")
+        if with_totals:
+            cols.update({f"{c}_tot": F.sum(c).over(whole) for c in sums})
+        return df.withColumns(cols)
+    bounds = range_bounds(df, groups + order, nb, n_rows=n)
     bucketed = df.withColumn("_bucket", bucket_expr(df, groups + order, bounds))
     local_w = Window.partitionBy("_bucket", *groups).orderBy(*order)
     local = bucketed.withColumns({f"{c}_lcum": F.sum(c).over(local_w) for c in sums})
@@ -236,6 +260,7 @@ def ordered_cumulative(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
         *[F.coalesce(F.sum(f"{c}_btot").over(before), F.lit(0)).alias(f"{c}_off") for c in sums],
         F.coalesce(F.sum("_bcnt").over(before), F.lit(0)).alias("_cnt_off"),
         F.sum("_bcnt").over(whole).alias("_gcnt"),
+        *[F.sum(f"{c}_btot").over(whole).alias(f"{c}_tot") for c in sums],
     )
     out = local.join(offsets, ["_bucket", *groups], "inner")
     cols = {f"{c}_cum": F.col(f"{c}_lcum") + F.col(f"{c}_off") for c in sums}
@@ -245,15 +270,18 @@ def ordered_cumulative(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
         cols[count_col] = F.col("_gcnt").cast("bigint")
     out = out.withColumns(cols)
     drop = ["_bucket", "_lrank", "_cnt_off", "_gcnt"] + [f"{c}_lcum" for c in sums] + [f"{c}_off" for c in sums]
+    if not with_totals:
+        drop += [f"{c}_tot" for c in sums]
     return out.drop(*[d for d in drop if d in out.columns])
 
 
 def scalable_percent_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                          out_col: str = "pct_in_group", buckets: int | None = None) -> DataFrame:
+                          out_col: str = "pct_in_group", buckets: int | None = None,
+                          small_rows: int = SMALL_INPUT_ROWS) -> DataFrame:
     """SQL ``percent_rank()`` over (partition by group order by order) without one task per group."""
     tmp = df.withColumn("_one", F.lit(1))
     ranked = ordered_cumulative(tmp, group_cols, order_cols, ["_one"], buckets=buckets,
-                                rank_col="_rank", count_col="_n")
+                                rank_col="_rank", count_col="_n", small_rows=small_rows)
     pct = F.when(F.col("_n") <= 1, F.lit(0.0)).otherwise(
         (F.col("_rank") - 1).cast("double") / (F.col("_n") - 1).cast("double"))
     return ranked.withColumn(out_col, pct).drop("_one", "_one_cum", "_rank", "_n")
