@@ -12,7 +12,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -21,7 +20,7 @@ from tabqual.plans import catalog  # noqa: E402
 from tabqual.plans import scaling  # noqa: E402
 from tabqual.plans.fixtures import FX2_SOURCE_COLUMNS, fx2  # noqa: E402
 from tabqual.operators import curate as cu  # noqa: E402
-from tabqual.session import get_session  # noqa: E402
+from tabqual.session import get_session, shared_path  # noqa: E402
 
 # queries whose cost is model training, not data processing (run by the
 # correctness check, not timed here)
@@ -53,7 +52,7 @@ def main() -> None:
             times[f"strong_p{parts}"] = round(secs, 4)
         for mode, rows, parts, secs in scaling.weak_scaling(curated, [2, 4, 8], repeats=repeats):
             times[f"weak_p{parts}"] = round(secs, 4)
-        out_dir = tempfile.mkdtemp(prefix="tabqual-bench-")
+        out_dir = shared_path(spark, "bench-strategies")
         table, equal = scaling.compare_strategies(fx2(spark, sf_dir).select(*FX2_SOURCE_COLUMNS), out_dir,
                                                   catalog.RUN_TS, repeats=repeats)
         for r in table.collect():

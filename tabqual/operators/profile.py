@@ -77,8 +77,13 @@ def null_profile_by_group(df: DataFrame, group_cols: Sequence[str],
 
 def with_fixed_average(df: DataFrame, by: str = "column", value: str = "null_ratio",
                        out: str = "avg_null_ratio_fixed") -> DataFrame:
-    """Level-of-detail average ``{FIXED [by]: AVG([value])}`` kept at row grain."""
-    return df.withColumn(out, F.avg(value).over(Window.partitionBy(by)))
+    """Level-of-detail average ``{FIXED [by]: AVG([value])}`` kept at row grain.
+
+    An aggregate per ``by`` value joined back (a partial aggregation, then a
+    join the planner may broadcast), so no task holds every row of one value.
+    """
+    avgs = df.groupBy(by).agg(F.avg(value).alias(out))
+    return df.join(avgs, by, "left")
 
 
 def null_ratio_filter(profile: DataFrame, columns: Sequence[str] | None = None,

@@ -61,12 +61,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5,
     delta = 2.0 / accuracy
     lo_p, hi_p = max(0.0, q - delta), min(1.0, q + delta)
 
-    # pass 1: sizes, distinct estimate and an initial bracket for every column
-    aggs = list(extra_aggs)
-    for i, c in enumerate(cols):
-        v = quote(c)
-        aggs += [F.expr(f"count({v}) AS _qn{i}"), F.expr(f"approx_count_distinct({v}) AS _qd{i}"),
-                 F.expr(f"percentile_approx({v}, array({lo_p!r}, {hi_p!r}), {int(accuracy)}) AS _qp{i}")]
+    # pass 1: value counts (plus the caller's statistics) - cheap, codegen'd aggregates
+    aggs = list(extra_aggs) + [F.expr(f"count({quote(c)}) AS _qn{i}") for i, c in enumerate(cols)]
     if not aggs:
         return {}, {}
     row = df.agg(*aggs).first().asDict()
@@ -79,8 +75,22 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5,
         if not n:
             result[c] = None
             continue
+        # a column with few rows has few distinct values: no sketch needed
         state[c] = {"rank": target_rank(q, n), "below": 0, "size": n, "lo": None, "hi": None,
-                    "distinct": row[f"_qd{i}"], "bounds": row[f"_qp{i}"]}
+                    "distinct": n, "bounds": None}
+
+    # pass 2, only for columns with more rows than the final step takes:
+    # distinct estimate and an initial bracket from a quantile sketch
+    big = [c for c, st in state.items() if st["size"] > final_distinct]
+    if big:
+        aggs = []
+        for j, c in enumerate(big):
+            v = quote(c)
+            aggs += [F.expr(f"approx_count_distinct({v}) AS d{j}"),
+                     F.expr(f"percentile_approx({v}, array({lo_p!r}, {hi_p!r}), {int(accuracy)}) AS p{j}")]
+        sk = df.agg(*aggs).first()
+        for j, c in enumerate(big):
+            state[c]["distinct"], state[c]["bounds"] = sk[f"d{j}"], sk[f"p{j}"]
 
     for _ in range(MAX_ROUNDS):
         narrowing = [c for c, s in state.items() if c not in result and s["distinct"] > final_distinct]
@@ -142,24 +152,25 @@ def _select_in_bracket(df: DataFrame, cols: Sequence[str], state: dict) -> dict:
     pick the target rank. Integral and fractional values travel in separate
     struct fields, so no value is rounded through another type."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    structs = []
-    for c in cols:
+    structs, wants = [], []
+    for i, c in enumerate(cols):
         s = state[c]
         v = qcol(c)
         integral = isinstance(types[c], T.IntegralType)
         keep = _in_bracket(v, s["lo"], s["hi"])
         structs.append(F.struct(
-            F.lit(c).alias("column"),
+            F.lit(i).alias("k"),
             F.when(keep, v.cast("bigint") if integral else F.lit(None).cast("bigint")).alias("iv"),
-            F.when(keep, F.lit(None).cast("double") if integral else v.cast("double")).alias("dv"),
-            F.lit(s["rank"] - s["below"]).cast("bigint").alias("want")))
+            F.when(keep, F.lit(None).cast("double") if integral else v.cast("double")).alias("dv")))
+        wants.append(f"WHEN {i} THEN {int(s['rank'] - s['below'])}")
     long = df.select(F.inline(F.array(*structs))).where(F.col("iv").isNotNull() | F.col("dv").isNotNull())
-    counted = long.groupBy("column", "iv", "dv", "want").agg(F.count(F.lit(1)).alias("cnt"))
-    w = Window.partitionBy("column").orderBy("iv", "dv").rowsBetween(Window.unboundedPreceding, 0)
+    counted = long.groupBy("k", "iv", "dv").agg(F.count(F.lit(1)).alias("cnt"))
+    w = Window.partitionBy("k").orderBy("iv", "dv").rowsBetween(Window.unboundedPreceding, 0)
+    want = F.expr(f"CASE k {' '.join(wants)} END")
     picked = (counted.withColumn("cum", F.sum("cnt").over(w))
-                     .where(F.col("cum") >= F.col("want"))
-                     .groupBy("column").agg(F.min(F.struct("iv", "dv")).alias("v")))
-    return {r["column"]: (r["v"]["iv"] if r["v"]["iv"] is not None else r["v"]["dv"]) for r in picked.collect()}
+                     .where(F.col("cum") >= want)
+                     .groupBy("k").agg(F.min(F.struct("iv", "dv")).alias("v")))
+    return {cols[r["k"]]: (r["v"]["iv"] if r["v"]["iv"] is not None else r["v"]["dv"]) for r in picked.collect()}
 
 
 def _literal(value, dtype: T.DataType) -> Column:

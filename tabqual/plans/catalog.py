@@ -264,6 +264,14 @@ def q_sample_export(spark, sf_dir):
     return pr.preview(table(spark, sf_dir, "orders"), ["o_orderkey"], 500)
 
 
+@register("dataset_profile", f"""
+WITH fx2 AS ({FX2_SQL})
+SELECT CAST(count(*) AS BIGINT) AS total_records, CAST(6 AS INTEGER) AS total_columns,
+  'orders' AS source_url FROM fx2""")
+def q_dataset_profile(spark, sf_dir):
+    return pr.dataset_profile(fx2(spark, sf_dir), "orders")
+
+
 # --------------------------------------------------------------------------- curation layout
 
 @register("scaling_query", f"""
@@ -505,6 +513,16 @@ def q_geojson_flatten(spark, sf_dir):
     return flat.select("event_id", "user_id", "event_type", "value", "geometry_type")
 
 
+@register("geometry_distribution", """
+SELECT CASE WHEN event_type = 'error' THEN NULL ELSE 'Point' END AS geometry_type,
+  CAST(count(*) AS BIGINT) AS records FROM events GROUP BY 1""")
+def q_geometry_distribution(spark, sf_dir):
+    """Rows per geometry type of the flattened GeoJSON features."""
+    events = table(spark, sf_dir, "events")
+    flat = rd.read_geojson(spark, ds.write_geojson_lines(spark, events), multiline=False)
+    return pr.group_count_desc(flat, "geometry_type")
+
+
 @register("json_unwrap", "SELECT event_id, user_id, event_type, value FROM events")
 def q_json_unwrap(spark, sf_dir):
     events = table(spark, sf_dir, "events")
