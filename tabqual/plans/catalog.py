@@ -23,7 +23,7 @@ from tabqual.operators import quality as qu
 from tabqual.operators import split as sp
 from tabqual.plans.fixtures import FX1_SQL, FX2_SOURCE_COLUMNS, FX2_SQL, FX3_SQL, fx1, fx2, fx3, table
 from tabqual.plans import derived_sources as ds
-from tabqual.session import shared_path
+from tabqual.session import materialize, shared_path
 from tabqual.sources import readers as rd
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -471,7 +471,8 @@ u AS (SELECT model, test_roc_auc FROM ({_group_auc_sql('lang')}) x
 SELECT model, round(avg(test_roc_auc), 9) AS avg_test_roc_auc FROM u WHERE model IS NOT NULL GROUP BY model""")
 def q_model_score_mart(spark, sf_dir):
     """Average test AUC per scorer over two metric tables (per language, per source)."""
-    scored = _scored_models(spark, sf_dir)
+    # both metric tables read the scored rows: compute them once
+    scored = materialize(_scored_models(spark, sf_dir))
     by_lang = ev.auc_metrics(scored, group_cols=["model", "lang"]).select("model", F.col("roc_auc").alias("test_roc_auc"))
     by_src = ev.auc_metrics(scored, group_cols=["model", "source"]).select("model", F.col("roc_auc").alias("test_roc_auc"))
     mart = ev.model_score_mart(by_lang, by_src)
