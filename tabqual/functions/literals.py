@@ -36,7 +36,7 @@ def sql_literal(value, dtype: T.DataType) -> str:
 
 def literal_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str) -> DataFrame:
     """A DataFrame holding ``rows`` (a handful of values known on the driver)."""
-    st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    st = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if not rows:
         cols = [f"{sql_literal(None, f.dataType)} AS {quote(f.name)}" for f in st.fields]
         return spark.range(0).selectExpr(*cols)

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabqual.functions.sampling import poisson1_weight_sql
 from tabqual.operators import curate as cu
@@ -537,9 +538,9 @@ SELECT CASE WHEN event_id % {ds.DAMAGE_EVERY} = 0 THEN 'quarantine' ELSE 'good'
 def q_corrupt_split(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     path = ds.write_damaged_json_lines(spark, events)
-    schema = "event_id bigint, user_id bigint, event_type string, value double"
-    from pyspark.sql import types as T
-    good, bad = rd.read_with_quarantine(spark, path, T._parse_datatype_string(schema))
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+                           T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])
+    good, bad = rd.read_with_quarantine(spark, path, schema)
     g = good.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(F.lit("good").alias("status"), "rows")
     b = bad.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(F.lit("quarantine").alias("status"), "rows")
     return g.unionByName(b)
