@@ -31,6 +31,11 @@ DEFAULT_ACCURACY = 10_000
 DEFAULT_FINAL_DISTINCT = 1_000_000
 # Fixed value: inputs up to this many rows are ordered by one plain window.
 SMALL_INPUT_ROWS = 1_000_000
+# Target rows per bucket of the bucketed path, and the most
+# buckets a composite (multi-column) key is split into by a CASE tree. A
+# single numeric order key is bucketed by binary search with no cap.
+ROWS_PER_BUCKET = 2_000_000
+MAX_TREE_BUCKETS = 4096
 MAX_ROUNDS = 20
 
 
@@ -228,6 +233,34 @@ def bucket_expr(df: DataFrame, key_cols: Sequence[str], bounds: Sequence[tuple])
     return tree(0, len(lits))
 
 
+def with_buckets(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], buckets: int,
+                 n_rows: int | None = None) -> DataFrame:
+    """Add ``_bucket``: a pure, order-preserving function of the key.
+
+    A single numeric order key is cut at sampled split points by Spark ML's
+    ``Bucketizer`` (binary search, any number of buckets); rows of every group
+    share those score ranges. Other keys use the CASE tree over
+    (group, order) with at most ``MAX_TREE_BUCKETS`` buckets.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if len(order_cols) == 1 and isinstance(types[order_cols[0]], T.NumericType):
+        from pyspark.ml.feature import Bucketizer
+        col = order_cols[0]
+        bounds = range_bounds(df, [col], buckets, n_rows=n_rows)
+        inner = sorted({float(b[0]) for b in bounds if b[0] is not None and b[0] == b[0]})
+        if not inner:
+            return df.withColumn("_bucket", F.lit(0.0))
+        splits = [float("-inf")] + inner + [float("inf")]
+        keyed = df.withColumn("_bkey", qcol(col).cast("double"))
+        cut = Bucketizer(splits=splits, inputCol="_bkey", outputCol="_bucket", handleInvalid="keep").transform(keyed)
+        # NULL keys sort first: give them their own lowest bucket
+        return cut.withColumn("_bucket", F.when(F.col("_bkey").isNull(), F.lit(-1.0))
+                              .otherwise(F.col("_bucket"))).drop("_bkey")
+    keys = list(group_cols) + list(order_cols)
+    bounds = range_bounds(df, keys, min(buckets, MAX_TREE_BUCKETS), n_rows=n_rows)
+    return df.withColumn("_bucket", bucket_expr(df, keys, bounds))
+
+
 def ordered_cumulative(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                        sum_cols: Sequence[str], buckets: int | None = None,
                        rank_col: str | None = None, count_col: str | None = None,
@@ -242,7 +275,6 @@ def ordered_cumulative(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
     recomputed.
     """
     groups, order, sums = list(group_cols), list(order_cols), list(sum_cols)
-    nb = buckets or shuffle_partitions(df.sparkSession)
     n = df.count()
     if n <= small_rows:
         # proven small: one window per group is bounded by n rows
@@ -256,8 +288,8 @@ def ordered_cumulative(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
         if with_totals:
             cols.update({f"{c}_tot": F.sum(c).over(whole) for c in sums})
         return df.withColumns(cols)
-    bounds = range_bounds(df, groups + order, nb, n_rows=n)
-    bucketed = df.withColumn("_bucket", bucket_expr(df, groups + order, bounds))
+    nb = buckets or max(shuffle_partitions(df.sparkSession), -(-n // ROWS_PER_BUCKET))
+    bucketed = with_buckets(df, groups, order, nb, n)
     local_w = Window.partitionBy("_bucket", *groups).orderBy(*order)
     local = bucketed.withColumns({f"{c}_lcum": F.sum(c).over(local_w) for c in sums})
     if rank_col:

@@ -58,3 +58,17 @@ def test_scalable_percent_rank_equals_window(spark):
     g = {r["id"]: r["p"] for r in got.collect()}
     w = {r["id"]: r["p"] for r in want.collect()}
     assert g == pytest.approx(w)
+
+
+@pytest.mark.parametrize("order", [["d", "id"], ["s"]])
+def test_ordered_cumulative_composite_and_string_keys(spark, order):
+    rnd = random.Random(13)
+    rows = [(rnd.choice(["x", "y"]), rnd.randint(0, 20), i, f"s{rnd.randint(0, 60):03d}") for i in range(1200)]
+    df = spark.createDataFrame(rows, "label string, d int, id int, s string")
+    got = ordered_cumulative(df.withColumn("one", F.lit(1)), ["label"], order, ["one"], buckets=6,
+                             rank_col="rk", small_rows=0)
+    w = Window.partitionBy("label").orderBy(*order)
+    want = df.withColumns({"one_cum": F.count(F.lit(1)).over(w), "rk": F.rank().over(w)})
+    g = sorted((r["id"], r["one_cum"], r["rk"]) for r in got.collect())
+    e = sorted((r["id"], r["one_cum"], r["rk"]) for r in want.collect())
+    assert g == e
