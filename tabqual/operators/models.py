@@ -9,6 +9,7 @@ only the per-model metric rows (a handful of scalars) reach the driver.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -76,13 +77,16 @@ class TrainedModels:
 def train_and_compare(train: DataFrame, val: DataFrame, test: DataFrame, cat_cols: Sequence[str],
                       num_cols: Sequence[str], id_col: str, models: Sequence[str] = MODEL_NAMES,
                       folds: int = 3, parallelism: int = 2, seed: int = 42,
-                      bootstrap_replicates: int = ev.BOOTSTRAP_REPLICATES) -> TrainedModels:
+                      bootstrap_replicates: int = ev.BOOTSTRAP_REPLICATES,
+                      concurrent_models: int = 3) -> TrainedModels:
     """Fit each classifier with k-fold CV on ROC-AUC and evaluate it on val/test.
 
     Feature stages are fitted once on the training split (vocabularies and
     imputation means come from training rows only); the assembled training
     vectors are checkpointed, so every CV fold and grid point reads written
-    data instead of re-running the upstream plan.
+    data instead of re-running the upstream plan. ``train_seconds`` is the
+    wall-clock of each model's CV fit, which overlaps when
+    ``concurrent_models > 1``.
     """
     spark = train.sparkSession
     as_double = F.col("label").cast("double")
@@ -93,24 +97,32 @@ def train_and_compare(train: DataFrame, val: DataFrame, test: DataFrame, cat_col
     val_vec = featurizer.transform(val).select(*keep)
     test_vec = featurizer.transform(test).select(*keep)
     evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
-    rows, imp_rows, fitted = [], [], {}
-    for name in models:
+
+    def fit_and_score(name: str):
         est, grid = classifier_and_grid(name, seed)
         cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=evaluator,
                             numFolds=folds, parallelism=parallelism, seed=seed)
         start = time.perf_counter()
         best = cv.fit(train_vec).bestModel
         seconds = time.perf_counter() - start
-        fitted[name] = PipelineModel(stages=list(featurizer.stages) + [best])
         val_pred = positive_score(best.transform(val_vec))
         test_pred = positive_score(best.transform(test_vec))
         v = ev.auc_metrics(val_pred).first()
         t = ev.auc_metrics(test_pred).first()
         ci = ev.bootstrap_auc_ci(test_pred, id_col=id_col, replicates=bootstrap_replicates, seed=seed).first()
         conf = ev.confusion_profit(test_pred).first()
-        rows.append((name, v["roc_auc"], t["roc_auc"], t["pr_auc"], ci["auc_ci_low"], ci["auc_ci_high"],
-                     float(seconds), float(conf["expected_profit"]), int(conf["rows"])))
-        imp_rows += _importances(name, best, test_pred)
+        row = (name, v["roc_auc"], t["roc_auc"], t["pr_auc"], ci["auc_ci_low"], ci["auc_ci_high"],
+               float(seconds), float(conf["expected_profit"]), int(conf["rows"]))
+        return name, best, row, _importances(name, best, test_pred)
+
+    # the models are independent Spark jobs: submit them from concurrent driver threads
+    with ThreadPoolExecutor(max_workers=max(1, min(len(models), concurrent_models))) as pool:
+        results = list(pool.map(fit_and_score, models))
+    rows, imp_rows, fitted = [], [], {}
+    for name, best, row, imps in results:
+        fitted[name] = PipelineModel(stages=list(featurizer.stages) + [best])
+        rows.append(row)
+        imp_rows += imps
     comparison = spark.createDataFrame(rows, "model string, val_roc_auc double, test_roc_auc double, "
                                              "test_pr_auc double, auc_ci_low double, auc_ci_high double, "
                                              "train_seconds double, expected_profit_index double, test_rows bigint")

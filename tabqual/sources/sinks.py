@@ -21,15 +21,11 @@ from tabqual.operators.curate import layout_for_write
 def write_partitioned_parquet(df: DataFrame, path: str,
                               partition_cols: Sequence[str] = ("ingest_year", "ingest_month"),
                               layout: str = "rebalance", mode: str = "overwrite") -> None:
-    """Partitioned Parquet; with ``overwrite`` only the partitions present are replaced."""
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (layout_for_write(df, partition_cols, method=layout)
-            .write.mode(mode).partitionBy(*partition_cols).parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    """Partitioned Parquet; with ``overwrite`` only the partitions present are replaced
+    (a per-write option, so concurrent jobs of the session are unaffected)."""
+    (layout_for_write(df, partition_cols, method=layout)
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_cols).parquet(path))
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
