@@ -36,3 +36,15 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert df.columns == ["quality_band", "min_ratio", "records"]
     assert sum(r["records"] for r in rows) > 0
+
+
+SPARK_TO_SQL = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_types_match_oracle(spark, con, name):
+    schema = catalog.queries()[name](spark, SF_SMALL).schema
+    got = {f.name: SPARK_TO_SQL.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in schema.fields}
+    want = {c[0]: c[1] for c in con.execute(f"DESCRIBE {catalog.oracle_sql()[name]}").fetchall()}
+    assert got == want
