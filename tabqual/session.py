@@ -44,6 +44,45 @@ def get_session(master: str | None = None, app_name: str = "tabqual",
     return spark
 
 
+# Target bytes per task for scans and shuffles, and the largest
+# side the planner may broadcast after measuring it at runtime.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Settings sized for an input of ``input_bytes`` on ``total_cores`` cores.
+
+    Initial shuffle partitions follow the data (about 128 MB each, at least
+    three waves of tasks); adaptive execution coalesces small partitions and
+    splits skewed ones at runtime, so the initial number errs on the high side.
+    """
+    parts = max(3 * total_cores, -(-int(input_bytes) // TARGET_PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(MAX_BROADCAST_BYTES),
+    }
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files behind ``paths`` (file listing only, no data read)."""
+    df = spark.read.parquet(*([paths] if isinstance(paths, str) else list(paths)))
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def apply_scale_conf(spark: SparkSession, paths, total_cores: int | None = None) -> dict[str, str]:
+    """Size the session for the parquet input at ``paths``; returns what was set."""
+    cores = total_cores or spark.sparkContext.defaultParallelism
+    conf = scale_conf(input_bytes(spark, paths), cores)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a private one only if unset."""
     sc = spark.sparkContext

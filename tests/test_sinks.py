@@ -32,3 +32,12 @@ def test_lineage_append_and_status(spark, tmp_path):
     sinks.log_lineage(spark, path, "r2", "read", "ok")
     st = {r["run_id"]: (r["steps"], r["failed_steps"]) for r in sinks.lineage_status(sinks.read_lineage(spark, path)).collect()}
     assert st == {"r1": (2, 1), "r2": (1, 0)}
+
+
+def test_scale_conf_follows_input_size(spark):
+    from tabqual.session import TARGET_PARTITION_BYTES, input_bytes, scale_conf
+    small = scale_conf(10 * 1024 * 1024, 8)
+    big = scale_conf(100 * 1024 ** 4, 8000)          # 100 TB on 8000 cores
+    assert small["spark.sql.shuffle.partitions"] == "24"
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // TARGET_PARTITION_BYTES
+    assert input_bytes(spark, "/root/testdata/sf0.01/lineitem.parquet") > 1_000_000
