@@ -69,9 +69,11 @@ def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
 
 
 def input_bytes(spark: SparkSession, paths) -> int:
-    """Total size of the files behind ``paths`` (file listing only, no data read)."""
-    df = spark.read.parquet(*([paths] if isinstance(paths, str) else list(paths)))
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Total size of the files behind ``paths`` (file lengths only; no content is read)."""
+    from pyspark.sql import functions as F
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .load(*([paths] if isinstance(paths, str) else list(paths))))
+    return int(files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
 
 
 def apply_scale_conf(spark: SparkSession, paths, total_cores: int | None = None) -> dict[str, str]:

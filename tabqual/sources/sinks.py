@@ -7,7 +7,9 @@ written by Spark. Intermediate tables go below the shared folder
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import io
 import json
 from collections.abc import Mapping, Sequence
 
@@ -90,5 +92,9 @@ def save_model(model, path: str) -> None:
 
 
 def plan_text(df: DataFrame, mode: str = "extended") -> str:
-    """Parsed, analyzed, optimized and physical plans as text (no execution)."""
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+    """The text ``DataFrame.explain(mode)`` prints (no execution): ``extended`` gives
+    the parsed, analyzed, optimized and physical plans."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()

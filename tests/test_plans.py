@@ -14,7 +14,7 @@ from tabqual.sources import sinks
 
 
 def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    return sinks.plan_text(df, "simple")
 
 
 def test_write_layout_never_funnels_into_one_task(spark, tmp_path):

@@ -54,7 +54,8 @@ def test_three_join_strategies_agree(spark):
 
 def test_broadcast_join_plan(spark):
     df = spark.createDataFrame([(1, "a")], "id int, s string")
-    plan = cu.curate(df, run_ts="2026-01-15 12:00:00")._jdf.queryExecution().executedPlan().toString()
+    from tabqual.sources.sinks import plan_text
+    plan = plan_text(cu.curate(df, run_ts="2026-01-15 12:00:00"), "simple")
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
 
 
