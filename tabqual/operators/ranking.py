@@ -2,11 +2,12 @@
 
 * :func:`exact_quantiles` - the value at rank ``ceil(q * n)`` of each column
   (ANSI ``percentile_disc``), found by narrowing a value bracket: each round
-  takes approximate quantiles of the rows still inside the bracket, then
-  counts exactly how many rows fall below the new bounds. Only when few
-  distinct values are left are they grouped and ranked. Every pass is one
-  aggregation over the pruned columns; the driver only sees a few scalars
-  per column.
+  is an equal-width histogram of the rows still inside the bracket, with
+  exact per-bin counts, minima and maxima, and the bin holding the target
+  rank becomes the next bracket. Only a bracket with few rows is grouped by
+  value and ranked. Every pass is one aggregation over the pruned columns
+  into at most ``columns * (bins + 1)`` groups; the driver only sees those
+  bin rows.
 * :func:`ordered_cumulative` - running sums over an ordering within groups
   (prefix sums). Rows get a bucket from split keys sampled on (group, order),
   are summed locally per bucket with a window, and shifted by per-bucket
@@ -28,7 +29,9 @@ from tabqual.functions.columns import qcol, quote
 from tabqual.session import shuffle_partitions
 
 DEFAULT_ACCURACY = 10_000
-DEFAULT_FINAL_DISTINCT = 1_000_000
+DEFAULT_FINAL_DISTINCT = 500_000
+# Fixed value: bins of each narrowing histogram.
+HISTOGRAM_BINS = 1024
 # Fixed value: inputs up to this many rows are ordered by one plain window.
 SMALL_INPUT_ROWS = 1_000_000
 # Target rows per bucket of the bucketed path, and the most
@@ -43,31 +46,27 @@ def target_rank(q: float, n: int) -> int:
     return max(1, int(math.ceil(q * n)))
 
 
-def _in_bracket(c: Column, lo, hi) -> Column:
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (c > F.lit(lo))
-    if hi is not None:
-        cond = cond & (c < F.lit(hi))
-    return c.isNotNull() & cond
-
-
 def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5,
                     accuracy: int = DEFAULT_ACCURACY,
                     final_distinct: int = DEFAULT_FINAL_DISTINCT,
-                    extra_aggs: Sequence[Column] = ()) -> tuple[dict[str, object], dict]:
-    """Exact ``q``-quantile (lower, discrete) of each numeric column.
-
-    Returns ``({column: value}, extra)``: ``None`` for a column with no values,
-    and ``extra`` holds the values of ``extra_aggs``, computed in the same
-    first pass (so a profile needs no separate scan for its other statistics).
+                    extra_aggs: Sequence[Column] = (), bins: int = HISTOGRAM_BINS) -> tuple[dict[str, object], dict]:
+    """Exact ``q``-quantile (lower, discrete: rank ``ceil(q * n)``) of each numeric column.
+
+    Pass 1 counts values and takes min/max (with the caller's ``extra_aggs``).
+    While a column has more than ``final_distinct`` values in its bracket,
+    one pass builds an equal-width histogram of every such column's bracket
+    (a partial aggregation into at most ``columns * (bins + 1)`` keys, with the
+    exact count, min and max per bin); the bin holding the target rank becomes
+    the next bracket ``[bin min, bin max]``. The last bracket is grouped by
+    value and ranked. ``accuracy`` is kept for callers of the sketch variant.
+
+    Returns ``({column: value}, extra)``; ``None`` for a column with no values.
     """
     cols = list(columns)
-    delta = 2.0 / accuracy
-    lo_p, hi_p = max(0.0, q - delta), min(1.0, q + delta)
-
-    # pass 1: value counts (plus the caller's statistics) - cheap, codegen'd aggregates
-    aggs = list(extra_aggs) + [F.expr(f"count({quote(c)}) AS _qn{i}") for i, c in enumerate(cols)]
+    aggs = list(extra_aggs)
+    for i, c in enumerate(cols):
+        v = quote(c)
+        aggs += [F.expr(f"count({v}) AS _qn{i}"), F.expr(f"min({v}) AS _qlo{i}"), F.expr(f"max({v}) AS _qhi{i}")]
     if not aggs:
         return {}, {}
     row = df.agg(*aggs).first().asDict()
@@ -80,71 +79,48 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5,
         if not n:
             result[c] = None
             continue
-        # a column with few rows has few distinct values: no sketch needed
-        state[c] = {"rank": target_rank(q, n), "below": 0, "size": n, "lo": None, "hi": None,
-                    "distinct": n, "bounds": None}
-
-    # pass 2, only for columns with more rows than the final step takes:
-    # distinct estimate and an initial bracket from a quantile sketch
-    big = [c for c, st in state.items() if st["size"] > final_distinct]
-    if big:
-        aggs = []
-        for j, c in enumerate(big):
-            v = quote(c)
-            aggs += [F.expr(f"approx_count_distinct({v}) AS d{j}"),
-                     F.expr(f"percentile_approx({v}, array({lo_p!r}, {hi_p!r}), {int(accuracy)}) AS p{j}")]
-        sk = df.agg(*aggs).first()
-        for j, c in enumerate(big):
-            state[c]["distinct"], state[c]["bounds"] = sk[f"d{j}"], sk[f"p{j}"]
+        state[c] = {"rank": target_rank(q, n), "below": 0, "size": n, "lo": row[f"_qlo{i}"], "hi": row[f"_qhi{i}"]}
 
+    types = {f.name: f.dataType for f in df.schema.fields}
     for _ in range(MAX_ROUNDS):
-        narrowing = [c for c, s in state.items() if c not in result and s["distinct"] > final_distinct]
+        for c, st in state.items():
+            if c not in result and st["lo"] == st["hi"]:
+                result[c] = st["lo"]          # every value left in the bracket is equal
+        narrowing = [c for c, st in state.items() if c not in result and st["size"] > final_distinct]
         if not narrowing:
             break
-        # exact counts at the candidate bounds, all columns in one pass
-        aggs = []
-        for j, c in enumerate(narrowing):
-            s = state[c]
-            v = qcol(c)
-            inside = _in_bracket(v, s["lo"], s["hi"])
-            b1, b2 = s["bounds"]
-            aggs += [F.count_if(inside & (v < F.lit(b1))).alias(f"a{j}"),
-                     F.count_if(inside & (v <= F.lit(b1))).alias(f"b{j}"),
-                     F.count_if(inside & (v < F.lit(b2))).alias(f"c{j}"),
-                     F.count_if(inside & (v <= F.lit(b2))).alias(f"d{j}")]
-        counts = df.agg(*aggs).first()
-        for j, c in enumerate(narrowing):
-            s = state[c]
-            b1, b2 = s["bounds"]
-            a, b, cc, d = (counts[f"{k}{j}"] for k in "abcd")
-            want = s["rank"] - s["below"]
-            if want <= a:
-                s["hi"], s["size"] = b1, a
-            elif want <= b:
-                result[c] = b1
-            elif want <= cc:
-                s["lo"], s["hi"], s["below"], s["size"] = b1, b2, s["below"] + b, cc - b
-            elif want <= d:
-                result[c] = b2
-            else:
-                s["lo"], s["below"], s["size"] = b2, s["below"] + d, s["size"] - d
-        # new bracket inside the narrowed range
-        pending = [c for c in narrowing if c not in result]
-        if not pending:
-            break
-        aggs = []
-        for j, c in enumerate(pending):
-            s = state[c]
+        structs = []
+        for k, c in enumerate(narrowing):
+            st = state[c]
             v = qcol(c)
-            p = (s["rank"] - s["below"]) / max(1, s["size"])
-            inner = F.when(_in_bracket(v, s["lo"], s["hi"]), v)
-            aggs += [F.approx_count_distinct(inner).alias(f"d{j}"),
-                     F.percentile_approx(inner, [max(0.0, p - delta), min(1.0, p + delta)],
-                                         accuracy).alias(f"p{j}")]
-        nxt = df.agg(*aggs).first()
-        for j, c in enumerate(pending):
-            state[c]["distinct"] = nxt[f"d{j}"]
-            state[c]["bounds"] = nxt[f"p{j}"]
+            inside = v.isNotNull() & (v >= F.lit(st["lo"])) & (v <= F.lit(st["hi"]))
+            integral = isinstance(types[c], T.IntegralType)
+            structs.append(F.struct(
+                F.lit(k).alias("k"),
+                F.when(inside, F.expr(f"width_bucket(CAST({quote(c)} AS DOUBLE), "
+                                      f"CAST({_num_sql(st['lo'])} AS DOUBLE), CAST({_num_sql(st['hi'])} AS DOUBLE), "
+                                      f"{int(bins)})")).alias("bin"),
+                F.when(inside, v.cast("bigint") if integral else F.lit(None).cast("bigint")).alias("iv"),
+                F.when(inside, F.lit(None).cast("double") if integral else v.cast("double")).alias("dv")))
+        hist = (df.select(F.inline(F.array(*structs))).where(F.col("bin").isNotNull())
+                  .groupBy("k", "bin").agg(F.count(F.lit(1)).alias("cnt"),
+                                          F.min("iv").alias("imin"), F.max("iv").alias("imax"),
+                                          F.min("dv").alias("dmin"), F.max("dv").alias("dmax"))
+                  .collect())
+        per_col: dict[int, list] = {}
+        for r in hist:
+            per_col.setdefault(r["k"], []).append(r)
+        for k, c in enumerate(narrowing):
+            st = state[c]
+            want = st["rank"] - st["below"]
+            seen = 0
+            for r in sorted(per_col.get(k, []), key=lambda x: x["bin"]):
+                if seen + r["cnt"] >= want:
+                    lo = r["imin"] if r["imin"] is not None else r["dmin"]
+                    hi = r["imax"] if r["imax"] is not None else r["dmax"]
+                    st.update(lo=lo, hi=hi, below=st["below"] + seen, size=r["cnt"])
+                    break
+                seen += r["cnt"]
 
     remaining = [c for c in state if c not in result]
     if remaining:
@@ -152,6 +128,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5,
     return result, extra
 
 
+def _num_sql(value) -> str:
+    return repr(float(value)) if isinstance(value, float) else str(value)
+
+
 def _select_in_bracket(df: DataFrame, cols: Sequence[str], state: dict) -> dict:
     """Group the few values left in each bracket (one scan for all columns) and
     pick the target rank. Integral and fractional values travel in separate
@@ -162,7 +142,7 @@ def _select_in_bracket(df: DataFrame, cols: Sequence[str], state: dict) -> dict:
         s = state[c]
         v = qcol(c)
         integral = isinstance(types[c], T.IntegralType)
-        keep = _in_bracket(v, s["lo"], s["hi"])
+        keep = v.isNotNull() & (v >= F.lit(s["lo"])) & (v <= F.lit(s["hi"]))
         structs.append(F.struct(
             F.lit(i).alias("k"),
             F.when(keep, v.cast("bigint") if integral else F.lit(None).cast("bigint")).alias("iv"),
