@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tabqual.functions.sampling import hash_uniform, poisson1_weight
 from tabqual.operators.ranking import ordered_cumulative
-from tabqual.session import materialize, shuffle_partitions
+from tabqual.session import materialize
 
 # Confusion-matrix payoffs per true positive, false positive
 # and false negative, and the hard-decision threshold.
@@ -105,12 +105,12 @@ def bootstrap_weights(pred: DataFrame, id_col: str, replicates: int = BOOTSTRAP_
                       seed: int = 7) -> DataFrame:
     """One row per (replicate, row) with a Poisson(1) weight > 0, generated inside each task.
 
-    Rows are first hashed on the id over the shuffle partitions, so the
-    replicate expansion (and its hashing) runs in that many tasks whatever the
+    Rows are first hashed on the id over the cluster's cores, so the
+    replicate expansion (and its hashing) runs on all of them whatever the
     input's own partitioning; that shuffle moves 1/``replicates`` of the rows
     the replicate aggregation moves afterwards.
     """
-    spread = pred.repartition(shuffle_partitions(pred.sparkSession), F.col(id_col))
+    spread = pred.repartition(pred.sparkSession.sparkContext.defaultParallelism, F.col(id_col))
     reps = spread.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
     w = poisson1_weight(hash_uniform(F.lit(seed), F.col("rep"), F.col(id_col)))
     return reps.withColumn("_w", w).where(F.col("_w") > 0)
