@@ -285,7 +285,12 @@ def ordered_cumulative(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
         F.sum("_bcnt").over(whole).alias("_gcnt"),
         *[F.sum(f"{c}_btot").over(whole).alias(f"{c}_tot") for c in sums],
     )
-    out = local.join(offsets, ["_bucket", *groups], "inner")
+    # null-safe keys: a NULL group value is a group of its own, as in a window
+    keys = ["_bucket", *groups]
+    l, o = local.alias("_l"), offsets.alias("_o")
+    cond = [F.col(f"_l.{quote(k)}").eqNullSafe(F.col(f"_o.{quote(k)}")) for k in keys]
+    carried = [c for c in offsets.columns if c not in keys]
+    out = l.join(o, cond, "inner").select("_l.*", *[F.col(f"_o.{quote(c)}") for c in carried])
     cols = {f"{c}_cum": F.col(f"{c}_lcum") + F.col(f"{c}_off") for c in sums}
     if rank_col:
         cols[rank_col] = (F.col("_lrank") + F.col("_cnt_off")).cast("bigint")
