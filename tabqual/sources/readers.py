@@ -98,15 +98,20 @@ def read_geojson(spark: SparkSession, path: str | Sequence[str], multiline: bool
 
 
 def unwrap_json(raw: DataFrame, wrapper: str = "results") -> DataFrame:
-    """Rows of ``{"<wrapper>": [objects]}`` documents; plain objects pass through."""
+    """Rows of ``{"<wrapper>": [objects]}`` documents; plain objects (from arrays
+    or lines) read in the same pass are kept beside them."""
     if raw.columns == [CORRUPT_COLUMN] or not raw.columns:
         raise SourceError("JSON input holds no parsable records")
     if wrapper in raw.columns and isinstance(raw.schema[wrapper].dataType, T.ArrayType):
         elem = raw.schema[wrapper].dataType.elementType
-        exploded = raw.select(F.explode(wrapper).alias("r"))
-        if isinstance(elem, T.StructType):
-            return exploded.select("r.*")
-        raise SourceError(f"'{wrapper}' does not hold objects")
+        if not isinstance(elem, T.StructType):
+            raise SourceError(f"'{wrapper}' does not hold objects")
+        unwrapped = raw.where(F.col(wrapper).isNotNull()).select(F.explode(wrapper).alias("r")).select("r.*")
+        others = [c for c in raw.columns if c != wrapper]
+        if others:
+            plain = raw.where(F.col(wrapper).isNull()).select(*others)
+            unwrapped = unwrapped.unionByName(plain, allowMissingColumns=True)
+        return unwrapped
     return raw
 
 
@@ -182,10 +187,20 @@ def format_expr(path: Column, content: Column, content_type: Column | None = Non
              .otherwise(F.lit("json")))
 
 
+def json_layout_expr(content: Column) -> Column:
+    """``lines`` when the first line holds one complete JSON object, else ``document``."""
+    sample = _sniff_text(content)
+    first_line = F.rtrim(F.regexp_extract(sample, r"^([^\r\n]*)", 1))
+    one_object = first_line.startswith("{") & first_line.endswith("}")
+    return F.when(one_object, F.lit("lines")).otherwise(F.lit("document"))
+
+
 def detect_formats(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """``path, length, format`` for every file below ``path`` (one row per file)."""
+    """``path, length, format, json_layout`` for every file below ``path`` (one row per file)."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path))
-    return files.select("path", "length", format_expr(F.col("path"), F.col("content")).alias("format"))
+    fmt = format_expr(F.col("path"), F.col("content"))
+    return files.select("path", "length", fmt.alias("format"),
+                        F.when(fmt == "json", json_layout_expr(F.col("content"))).alias("json_layout"))
 
 
 def read_detected(spark: SparkSession, files: DataFrame) -> DataFrame:
@@ -193,22 +208,27 @@ def read_detected(spark: SparkSession, files: DataFrame) -> DataFrame:
     the results by name (missing columns become NULL).
 
     ``files`` is the small per-file table from :func:`detect_formats`; only
-    its path lists reach the driver.
+    its path lists reach the driver. JSON lines are read line by line (split
+    freely), JSON documents one per task.
     """
     parts = []
     empty = files.where(F.col("format") == "empty").select("path").limit(1).collect()
     if empty:
         raise SourceError(f"empty source file: {empty[0]['path']}")
-    for fmt in ("csv", "geojson", "json"):
-        paths = [r["path"] for r in files.where(F.col("format") == fmt).select("path").collect()]
-        if not paths:
-            continue
-        if fmt == "csv":
-            parts.append(read_csv(spark, paths))
-        elif fmt == "geojson":
-            parts.append(read_geojson(spark, paths, multiline=True))
-        else:
-            parts.append(read_wrapped_json(spark, paths, multiline=True))
+
+    def paths(cond) -> list[str]:
+        return [r["path"] for r in files.where(cond).select("path").collect()]
+
+    csv_paths = paths(F.col("format") == "csv")
+    if csv_paths:
+        parts.append(read_csv(spark, csv_paths))
+    geo_paths = paths(F.col("format") == "geojson")
+    if geo_paths:
+        parts.append(read_geojson(spark, geo_paths, multiline=True))
+    for layout, multiline in (("lines", False), ("document", True)):
+        json_paths = paths((F.col("format") == "json") & (F.col("json_layout") == layout))
+        if json_paths:
+            parts.append(read_wrapped_json(spark, json_paths, multiline=multiline))
     if not parts:
         raise SourceError("no readable files")
     out = parts[0]

@@ -70,11 +70,14 @@ def test_format_detection_and_mixed_read(spark, tmp_path):
     _write(d / "three.json", json.dumps([{"id": 3, "w": "c"}]))
     _write(d / "four.bin", json.dumps({"type": "FeatureCollection", "features": [
         {"type": "Feature", "properties": {"id": 4}, "geometry": {"type": "Point"}}]}))
+    _write(d / "five.json", '{"id": 5, "w": "e"}\n{"id": 6, "w": "f"}\n')   # JSON lines
+    _write(d / "seven.json", json.dumps({"results": [{"id": 7}]}, indent=2))  # wrapped document
     files = rd.detect_formats(spark, str(d))
-    got = {r["path"].rsplit("/", 1)[-1]: r["format"] for r in files.collect()}
-    assert got == {"one.csv": "csv", "two.data": "csv", "three.json": "json", "four.bin": "geojson"}
+    got = {r["path"].rsplit("/", 1)[-1]: (r["format"], r["json_layout"]) for r in files.collect()}
+    assert got == {"one.csv": ("csv", None), "two.data": ("csv", None), "three.json": ("json", "document"),
+                   "four.bin": ("geojson", None), "five.json": ("json", "lines"), "seven.json": ("json", "document")}
     rows = rd.read_detected(spark, files)
-    assert sorted(int(r["id"]) for r in rows.collect()) == [1, 2, 3, 4]
+    assert sorted(int(r["id"]) for r in rows.collect()) == [1, 2, 3, 4, 5, 6, 7]
 
 
 def test_empty_file_is_an_error(spark, tmp_path):
