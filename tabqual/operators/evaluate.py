@@ -73,13 +73,14 @@ def _curve_areas(scores: DataFrame, group_cols: Sequence[str], buckets: int | No
     tp = F.col("P") - F.col("pos_cum") + F.col("pos")      # positives scored >= s
     fp = F.col("N") - F.col("neg_cum") + F.col("neg")      # negatives scored >= s
     tp_prev, fp_prev = tp - F.col("pos"), fp - F.col("neg")
-    prec = tp / (tp + fp)
-    prec_prev = F.when(tp_prev + fp_prev > 0, tp_prev / (tp_prev + fp_prev)).otherwise(prec)
+    # ratios use try_divide: a one-class group gives NULL, not a division error
+    prec = F.try_divide(tp, tp + fp)
+    prec_prev = F.coalesce(F.try_divide(tp_prev, tp_prev + fp_prev), prec)
     roc_piece = F.col("neg") * (F.lit(2.0) * tp - F.col("pos"))
-    pr_piece = (F.col("pos") / F.col("P")) * (prec + prec_prev) / F.lit(2.0)
+    pr_piece = F.try_divide(F.col("pos"), F.col("P")) * (prec + prec_prev) / F.lit(2.0)
     per_score = cum.select(*groups, "P", "N", roc_piece.alias("roc_piece"), pr_piece.alias("pr_piece"))
     areas = per_score.groupBy(*groups).agg(
-        (F.sum("roc_piece") / (F.lit(2.0) * F.first("P") * F.first("N"))).alias("roc_auc"),
+        F.try_divide(F.sum("roc_piece"), F.lit(2.0) * F.first("P") * F.first("N")).alias("roc_auc"),
         F.sum("pr_piece").alias("pr_auc"),
         F.first("P").alias("positives"),
         F.first("N").alias("negatives"),
