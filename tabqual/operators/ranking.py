@@ -129,7 +129,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5,
 
 
 def _num_sql(value) -> str:
-    return repr(float(value)) if isinstance(value, float) else str(value)
+    """SQL text for a bound; floats go through a string so infinities parse."""
+    return f"CAST('{value!r}' AS DOUBLE)" if isinstance(value, float) else str(value)
 
 
 def _select_in_bracket(df: DataFrame, cols: Sequence[str], state: dict) -> dict:
