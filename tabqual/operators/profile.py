@@ -31,6 +31,21 @@ def _inline(structs: list[str]) -> str:
     return f"inline(array({', '.join(structs)}))"
 
 
+# Fixed value: most columns aggregated by one wide aggregation; wider tables
+# are profiled in chunks (each chunk's scan reads only its own columns).
+MAX_COLUMNS_PER_AGG = 200
+
+
+def chunked(columns: Sequence[str], build) -> DataFrame:
+    """``build(chunk)`` for every chunk of at most ``MAX_COLUMNS_PER_AGG`` columns, unioned."""
+    cols = list(columns)
+    parts = [build(cols[i:i + MAX_COLUMNS_PER_AGG]) for i in range(0, max(len(cols), 1), MAX_COLUMNS_PER_AGG)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def summary_totals(df: DataFrame, ratio_col: str | None = "completeness_ratio") -> DataFrame:
     """``total_records`` (+ ``avg_completeness`` when the ratio column exists)."""
     aggs = [F.count(F.lit(1)).cast("bigint").alias("total_records")]
@@ -55,12 +70,15 @@ def group_count_desc(df: DataFrame, column: str, count_name: str = "records") ->
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``column, null_count, null_ratio`` where null means NULL or blank; most missing first."""
     cols = list(df.columns if columns is None else columns)
-    aggs = ["count(1) AS total"] + [f"sum({missing_flag_sql(c)}) AS m{i}" for i, c in enumerate(cols)]
-    wide = df.agg(*[F.expr(a) for a in aggs])
-    rows = wide.selectExpr(_inline([
-        f"named_struct('column', {sql_str(c)}, 'null_count', CAST(coalesce(m{i}, 0) AS BIGINT), "
-        f"'null_ratio', {safe_ratio_sql(f'coalesce(m{i}, 0)', 'total')})" for i, c in enumerate(cols)]))
-    return rows.orderBy(F.desc("null_ratio"), F.asc("column"))
+
+    def build(chunk: Sequence[str]) -> DataFrame:
+        aggs = ["count(1) AS total"] + [f"sum({missing_flag_sql(c)}) AS m{i}" for i, c in enumerate(chunk)]
+        wide = df.agg(*[F.expr(a) for a in aggs])
+        return wide.selectExpr(_inline([
+            f"named_struct('column', {sql_str(c)}, 'null_count', CAST(coalesce(m{i}, 0) AS BIGINT), "
+            f"'null_ratio', {safe_ratio_sql(f'coalesce(m{i}, 0)', 'total')})" for i, c in enumerate(chunk)]))
+
+    return chunked(cols, build).orderBy(F.desc("null_ratio"), F.asc("column"))
 
 
 def null_profile_by_group(df: DataFrame, group_cols: Sequence[str],
@@ -104,17 +122,21 @@ def column_inventory(df: DataFrame, columns: Sequence[str] | None = None, exact:
     """
     cols = list(df.columns if columns is None else columns)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    aggs = ["count(1) AS total"]
-    for i, c in enumerate(cols):
-        q = quote(c)
-        distinct = f"count(DISTINCT {q})" if exact else f"approx_count_distinct({q}, {rsd!r})"
-        aggs += [f"count({q}) AS nn{i}", f"{distinct} AS dc{i}"]
-    wide = df.agg(*[F.expr(a) for a in aggs])
-    rows = wide.selectExpr(_inline([
-        f"named_struct('column', {sql_str(c)}, 'data_type', {sql_str(types[c])}, "
-        f"'non_null_count', CAST(nn{i} AS BIGINT), 'null_count', CAST(total - nn{i} AS BIGINT), "
-        f"'fill_rate', {safe_ratio_sql(f'nn{i}', 'total')}, 'distinct_count', CAST(dc{i} AS BIGINT))"
-        for i, c in enumerate(cols)]))
+
+    def build(chunk: Sequence[str]) -> DataFrame:
+        aggs = ["count(1) AS total"]
+        for i, c in enumerate(chunk):
+            q = quote(c)
+            distinct = f"count(DISTINCT {q})" if exact else f"approx_count_distinct({q}, {rsd!r})"
+            aggs += [f"count({q}) AS nn{i}", f"{distinct} AS dc{i}"]
+        wide = df.agg(*[F.expr(a) for a in aggs])
+        return wide.selectExpr(_inline([
+            f"named_struct('column', {sql_str(c)}, 'data_type', {sql_str(types[c])}, "
+            f"'non_null_count', CAST(nn{i} AS BIGINT), 'null_count', CAST(total - nn{i} AS BIGINT), "
+            f"'fill_rate', {safe_ratio_sql(f'nn{i}', 'total')}, 'distinct_count', CAST(dc{i} AS BIGINT))"
+            for i, c in enumerate(chunk)]))
+
+    rows = chunked(cols, build)
     return rows.orderBy(F.desc("fill_rate"), F.desc("distinct_count"), F.asc("column"))
 
 

@@ -73,3 +73,15 @@ def test_group_count_desc_order(spark):
 def test_preview_is_ordered_and_capped(spark):
     df = spark.range(1000).select((999 - F.col("id")).alias("k"))
     assert [r["k"] for r in pr.preview(df, ["k"], 3).collect()] == [0, 1, 2]
+
+
+def test_wide_table_is_profiled_in_chunks(spark):
+    from tabqual.operators import profile as prof
+    n_cols = 450
+    df = spark.range(20).selectExpr(*[f"CASE WHEN id % {i % 7 + 2} = 0 THEN NULL ELSE id END AS c{i}"
+                                      for i in range(n_cols)])
+    got = {r["column"]: r["null_count"] for r in prof.null_profile(df).collect()}
+    assert len(got) == n_cols
+    assert all(got[f"c{i}"] == len([x for x in range(20) if x % (i % 7 + 2) == 0]) for i in range(n_cols))
+    inv = prof.column_inventory(df)
+    assert inv.count() == n_cols
