@@ -94,8 +94,9 @@ def train_and_compare(train: DataFrame, val: DataFrame, test: DataFrame, cat_col
     featurizer = Pipeline(stages=feature_stages(cat_cols, num_cols)).fit(train)
     keep = [id_col, "label", "features"]
     train_vec = materialize(featurizer.transform(train).select(*keep))
-    val_vec = featurizer.transform(val).select(*keep)
-    test_vec = featurizer.transform(test).select(*keep)
+    # every model evaluates on the same validation/test vectors several times
+    val_vec = materialize(featurizer.transform(val).select(*keep))
+    test_vec = materialize(featurizer.transform(test).select(*keep))
     evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
 
     def fit_and_score(name: str):

@@ -22,6 +22,7 @@ from tabqual.operators import models as mo
 from tabqual.operators import profile as pr
 from tabqual.operators import quality as qu
 from tabqual.operators import split as sp
+from tabqual.session import materialize
 from tabqual.sources import sinks
 
 
@@ -77,7 +78,7 @@ def run_assessment(spark: SparkSession, source: DataFrame, out_dir: str, source_
 
         if run_models:
             ml_df, cat_cols, num_cols, spec = fe.prepare_ml_frame(curated, key)
-            split = sp.stratified_split(ml_df, "label", key)
+            split = materialize(sp.stratified_split(ml_df, "label", key))
             report("split_class_distribution", sp.split_class_distribution(split))
             train, val, test = sp.split_frames(split)
             id_col = key[-1]

@@ -588,7 +588,8 @@ _TRAINED: dict[tuple, object] = {}
 def _model_frames(spark, sf_dir):
     """FX3 split per label class in ``doc_id`` order; features lang, source, n_chars."""
     data = fx3(spark, sf_dir).select("doc_id", "lang", "source", "n_chars", "label")
-    split = sp.stratified_split(data, "label", ["doc_id"])
+    # computed once: the three frames are filters of one written split
+    split = materialize(sp.stratified_split(data, "label", ["doc_id"]))
     return sp.split_frames(split)
 
 
