@@ -10,6 +10,8 @@ Spark ML's evaluator without its binning (exact for any number of scores).
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +28,12 @@ PROFIT_FP = -120
 PROFIT_FN = -350
 DECISION_THRESHOLD = 0.5
 BOOTSTRAP_REPLICATES = 200
+# Prediction rows per score bucket of the bucketed bootstrap
+# (each expands into the replicates inside its task), and the most sampled
+# scores used to place the bucket splits.
+BOOT_ROWS_PER_BUCKET = 20_000
+EXPAND_FIRST_MAX_ROWS = 50_000_000
+MAX_SPLIT_SAMPLE = 500_000
 CI_LEVELS = (0.025, 0.975)
 
 
@@ -119,19 +127,112 @@ def bootstrap_weights(pred: DataFrame, id_col: str, replicates: int = BOOTSTRAP_
 
 def bootstrap_auc(pred: DataFrame, label_col: str = "label", score_col: str = "score",
                   id_col: str = "id", replicates: int = BOOTSTRAP_REPLICATES, seed: int = 7,
-                  buckets: int | None = None) -> DataFrame:
-    """ROC-AUC of every bootstrap replicate: ``rep, roc_auc, positives, negatives``."""
-    weighted = bootstrap_weights(pred.select(id_col, label_col, score_col), id_col, replicates, seed)
-    scores = _score_table(weighted, label_col, score_col, ["rep"], F.col("_w"))
-    return _curve_areas(scores, ["rep"], buckets).drop("pr_auc")
+                  buckets: int | None = None, method: str = "auto") -> DataFrame:
+    """ROC-AUC of every bootstrap replicate: ``rep, roc_auc, positives, negatives``.
+
+    ``bucketed`` shuffles the prediction rows once, by score range, and
+    expands them into replicates inside each task, so no shuffle carries
+    replicate rows. ``expand_first`` expands before aggregating (its shuffle
+    is about ``0.63 * replicates`` times the rows, cheaper in fixed cost).
+    ``auto`` counts the rows and uses ``expand_first`` only while
+    ``rows * replicates <= EXPAND_FIRST_MAX_ROWS``. All give the same values.
+    """
+    if method == "auto":
+        n = pred.count()
+        method = "expand_first" if n * replicates <= EXPAND_FIRST_MAX_ROWS else "bucketed"
+    if method == "expand_first":
+        weighted = bootstrap_weights(pred.select(id_col, label_col, score_col), id_col, replicates, seed)
+        scores = _score_table(weighted, label_col, score_col, ["rep"], F.col("_w"))
+        return _curve_areas(scores, ["rep"], buckets).drop("pr_auc")
+    if method != "bucketed":
+        raise ValueError(f"unknown bootstrap method {method!r}")
+    return _bootstrap_auc_bucketed(pred, label_col, score_col, id_col, replicates, seed, buckets)
+
+
+def _score_splits(base: DataFrame, n: int, buckets: int) -> tuple[list[float], list[float], int]:
+    """Bucketizer splits from a seeded sample (at most ``MAX_SPLIT_SAMPLE`` scores) and the
+    hot scores, each given a bucket of its own; returns (splits, hot scores, salts)."""
+    frac = min(1.0, min(64 * buckets, MAX_SPLIT_SAMPLE) / max(n, 1))
+    sample = [r[0] for r in base.select("_s").where(F.col("_s").isNotNull() & ~F.isnan("_s"))
+              .sample(False, frac, 17).orderBy("_s").collect()]
+    m = len(sample)
+    inner: set[float] = set()
+    hot: list[float] = []
+    salts = 1
+    if m:
+        counts = Counter(sample)
+        cut = max(2.0, m / buckets)
+        hot = sorted(v for v, c in counts.items() if c >= cut and math.isfinite(v))
+        inner = {sample[(i * m) // buckets] for i in range(1, buckets)}
+        for h in hot:
+            inner.update((h, math.nextafter(h, math.inf)))
+        if hot:
+            salts = max(1, math.ceil(max(counts[h] for h in hot) / cut))
+    inner = {v for v in inner if math.isfinite(v)}
+    return [-math.inf] + sorted(inner) + [math.inf], hot, salts
+
+
+def _bootstrap_auc_bucketed(pred: DataFrame, label_col: str, score_col: str, id_col: str,
+                            replicates: int, seed: int, buckets: int | None) -> DataFrame:
+    from pyspark.ml.feature import Bucketizer
+    spark = pred.sparkSession
+    base = pred.select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_y"),
+                       F.col(score_col).cast("double").alias("_s"))
+    n = base.count()
+    nb = buckets or max(spark.sparkContext.defaultParallelism, -(-n // BOOT_ROWS_PER_BUCKET))
+    splits, hot, salts = _score_splits(base, n, nb)
+    # buckets are contiguous score ranges (NULL scores first, NaN last); a hot
+    # score owns its bucket and its rows are spread over ``salts`` tasks by id
+    cut = Bucketizer(splits=splits, inputCol="_s", outputCol="_bd", handleInvalid="keep").transform(base)
+    bucket = F.when(F.col("_s").isNull(), F.lit(-1)).otherwise(F.col("_bd").cast("int"))
+    cols = ["_id", "_y", "_s", bucket.alias("_b")]
+    keys = ["_b"]
+    if hot:  # a real (non-constant) salt column only when some score is hot
+        is_hot = F.col("_s").isin(hot)
+        cols.append(F.when(is_hot, F.pmod(F.xxhash64("_id"), F.lit(salts))).otherwise(F.lit(0)).cast("int")
+                    .alias("_salt"))
+        keys.append("_salt")
+    keyed = cut.select(*cols)
+    parts = max(spark.sparkContext.defaultParallelism, len(splits) + len(hot) * salts)
+    moved = keyed.repartition(parts, *keys)                             # the one row shuffle
+    reps = moved.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+    w = poisson1_weight(hash_uniform(F.lit(seed), F.col("rep"), F.col("_id"))).cast("double")
+    weighted = reps.withColumn("_w", w).where(F.col("_w") > 0)
+    # grouping and ordering keys extend the shuffle keys: no further shuffle of replicate rows
+    per_score = weighted.groupBy(*keys, "rep", "_s").agg(
+        F.sum(F.col("_w") * F.col("_y")).alias("pos"), F.sum(F.col("_w") * (F.lit(1.0) - F.col("_y"))).alias("neg"))
+    local = Window.partitionBy(*keys, "rep").orderBy("_s")
+    term = F.col("neg") * (F.lit(2.0) * F.sum("pos").over(local) - F.col("pos"))
+    per_bucket = (per_score.withColumn("_a", term)
+                  .groupBy("rep", "_b").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"),
+                                            F.sum("_a").alias("_a")))
+    hot_buckets = sorted({int(b) for b in _bucket_of(splits, hot)})
+    a = F.when(F.col("_b").isin(hot_buckets), F.col("bneg") * F.col("bpos")) if hot_buckets else None
+    if a is not None:
+        per_bucket = per_bucket.withColumn("_a", a.otherwise(F.col("_a")))
+    # per replicate: a small (rep, bucket) table
+    before = Window.partitionBy("rep").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per_bucket.withColumn("_off", F.coalesce(F.sum("bpos").over(before), F.lit(0.0)))
+    agg = offs.groupBy("rep").agg(F.sum("bpos").alias("P"), F.sum("bneg").alias("N"),
+                                  F.sum(F.col("_off") * F.col("bneg")).alias("_x"), F.sum("_a").alias("_a"))
+    two_pn = F.lit(2.0) * F.col("P") * F.col("N")
+    roc = F.try_divide(two_pn - F.lit(2.0) * F.col("_x") - F.col("_a"), two_pn)
+    return agg.select("rep", roc.alias("roc_auc"), F.col("P").alias("positives"), F.col("N").alias("negatives"))
+
+
+def _bucket_of(splits: list[float], values: list[float]) -> list[int]:
+    """Bucketizer index of each value (the bucket whose lower split is the largest <= value)."""
+    import bisect
+    return [bisect.bisect_right(splits, v) - 1 for v in values]
 
 
 def bootstrap_auc_ci(pred: DataFrame, label_col: str = "label", score_col: str = "score",
                      id_col: str = "id", replicates: int = BOOTSTRAP_REPLICATES, seed: int = 7,
-                     levels: tuple[float, float] = CI_LEVELS, buckets: int | None = None) -> DataFrame:
+                     levels: tuple[float, float] = CI_LEVELS, buckets: int | None = None,
+                     method: str = "auto") -> DataFrame:
     """``auc_ci_low, auc_ci_high, replicates_used``; single-class replicates are skipped,
     (0, 0) when none is left. Quantiles interpolate linearly between replicates."""
-    reps = bootstrap_auc(pred, label_col, score_col, id_col, replicates, seed, buckets)
+    reps = bootstrap_auc(pred, label_col, score_col, id_col, replicates, seed, buckets, method)
     valid = reps.where((F.col("positives") > 0) & (F.col("negatives") > 0))
     q = F.percentile(F.col("roc_auc"), list(levels))
     return valid.agg(q.alias("_q"), F.count(F.lit(1)).cast("bigint").alias("replicates_used")).select(
