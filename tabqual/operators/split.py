@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabqual.operators.ranking import scalable_percent_rank
+from tabqual.session import materialize
 
 # Split boundaries on the per-class percent rank.
 TRAIN_MAX = 0.70
@@ -48,6 +49,16 @@ def stratified_split(df: DataFrame, label_col: str, order_cols: Sequence[str],
     return out if keep_rank else out.drop("pct_in_label")
 
 
+def add_event_order(df: DataFrame, col: str = "event_order") -> DataFrame:
+    """Surrogate order key when the data has none: a generated unique id.
+
+    The id depends on the partitioning, so the frame is checkpointed right
+    away; later passes (and recomputation after a lost executor) read the
+    stored ids instead of numbering the rows again.
+    """
+    return materialize(df.withColumn(col, F.monotonically_increasing_id()))
+
+
 def split_frames(split_df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Train, validation and test frames (filters on one split column)."""
     return tuple(split_df.where(F.col("split") == F.lit(s)).drop("split")

@@ -41,7 +41,7 @@ def run_assessment(spark: SparkSession, source: DataFrame, out_dir: str, source_
     """Assess ``source`` and write curated data and reports below ``out_dir``.
 
     ``order_cols`` is the per-class split order (it should end in a unique
-    key); by default the source's own columns in schema order.
+    key); without it a stored surrogate ``event_order`` id is used.
     """
     run_id = uuid.uuid4().hex[:12]
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -73,7 +73,9 @@ def run_assessment(spark: SparkSession, source: DataFrame, out_dir: str, source_
         report("column_inventory", pr.column_inventory(curated))
         report("numeric_statistics", pr.numeric_statistics(curated))
         report("top_values_by_column", pr.top_values(curated))
-        key = list(order_cols or source.columns)
+        key = list(order_cols) if order_cols else ["event_order"]
+        if not order_cols:
+            curated = sp.add_event_order(curated)
         report("sample_records", pr.preview(curated, key, 500), quote_all=True)
 
         if run_models:

@@ -91,3 +91,10 @@ def test_plan_text_has_all_levels(spark):
     text = sinks.plan_text(df)
     for level in ("Parsed Logical Plan", "Analyzed Logical Plan", "Optimized Logical Plan", "Physical Plan"):
         assert level in text
+
+
+def test_assessment_without_order_key_uses_event_order(spark, tmp_path):
+    src = fx2(spark, SF_SMALL).select(*FX2_SOURCE_COLUMNS, "amount")
+    res = run_assessment(spark, src, str(tmp_path), models=["logistic_regression"], run_ts=dt.datetime(2026, 1, 15))
+    dist = spark.read.option("header", True).csv(res.reports["split_class_distribution"])
+    assert sum(int(r["count"]) for r in dist.collect()) == src.count()

@@ -85,3 +85,13 @@ def test_wide_table_is_profiled_in_chunks(spark):
     assert all(got[f"c{i}"] == len([x for x in range(20) if x % (i % 7 + 2) == 0]) for i in range(n_cols))
     inv = prof.column_inventory(df)
     assert inv.count() == n_cols
+
+
+def test_event_order_is_unique_and_stable(spark):
+    df = spark.range(500).repartition(7).select((F.col("id") % 3).alias("label"))
+    ordered = sp.add_event_order(df)
+    ids = [r["event_order"] for r in ordered.collect()]
+    assert len(set(ids)) == 500
+    assert ids == [r["event_order"] for r in ordered.collect()]   # read back, not renumbered
+    split = sp.stratified_split(ordered, "label", ["event_order"])
+    assert split.count() == 500
