@@ -39,6 +39,10 @@ SMALL_INPUT_ROWS = 1_000_000
 # single numeric order key is bucketed by binary search with no cap.
 ROWS_PER_BUCKET = 2_000_000
 MAX_TREE_BUCKETS = 4096
+# Most keys sampled to the driver for split points, and most
+# buckets of the binary-search path (both independent of the data size).
+MAX_SPLIT_SAMPLE = 1_000_000
+MAX_SEARCH_BUCKETS = 65_536
 MAX_ROUNDS = 20
 
 
@@ -182,7 +186,7 @@ def range_bounds(df: DataFrame, key_cols: Sequence[str], buckets: int,
     n = df.select(*keys).count() if n_rows is None else n_rows
     if n == 0:
         return []
-    frac = min(1.0, oversample * buckets / n)
+    frac = min(1.0, min(oversample * buckets, MAX_SPLIT_SAMPLE) / n)
     sample = [tuple(r) for r in df.select(*keys).sample(False, frac, seed).orderBy(*keys).collect()]
     if not sample:
         return []
@@ -227,7 +231,7 @@ def with_buckets(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     if len(order_cols) == 1 and isinstance(types[order_cols[0]], T.NumericType):
         from pyspark.ml.feature import Bucketizer
         col = order_cols[0]
-        bounds = range_bounds(df, [col], buckets, n_rows=n_rows)
+        bounds = range_bounds(df, [col], min(buckets, MAX_SEARCH_BUCKETS), n_rows=n_rows)
         inner = sorted({float(b[0]) for b in bounds if b[0] is not None and b[0] == b[0]})
         if not inner:
             return df.withColumn("_bucket", F.lit(0.0))
