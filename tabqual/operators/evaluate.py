@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabqual.functions.sampling import hash_uniform, poisson1_weight
-from tabqual.operators.ranking import ordered_cumulative
+from tabqual.operators.ranking import MAX_SEARCH_BUCKETS, ordered_cumulative
 from tabqual.session import materialize
 
 # Confusion-matrix payoffs per true positive, false positive
@@ -179,7 +179,8 @@ def _bootstrap_auc_bucketed(pred: DataFrame, label_col: str, score_col: str, id_
     base = pred.select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_y"),
                        F.col(score_col).cast("double").alias("_s"))
     n = base.count()
-    nb = buckets or max(spark.sparkContext.defaultParallelism, -(-n // BOOT_ROWS_PER_BUCKET))
+    nb = buckets or min(MAX_SEARCH_BUCKETS,
+                        max(spark.sparkContext.defaultParallelism, -(-n // BOOT_ROWS_PER_BUCKET)))
     splits, hot, salts = _score_splits(base, n, nb)
     # buckets are contiguous score ranges (NULL scores first, NaN last); a hot
     # score owns its bucket and its rows are spread over ``salts`` tasks by id
@@ -193,7 +194,7 @@ def _bootstrap_auc_bucketed(pred: DataFrame, label_col: str, score_col: str, id_
                     .alias("_salt"))
         keys.append("_salt")
     keyed = cut.select(*cols)
-    parts = max(spark.sparkContext.defaultParallelism, len(splits) + len(hot) * salts)
+    parts = max(spark.sparkContext.defaultParallelism, min(MAX_SEARCH_BUCKETS, len(splits) + len(hot) * salts))
     moved = keyed.repartition(parts, *keys)                             # the one row shuffle
     reps = moved.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
     w = poisson1_weight(hash_uniform(F.lit(seed), F.col("rep"), F.col("_id"))).cast("double")
