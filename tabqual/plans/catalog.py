@@ -560,7 +560,7 @@ SELECT page_id, CASE
 FROM f JOIN (SELECT page_id, strlen(html) AS html_len FROM pages) l USING (page_id)""")
 def q_format_detect(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    return pages.select("page_id", rd.format_expr(F.col("url"), F.col("html")).alias("format"))
+    return pages.select("page_id", rd.format_expr(F.col("url"), F.col("html"), text=True).alias("format"))
 
 
 _HOST_RE = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"

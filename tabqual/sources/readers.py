@@ -159,13 +159,16 @@ def read_with_quarantine(spark: SparkSession, path: str | Sequence[str], schema:
 
 # --------------------------------------------------------------------------- format sniffing
 
-def _sniff_text(content: Column) -> Column:
-    """First bytes as text with leading whitespace removed."""
-    head = F.substring(content.cast("binary"), 1, SNIFF_BYTES).cast("string")
+def _sniff_text(content: Column, text: bool = False) -> Column:
+    """The first ``SNIFF_BYTES`` bytes (characters for a text column) with
+    leading whitespace removed."""
+    head = F.substring(content, 1, SNIFF_BYTES) if text else \
+        F.substring(content.cast("binary"), 1, SNIFF_BYTES).cast("string")
     return F.regexp_replace(head, r"^\s+", "")
 
 
-def format_expr(path: Column, content: Column, content_type: Column | None = None) -> Column:
+def format_expr(path: Column, content: Column, content_type: Column | None = None,
+                text: bool = False) -> Column:
     """``csv`` / ``geojson`` / ``json`` / ``empty`` from name, content type, then content.
 
     Order: a ``.csv`` name or ``text/csv`` type; a ``.geojson`` name,
@@ -175,7 +178,7 @@ def format_expr(path: Column, content: Column, content_type: Column | None = Non
     """
     name = F.lower(path)
     ctype = F.lower(F.coalesce(content_type, F.lit(""))) if content_type is not None else F.lit("")
-    sample = _sniff_text(content)
+    sample = _sniff_text(content, text)
     first_line = F.regexp_extract(sample, r"^([^\r\n]*)", 1)
     opens_json = first_line.startswith("{") | first_line.startswith("[")
     return (F.when(F.coalesce(F.length(content.cast("binary")), F.lit(0)) == 0, F.lit("empty"))
