@@ -26,6 +26,7 @@ from tabqual.llm.shared import fresh_name, map_pandas, save, ship_package
 
 KEY = "tabqual-surrogates"
 MAX_ROUNDS = 60
+SHARED_REDRAWS = 200_000
 
 #: Forms of address, by the gender they tell.
 MALE = "Mr Mister Sir Herr Herrn Monsieur Señor Sr Signor Г-н Господин".split()
@@ -182,7 +183,7 @@ def in_form(kind: str, original: str, replacement: str) -> str:
 
 
 def assign(distinct: DataFrame, key: str = KEY) -> DataFrame:
-    """``(kind, value, surrogate)`` for distinct entities ``(kind, value)``, free of collisions.
+    """``(kind, value, attempt, surrogate)`` for distinct entities ``(kind, value)``, free of collisions.
 
     Of entities that share a surrogate the smallest keeps it; an entity whose surrogate is itself an entity loses it.
     """
@@ -204,7 +205,7 @@ def assign(distinct: DataFrame, key: str = KEY) -> DataFrame:
         taken = keyed.join(real, ["space", "surrogate"], "left_semi").select("kind", "value")
         clash = save(shared.unionByName(taken).distinct(), "clash")
         if clash.isEmpty():
-            return drawn.select("kind", "value", "surrogate")
+            return drawn
         again = drawn.join(clash, ["kind", "value"], "left_semi").select("kind", "value", (F.col("attempt") + 1).alias("attempt"))
         drawn = save(drawn.join(clash, ["kind", "value"], "left_anti").unionByName(map_pandas(again, run, schema)), "drawn")
     raise RuntimeError(f"entities still collide after {MAX_ROUNDS} rounds")
@@ -224,49 +225,57 @@ def find_entities(docs: DataFrame, key_col: str, text_col: str) -> DataFrame:
 
 
 def replace_entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = KEY,
-                     count_col: str = "n_entities") -> DataFrame:
+                     count_col: str = "n_entities", shared_redraws: int = SHARED_REDRAWS) -> DataFrame:
     """``docs`` with surrogates in the text and the number of replaced entities in ``count_col`` (appended).
 
+    A surrogate follows from the key and the entity, so tasks only need to be told the few entities that were drawn
+    again: as a shared table of ``shared_redraws`` entries at most, or else joined to the texts that hold them.
+
     Texts without entities, NULL and empty texts stay as they are, with a count of 0. Equal texts get equal results, so
     repeated rows and NULL ids need no special care; an empty table stays empty. Other columns stay as they are.
     """
-    doc_key, pairs_col = fresh_name(docs, "text_key"), fresh_name(docs, "surrogate_pairs")
+    doc_key, redraws_col = fresh_name(docs, "text_key"), fresh_name(docs, "redraws")
     keyed = docs.withColumn(doc_key, F.coalesce(F.md5(text_col), F.lit("")))
     found = save(find_entities(keyed, doc_key, text_col), "entities")
-    mapping = assign(found.select("kind", "value").distinct(), key)
-    pair = F.concat_ws("\x1f", "kind", "value", "surrogate")
-    per = found.distinct().join(mapping, ["kind", "value"]).groupBy("doc_key").agg(F.collect_list(pair).alias("pairs"))
-    per = save(per.select(F.col("doc_key").alias("own_key"), F.col("pairs").alias(pairs_col)), "pairs")
-    rows = keyed.join(per, keyed[doc_key] == per["own_key"], "left").select(*[keyed[c] for c in docs.columns], pairs_col)
+    redrawn = assign(found.select("kind", "value").distinct(), key).filter("attempt > 0").select("kind", "value", "attempt")
+    redrawn = save(redrawn, "redrawn")
     at, schema = docs.columns.index(text_col), docs.withColumn(count_col, F.lit(0).cast("bigint")).schema
     ship_package(docs.sparkSession)
 
-    def run(batches: Iterator) -> Iterator:
+    def replaced(b, tables):
         import pyarrow as pa
+        texts = b.column(at)
+        done = [rewrite(t, table, key) for t, table in zip(texts.to_pylist(), tables)]
+        columns = [pa.array([t for t, _ in done], texts.type) if i == at else c for i, c in enumerate(b.columns[:len(schema) - 1])]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([n for _, n in done], pa.int64())], names=schema.names)
+
+    if redrawn.count() <= shared_redraws:
+        shared = docs.sparkSession.sparkContext.broadcast({(r["kind"], r["value"]): r["attempt"] for r in redrawn.collect()})
+
+        def with_shared(batches: Iterator) -> Iterator:
+            for b in batches:
+                yield replaced(b, [shared.value] * b.num_rows)
+
+        return docs.mapInArrow(with_shared, schema)
+
+    entry = F.concat_ws("\x1f", "kind", "value", F.col("attempt").cast("string"))
+    per = found.distinct().join(redrawn, ["kind", "value"]).groupBy("doc_key").agg(F.collect_list(entry).alias("redraws"))
+    per = save(per.select(F.col("doc_key").alias("own_key"), F.col("redraws").alias(redraws_col)), "redraws")
+    rows = keyed.join(per, keyed[doc_key] == per["own_key"], "left").select(*[keyed[c] for c in docs.columns], redraws_col)
+
+    def with_joined(batches: Iterator) -> Iterator:
         for b in batches:
-            pairs, texts, counts = b.column(len(b.columns) - 1).to_pylist(), b.column(at), []
-            changed = {}
-            for i, own in enumerate(pairs):
-                counts.append(0)
-                if own:
-                    table = {tuple(p.split("\x1f")[:2]): p.split("\x1f")[2] for p in own}
-                    changed[i], counts[-1] = rewrite(texts[i].as_py(), table)
-            if changed:
-                new = texts.to_pylist()
-                for i, t in changed.items():
-                    new[i] = t
-                texts = pa.array(new, type=texts.type)
-            columns = [texts if i == at else c for i, c in enumerate(b.columns[:-1])]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], names=[f.name for f in schema.fields])
-
-    return rows.mapInArrow(run, schema)
-
-
-def rewrite(text: str, table: dict[tuple[str, str], str]) -> tuple[str, int]:
-    """The text with every entity of ``table`` replaced, and how many were."""
-    out, at, n = [], 0, 0
-    for e in entities(text):
-        if (e.kind, e.value) in table:
-            out += [text[at:e.start], in_form(e.kind, text[e.start:e.end], table[e.kind, e.value])]
-            at, n = e.end, n + 1
-    return "".join([*out, text[at:]]), n
+            parts = ([e.split("\x1f") for e in own or []] for own in b.column(len(b.columns) - 1).to_pylist())
+            yield replaced(b, [{(k, v): int(a) for k, v, a in own} for own in parts])
+
+    return rows.mapInArrow(with_joined, schema)
+
+
+def rewrite(text: str | None, redrawn: dict[tuple[str, str], int], key: str = KEY) -> tuple[str | None, int]:
+    """The text with a surrogate for every entity, and how many there are; ``redrawn`` gives attempts above 0."""
+    out, at, own = [], 0, entities(text)
+    for e in own:
+        new = surrogate(e.kind, e.value, redrawn.get((e.kind, e.value), 0), key)
+        out += [text[at:e.start], in_form(e.kind, text[e.start:e.end], new)]
+        at = e.end
+    return ("".join([*out, text[at:]]) if own else text), len(own)
