@@ -70,7 +70,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     tongues = language.learn(docs, F.lit(True), sample_per_language=300)
     known = labels.filter(crc_mod("doc_id", 3) != 1).select("doc_id", "toxic")
-    model = toxicity.learn(docs.select("doc_id", "text").join(known, "doc_id"), key=F.col("doc_id"), languages=tongues)
+    model = toxicity.learn(docs, known, languages=tongues)
     tagged = docs.select(F.struct("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out")).alias("row"), "text")
     return toxicity.score(tagged, model, id_col="row").select("row.*", "score", "predicted")
 

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabqual.llm import language, tokens
@@ -160,20 +160,23 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float(np.clip((p[i] + (p[i + 1] if i + 1 < len(p) else 0.0)) / 2, 0.05, 0.95))
 
 
-def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", key: Column | None = None,
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           languages: language.LanguageModel | None = None, sample_per_class: int = SAMPLE_PER_CLASS) -> ToxicityModel:
-    """Train from rows with a text and a label of 0 or 1; ``key`` is what decides which rows are in the sample.
+    """Train from ``labels (id, label)`` of 0 or 1 and the texts of ``docs`` with these ids.
 
-    With no row of one label, the network stays as it starts and scores low. Rows with NULL text or label are not used.
+    A hash of the id decides which labels are in the sample. Its size is bounded, so the texts are picked by a broadcast of
+    the sample and no text is shuffled. Rows with a NULL id, text or label are not used; with no
+    row of one label, the network stays as it starts and scores low.
     """
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("y"),
-                           F.xxhash64(key if key is not None else F.col(text_col)).alias("h"))
-    rows = rows.filter("text is not null and y in (0, 1)")
-    counts = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("y"), F.xxhash64(id_col).alias("h"))
+    known = known.filter("y in (0, 1) and label_id is not null")
+    counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     shares = [min(1.0, sample_per_class / max(1, counts.get(y, 0))) for y in (0, 1)]
     chance = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.filter(chance < F.when(F.col("y") == 1, shares[1]).otherwise(shares[0]))
-    shared = labelled.sparkSession.sparkContext.broadcast(languages)
+    picked = known.filter(chance < F.when(F.col("y") == 1, shares[1]).otherwise(shares[0])).distinct()
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null")
+    sample = texts.join(F.broadcast(picked), F.col("id") == F.col("label_id")).select("text", "y", "h")
+    shared = docs.sparkSession.sparkContext.broadcast(languages)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
