@@ -106,7 +106,7 @@ def with_next(docs: DataFrame, order: str, tie: str, carried: list[str], out: st
     """
     n = shuffle_partitions(docs.sparkSession)
     cuts = docs.agg(F.percentile_approx(F.col(order).cast("double"), [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0]
-    splits = [-math.inf, *sorted(set(cuts or [])), math.inf]
+    splits = [-math.inf, *sorted(set(cuts or [0.0])), math.inf]
     rows = Bucketizer(splits=splits, inputCol="_at", outputCol="_range", handleInvalid="keep").transform(
         docs.withColumn("_at", F.col(order).cast("double"))).drop("_at")
     rows = rows.withColumn("_range", F.col("_range").cast("int"))

@@ -1,8 +1,8 @@
 """URL filter: explicit rules first, gradient-boosted trees on lexical features for the rest.
 
 The urls that a rule decides are the labelled rows. Trees learn from them by lexical features alone: lengths, path
-depth, digit ratio, character entropy, parameter counts, and block rates of the host's suffixes. Suffixes are
-hashed to a fixed number of buckets, so their statistics, counted over all labelled rows, have a bounded size.
+depth, digit ratio, character entropy, parameter counts, and block rates of the host's suffixes (alone, and with the
+first part of the path). Suffixes are hashed to a fixed number of buckets, so their statistics, counted over all labelled rows, have a bounded size.
 The trees are fitted on a bounded sample: ``sample_rows`` labelled rows are expected, chosen by a hash of the url.
 """
 
@@ -93,19 +93,21 @@ def lexical_features(url: Column, host: Column, path: Column) -> dict[str, Colum
     }
 
 
-def _suffix_bucket(host: Column, labels: int) -> Column:
+def _suffix_bucket(host: Column, path: Column, labels: int, section: bool) -> Column:
     own = F.reverse(F.slice(F.reverse(F.split(host, r"\.")), 1, labels))
-    return F.pmod(F.xxhash64(F.lit(labels), F.array_join(own, ".")), F.lit(SUFFIX_BUCKETS)).cast("int")
+    start = F.regexp_extract(path, "^/([^/]*)", 1) if section else F.lit("")
+    return F.pmod(F.xxhash64(F.lit(labels), F.array_join(own, "."), start), F.lit(SUFFIX_BUCKETS)).cast("int")
 
 
 class UrlFilter:
     """Rules, suffix statistics and trees. ``trees`` is None if the rules label only one class or nothing."""
 
-    LEVELS = (1, 2)
+    #: Statistics: how many labels of the host, and whether with the first part of the path.
+    LEVELS = ((1, False), (2, False), (1, True))
 
     def __init__(self, rules=RULES):
         self.rules, self.trees, self.constant = rules, None, ALLOW
-        self.rates: dict[int, list[float]] = {n: [0.5] * SUFFIX_BUCKETS for n in self.LEVELS}
+        self.rates = [[0.5] * SUFFIX_BUCKETS for _ in self.LEVELS]
 
     def _prepared(self, urls: DataFrame, url_col: str) -> DataFrame:
         """``urls`` as ``(row, host, path, rule, verdict by rule, url)``."""
@@ -118,9 +120,9 @@ class UrlFilter:
 
     def _assembled(self, rows: DataFrame) -> DataFrame:
         columns = lexical_features(F.col("url"), F.col("host"), F.col("path"))
-        for n in self.LEVELS:
-            rates = F.array(*(F.lit(v) for v in self.rates[n]))
-            columns[f"suffix_{n}"] = F.element_at(rates, _suffix_bucket(F.col("host"), n) + 1)
+        for i, (labels, section) in enumerate(self.LEVELS):
+            rates = F.array(*(F.lit(v) for v in self.rates[i]))
+            columns[f"suffix_{i}"] = F.element_at(rates, _suffix_bucket(F.col("host"), F.col("path"), labels, section) + 1)
         rows = rows.withColumns(columns)
         return VectorAssembler(inputCols=list(columns), outputCol="features").transform(rows).drop(*columns)
 
@@ -129,15 +131,15 @@ class UrlFilter:
         rows = self._prepared(urls.select(url_col), url_col).filter("ruled is not null")
         rows = rows.withColumn("label", (F.col("ruled") == BLOCK).cast("double"))
         stats = rows.select("label", F.explode(F.array(*(
-            F.struct(F.lit(n).alias("n"), _suffix_bucket(F.col("host"), n).alias("bucket")) for n in self.LEVELS))).alias("s"))
+            F.struct(F.lit(i).alias("n"), _suffix_bucket(F.col("host"), F.col("path"), *level).alias("bucket"))
+            for i, level in enumerate(self.LEVELS)))).alias("s"))
         stats = stats.groupBy("s.n", "s.bucket").agg(F.count("*").alias("rows"), F.sum("label").alias("blocked")).collect()
-        total = sum(r["rows"] for r in stats if r["n"] == self.LEVELS[0])
-        blocked = sum(r["blocked"] for r in stats if r["n"] == self.LEVELS[0])
+        total = sum(r["rows"] for r in stats if r["n"] == 0)
+        blocked = sum(r["blocked"] for r in stats if r["n"] == 0)
         if not total:
             return self
         prior = blocked / total
-        for n in self.LEVELS:
-            self.rates[n] = [prior] * SUFFIX_BUCKETS
+        self.rates = [[prior] * SUFFIX_BUCKETS for _ in self.LEVELS]
         for r in stats:
             self.rates[r["n"]][r["bucket"]] = (r["blocked"] + 10 * prior) / (r["rows"] + 10)
         if blocked in (0, total):
