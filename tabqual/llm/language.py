@@ -25,7 +25,7 @@ from tabqual.llm import tokens
 from tabqual.llm.shared import map_pandas, ship_package
 
 UNKNOWN = "und"
-SAMPLE_PER_LANGUAGE = 800
+SAMPLE_PER_LANGUAGE = 400
 BITS = 12
 SIZES = (1, 2, 3, 4)
 PIECE_CHARS = 60
@@ -191,8 +191,12 @@ def learn(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
         return None
     order = np.lexsort((got["vector"].map(zlib.crc32), got["lang"]))  # the same order whatever the partitions
     got = got.iloc[order]
-    x = np.stack([np.frombuffer(v, np.float16) for v in got["vector"]]).astype(np.float32)
-    return LanguageModel(x, got["lang"].tolist())
+    x = np.empty((len(got), 1 << BITS), np.float32)
+    for i, v in enumerate(got["vector"]):
+        x[i] = np.frombuffer(v, np.float16)
+    langs = got["lang"].tolist()
+    del got
+    return LanguageModel(x, langs)
 
 
 def predict_texts(model: LanguageModel | None, texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
