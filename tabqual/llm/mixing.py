@@ -84,6 +84,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     rates = expected_rates(sizes, targets, cap).select(F.col("source").alias("r"), "rate")
     per = targets.join(rates, F.col("source").eqNullSafe(F.col("r")), "left").select(
         F.col("source").alias("s"), "n", "source_size", "target", F.coalesce("rate", F.lit(0.0)).alias("rate"))
+    per = save(per, "per-source")  # a table of known size: broadcast if small, else a join whose hot sources are split
     rows = sizes.join(per, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     u = (F.conv(F.substring(F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))), 1, 13), 16, 10).cast("double")
          + 0.5) / F.lit(float(1 << 52))
