@@ -1,8 +1,9 @@
 """Connected components of a graph given as a table of edges.
 
 Alternating large-star and small-star steps: each step joins the edges with the
-smallest neighbour of each node, so no neighbourhood is gathered in one place;
-a hot centre is a plain skewed join. Every step is written to the shared folder.
+smallest neighbour of each node, so no neighbourhood is gathered in one place. Smallest
+neighbours are written before they are joined, so that a hot centre is a plain skewed
+join, which Spark splits. Every step is written to the shared folder.
 """
 
 from __future__ import annotations
@@ -30,11 +31,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while state[0]:
         # large star: every larger neighbour of u joins u's smallest neighbour (or u itself)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = save(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u <> v")
         # small star: every smaller neighbour of u, and u, join the smallest of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = save(large, "large")
+        least = save(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = save(least.select("u", F.col("m").alias("v")).unionByName(small).distinct(), "edges")
         new = _state(edges)
