@@ -22,7 +22,7 @@ def save(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabqual-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -44,9 +44,16 @@ def fresh_name(df: DataFrame, base: str) -> str:
     return name
 
 
+#: Most rows of a batch that a Python worker gets at once; rows hold whole texts.
+TEXT_BATCH_ROWS = 1000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this library to the executors' Python workers, once per Spark application."""
+    """Send this library to the executors' Python workers, once per Spark application, and bound their batches."""
     sc = spark.sparkContext
+    if not 0 < int(spark.conf.get(_BATCH_ROWS)) <= TEXT_BATCH_ROWS:
+        spark.conf.set(_BATCH_ROWS, str(TEXT_BATCH_ROWS))
     if _shipped.get("to") == sc.applicationId:
         return
     root = Path(__file__).resolve().parents[1]
