@@ -33,8 +33,8 @@ from tabqual.llm.shared import map_pandas, save, ship_package
 
 LENGTH = 50
 GRAM = 24
-#: Texts above this are cut into pieces that overlap by a window.
-PIECE_BYTES = 1 << 19
+#: Texts above this are cut into pieces that overlap by a window; numpy works on one piece in the processor's cache.
+PIECE_BYTES = 1 << 16
 #: Bits of the map of shared grams (16 MB), and how many grams one map takes; more grams take more passes.
 MAP_BITS, GRAMS_PER_MAP = 27, 1 << 24
 #: Places from which a gram is counted window by window, and bits of the map of such grams.
@@ -385,14 +385,14 @@ def _hot_runs(rows: DataFrame, chosen, length: int) -> DataFrame:
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             ids = b["rank"].to_numpy()
+            least: dict[tuple[int, bytes], int] = {}
             for gram, row, _, texts in chosen.value.contexts(b, length, True):
-                least: dict[tuple[int, bytes], int] = {}
                 for g, t, h in zip(gram.view(np.int64).tolist(), texts, ids[row].tolist()):
                     least[g, t] = min(h, least.get((g, t), h))
-                found = [(g, xxhash.xxh3_64_intdigest(t), j, *np.frombuffer(hashlib.md5(t[j:j + length]).digest(), np.int64).tolist(), h)
-                         for (g, t), h in least.items() for j in range(len(t) - length + 1)]
-                pdf = pd.DataFrame(found, columns=["gram", "ctx", "lo", "w1", "w2", "holder"])
-                yield pdf.assign(ctx=pdf["ctx"].astype(np.uint64).to_numpy().view(np.int64))
+            found = [(g, xxhash.xxh3_64_intdigest(t), j, *np.frombuffer(hashlib.md5(t[j:j + length]).digest(), np.int64).tolist(), h)
+                     for (g, t), h in least.items() for j in range(len(t) - length + 1)]
+            pdf = pd.DataFrame(found, columns=["gram", "ctx", "lo", "w1", "w2", "holder"])
+            yield pdf.assign(ctx=pdf["ctx"].astype(np.uint64).to_numpy().view(np.int64))
 
     each = map_pandas(rows.select("rank", "text"), emit, "gram bigint, ctx bigint, lo bigint, w1 bigint, w2 bigint, holder bigint")
     each = save(each.groupBy("gram", "ctx", "lo", "w1", "w2").agg(F.min("holder").alias("holder")), "hot-windows")
@@ -406,9 +406,10 @@ def _occurrences(rows: DataFrame, chosen, length: int) -> DataFrame:
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             ids, keys = b["rank"].to_numpy(), b["row_key"].to_numpy()
-            for gram, row, at, texts in chosen.value.contexts(b, length, None):
-                yield pd.DataFrame({"gram": gram.view(np.int64), "ctx": _context_hash(texts), "rank": ids[row],
-                                    "row_key": keys[row], "at": at})
+            parts = [(gram.view(np.int64), _context_hash(texts), ids[row], keys[row], at)
+                     for gram, row, at, texts in chosen.value.contexts(b, length, None)]
+            if parts:
+                yield pd.DataFrame(dict(zip(("gram", "ctx", "rank", "row_key", "at"), map(np.concatenate, zip(*parts)))))
 
     return map_pandas(rows, emit, "gram bigint, ctx bigint, rank bigint, row_key bigint, at bigint")
 
