@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -22,12 +23,7 @@ LEAKAGE_COLUMNS = (
     "event_order",
 )
 
-# Caps on how many columns the profiles and the feature
-# selector look at.
-MAX_NUMERIC_PROFILE_COLUMNS = 60
-MAX_STRING_PROFILE_COLUMNS = 20
-MAX_NUMERIC_FEATURES = 8
-MAX_STRING_FEATURES = 8
+_NAME = re.compile("name", re.IGNORECASE)
 
 
 def quote(name: str) -> str:
@@ -52,8 +48,9 @@ def string_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
 
 
 def first_name_column(columns: Sequence[str]) -> str | None:
-    """First column whose lower-cased name contains ``name``."""
-    return next((c for c in columns if "name" in c.lower()), None)
+    """The leftmost column with ``name`` in its own name, in any letter case."""
+    named = list(filter(_NAME.search, columns))
+    return named[0] if named else None
 
 
 def ends_with_id(name: str) -> bool:

@@ -5,8 +5,8 @@ Join strategies for the band dimension (all give the same rows):
 * ``broadcast`` - hash join with the dimension broadcast. The dimension holds
   one row per configured band, so its size is bounded by a parameter, not by
   the data.
-* ``merge`` - sort-merge join (both sides shuffled); kept as the comparison
-  strategy.
+* ``merge`` - sort-merge join (both sides shuffled, rows salted, since three bands
+  are too few keys to deal rows out by); kept as the comparison strategy.
 * ``range`` - threshold range join ``ratio >= lo AND (hi IS NULL OR ratio < hi)``
   against the broadcast band ranges; needs no precomputed band column.
 """
@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabqual.functions.columns import qcol
 from tabqual.operators.quality import (
     QUALITY_BANDS,
     add_row_profile,
@@ -26,6 +27,7 @@ from tabqual.operators.quality import (
     band_dimension,
     band_range_dimension,
 )
+from tabqual.session import shuffle_partitions
 
 
 def add_ingest_time(df: DataFrame, run_ts: dt.datetime | str | None = None,
@@ -55,18 +57,20 @@ def join_band_dimension(scored: DataFrame, strategy: str = "broadcast",
     spark = scored.sparkSession
     if strategy == "range":
         ranges = band_range_dimension(spark, bands)
-        dim = band_dimension(spark, bands)
         ratio = F.col(ratio_col)
         cond = (ratio >= F.col("range_lo")) & (F.col("range_hi").isNull() | (ratio < F.col("range_hi")))
         base = scored.drop("quality_band") if "quality_band" in scored.columns else scored
-        joined = base.join(F.broadcast(ranges), cond, "left").drop("range_lo", "range_hi")
-        joined = joined.join(F.broadcast(dim), "quality_band", "left")
-        return joined
+        return base.join(F.broadcast(ranges), cond, "left").drop("range_lo", "range_hi")
     dim = band_dimension(spark, bands)
     if strategy == "broadcast":
         return scored.join(F.broadcast(dim), "quality_band", "left")
     if strategy == "merge":
-        return scored.join(dim.hint("merge"), "quality_band", "left")
+        # the bands are few: each is dealt out under as many salts as there are shuffle partitions
+        salts = shuffle_partitions(spark)
+        dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salt = F.pmod(F.xxhash64(*[qcol(c) for c in scored.columns]), F.lit(salts)).cast("int")
+        joined = scored.withColumn("_salt", salt).join(dim.hint("merge"), ["quality_band", "_salt"], "left").drop("_salt")
+        return joined.select("quality_band", *[qcol(c) for c in joined.columns if c != "quality_band"])
     raise ValueError(f"unknown join strategy {strategy!r}")
 
 

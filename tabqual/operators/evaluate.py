@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabqual.functions.sampling import hash_uniform, poisson1_weight
-from tabqual.operators.ranking import MAX_SEARCH_BUCKETS, ordered_cumulative
-from tabqual.session import materialize
+from tabqual.operators.ranking import ordered_cumulative
+from tabqual.session import materialize, shuffle_partitions
 
 # Confusion-matrix payoffs per true positive, false positive
 # and false negative, and the hard-decision threshold.
@@ -28,12 +28,8 @@ PROFIT_FP = -120
 PROFIT_FN = -350
 DECISION_THRESHOLD = 0.5
 BOOTSTRAP_REPLICATES = 200
-# Prediction rows per score bucket of the bucketed bootstrap
-# (each expands into the replicates inside its task), and the most sampled
-# scores used to place the bucket splits.
-BOOT_ROWS_PER_BUCKET = 20_000
-EXPAND_FIRST_MAX_ROWS = 50_000_000
-MAX_SPLIT_SAMPLE = 500_000
+# Fixed value: scores sampled for each score bucket of the bootstrap, to place its bounds.
+SAMPLED_PER_BUCKET = 64
 CI_LEVELS = (0.025, 0.975)
 
 
@@ -74,8 +70,7 @@ def _curve_areas(scores: DataFrame, group_cols: Sequence[str], buckets: int | No
     ungrouped = not groups
     if ungrouped:  # one constant group: same plan shape, no cartesian product
         scores, groups = scores.withColumn("_all", F.lit(0)), ["_all"]
-    # one row per (group, distinct score); read by several passes below
-    scores = materialize(scores)
+    # one row per (group, distinct score)
     cum = ordered_cumulative(scores, groups, ["_s"], ["pos", "neg"], buckets=buckets, with_totals=True)
     cum = cum.withColumnsRenamed({"pos_tot": "P", "neg_tot": "N"})
     tp = F.col("P") - F.col("pos_cum") + F.col("pos")      # positives scored >= s
@@ -127,61 +122,16 @@ def bootstrap_weights(pred: DataFrame, id_col: str, replicates: int = BOOTSTRAP_
 
 def bootstrap_auc(pred: DataFrame, label_col: str = "label", score_col: str = "score",
                   id_col: str = "id", replicates: int = BOOTSTRAP_REPLICATES, seed: int = 7,
-                  buckets: int | None = None, method: str = "auto") -> DataFrame:
+                  buckets: int | None = None) -> DataFrame:
     """ROC-AUC of every bootstrap replicate: ``rep, roc_auc, positives, negatives``.
 
-    ``bucketed`` shuffles the prediction rows once, by score range, and
-    expands them into replicates inside each task, so no shuffle carries
-    replicate rows. ``expand_first`` expands before aggregating (its shuffle
-    is about ``0.63 * replicates`` times the rows, cheaper in fixed cost).
-    ``auto`` counts the rows and uses ``expand_first`` only while
-    ``rows * replicates <= EXPAND_FIRST_MAX_ROWS``. All give the same values.
+    The prediction rows are shuffled once, by score range (``buckets`` of them, by default as many as shuffle
+    partitions), and expanded into replicates inside each task, so no shuffle carries replicate rows.
     """
-    if method == "auto":
-        n = pred.count()
-        method = "expand_first" if n * replicates <= EXPAND_FIRST_MAX_ROWS else "bucketed"
-    if method == "expand_first":
-        weighted = bootstrap_weights(pred.select(id_col, label_col, score_col), id_col, replicates, seed)
-        scores = _score_table(weighted, label_col, score_col, ["rep"], F.col("_w"))
-        return _curve_areas(scores, ["rep"], buckets).drop("pr_auc")
-    if method != "bucketed":
-        raise ValueError(f"unknown bootstrap method {method!r}")
-    return _bootstrap_auc_bucketed(pred, label_col, score_col, id_col, replicates, seed, buckets)
-
-
-def _score_splits(base: DataFrame, n: int, buckets: int) -> tuple[list[float], list[float], int]:
-    """Bucketizer splits from a seeded sample (at most ``MAX_SPLIT_SAMPLE`` scores) and the
-    hot scores, each given a bucket of its own; returns (splits, hot scores, salts)."""
-    frac = min(1.0, min(64 * buckets, MAX_SPLIT_SAMPLE) / max(n, 1))
-    sample = [r[0] for r in base.select("_s").where(F.col("_s").isNotNull() & ~F.isnan("_s"))
-              .sample(False, frac, 17).orderBy("_s").collect()]
-    m = len(sample)
-    inner: set[float] = set()
-    hot: list[float] = []
-    salts = 1
-    if m:
-        counts = Counter(sample)
-        cut = max(2.0, m / buckets)
-        hot = sorted(v for v, c in counts.items() if c >= cut and math.isfinite(v))
-        inner = {sample[(i * m) // buckets] for i in range(1, buckets)}
-        for h in hot:
-            inner.update((h, math.nextafter(h, math.inf)))
-        if hot:
-            salts = max(1, math.ceil(max(counts[h] for h in hot) / cut))
-    inner = {v for v in inner if math.isfinite(v)}
-    return [-math.inf] + sorted(inner) + [math.inf], hot, salts
-
-
-def _bootstrap_auc_bucketed(pred: DataFrame, label_col: str, score_col: str, id_col: str,
-                            replicates: int, seed: int, buckets: int | None) -> DataFrame:
     from pyspark.ml.feature import Bucketizer
-    spark = pred.sparkSession
-    base = pred.select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_y"),
-                       F.col(score_col).cast("double").alias("_s"))
-    n = base.count()
-    nb = buckets or min(MAX_SEARCH_BUCKETS,
-                        max(spark.sparkContext.defaultParallelism, -(-n // BOOT_ROWS_PER_BUCKET)))
-    splits, hot, salts = _score_splits(base, n, nb)
+    base = materialize(pred.select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_y"),
+                                   F.col(score_col).cast("double").alias("_s")))
+    splits, hot, salts = _score_splits(base, base.count(), buckets or shuffle_partitions(pred.sparkSession))
     # buckets are contiguous score ranges (NULL scores first, NaN last); a hot
     # score owns its bucket and its rows are spread over ``salts`` tasks by id
     cut = Bucketizer(splits=splits, inputCol="_s", outputCol="_bd", handleInvalid="keep").transform(base)
@@ -194,8 +144,7 @@ def _bootstrap_auc_bucketed(pred: DataFrame, label_col: str, score_col: str, id_
                     .alias("_salt"))
         keys.append("_salt")
     keyed = cut.select(*cols)
-    parts = max(spark.sparkContext.defaultParallelism, min(MAX_SEARCH_BUCKETS, len(splits) + len(hot) * salts))
-    moved = keyed.repartition(parts, *keys)                             # the one row shuffle
+    moved = keyed.repartition(len(splits) + len(hot) * salts, *keys)                             # the one row shuffle
     reps = moved.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
     w = poisson1_weight(hash_uniform(F.lit(seed), F.col("rep"), F.col("_id"))).cast("double")
     weighted = reps.withColumn("_w", w).where(F.col("_w") > 0)
@@ -221,6 +170,29 @@ def _bootstrap_auc_bucketed(pred: DataFrame, label_col: str, score_col: str, id_
     return agg.select("rep", roc.alias("roc_auc"), F.col("P").alias("positives"), F.col("N").alias("negatives"))
 
 
+def _score_splits(base: DataFrame, n: int, buckets: int) -> tuple[list[float], list[float], int]:
+    """Bucketizer splits from a seeded sample (``SAMPLED_PER_BUCKET`` scores for each bucket) and the
+    hot scores, each given a bucket of its own; returns (splits, hot scores, salts)."""
+    frac = min(1.0, SAMPLED_PER_BUCKET * buckets / max(n, 1))
+    sample = [r[0] for r in base.select("_s").where(F.col("_s").isNotNull() & ~F.isnan("_s"))
+              .sample(False, frac, 17).orderBy("_s").collect()]
+    m = len(sample)
+    inner: set[float] = set()
+    hot: list[float] = []
+    salts = 1
+    if m:
+        counts = Counter(sample)
+        cut = max(2.0, m / buckets)
+        hot = sorted(v for v, c in counts.items() if c >= cut and math.isfinite(v))
+        inner = {sample[(i * m) // buckets] for i in range(1, buckets)}
+        for h in hot:
+            inner.update((h, math.nextafter(h, math.inf)))
+        if hot:
+            salts = max(1, math.ceil(max(counts[h] for h in hot) / cut))
+    inner = {v for v in inner if math.isfinite(v)}
+    return [-math.inf] + sorted(inner) + [math.inf], hot, salts
+
+
 def _bucket_of(splits: list[float], values: list[float]) -> list[int]:
     """Bucketizer index of each value (the bucket whose lower split is the largest <= value)."""
     import bisect
@@ -229,11 +201,10 @@ def _bucket_of(splits: list[float], values: list[float]) -> list[int]:
 
 def bootstrap_auc_ci(pred: DataFrame, label_col: str = "label", score_col: str = "score",
                      id_col: str = "id", replicates: int = BOOTSTRAP_REPLICATES, seed: int = 7,
-                     levels: tuple[float, float] = CI_LEVELS, buckets: int | None = None,
-                     method: str = "auto") -> DataFrame:
+                     levels: tuple[float, float] = CI_LEVELS, buckets: int | None = None) -> DataFrame:
     """``auc_ci_low, auc_ci_high, replicates_used``; single-class replicates are skipped,
     (0, 0) when none is left. Quantiles interpolate linearly between replicates."""
-    reps = bootstrap_auc(pred, label_col, score_col, id_col, replicates, seed, buckets, method)
+    reps = bootstrap_auc(pred, label_col, score_col, id_col, replicates, seed, buckets)
     valid = reps.where((F.col("positives") > 0) & (F.col("negatives") > 0))
     q = F.percentile(F.col("roc_auc"), list(levels))
     return valid.agg(q.alias("_q"), F.count(F.lit(1)).cast("bigint").alias("replicates_used")).select(

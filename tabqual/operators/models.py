@@ -25,8 +25,15 @@ from pyspark.sql import functions as F
 from tabqual.operators import evaluate as ev
 from tabqual.session import materialize
 
-MODEL_NAMES = ("logistic_regression", "random_forest", "gbt")
-MAX_IMPORTANCES = 60
+# The compared classifiers, their settings and the grids they are tuned over.
+CLASSIFIERS = {
+    "logistic_regression": (LogisticRegression, {"maxIter": 80}, {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]}),
+    "random_forest": (RandomForestClassifier, {"numTrees": 80}, {"maxDepth": [4, 8], "numTrees": [40, 80]}),
+    "gbt": (GBTClassifier, {"maxIter": 40}, {"maxDepth": [3, 6], "maxIter": [20, 40]}),
+}
+MODEL_NAMES = tuple(CLASSIFIERS)
+# Fixed value: training rows per partition; tree training pays for every task of every job.
+ROWS_PER_TRAINING_TASK = 50_000
 
 
 def feature_stages(cat_cols: Sequence[str], num_cols: Sequence[str]) -> list:
@@ -49,18 +56,15 @@ def feature_stages(cat_cols: Sequence[str], num_cols: Sequence[str]) -> list:
 
 def classifier_and_grid(name: str, seed: int = 42):
     """Estimator and its parameter grid (instance-level params)."""
-    if name == "logistic_regression":
-        est = LogisticRegression(featuresCol="features", labelCol="label", maxIter=80)
-        grid = ParamGridBuilder().addGrid(est.regParam, [0.01, 0.1]).addGrid(est.elasticNetParam, [0.0, 0.5]).build()
-    elif name == "random_forest":
-        est = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=80, seed=seed)
-        grid = ParamGridBuilder().addGrid(est.maxDepth, [4, 8]).addGrid(est.numTrees, [40, 80]).build()
-    elif name == "gbt":
-        est = GBTClassifier(featuresCol="features", labelCol="label", maxIter=40, seed=seed)
-        grid = ParamGridBuilder().addGrid(est.maxDepth, [3, 6]).addGrid(est.maxIter, [20, 40]).build()
-    else:
+    if name not in CLASSIFIERS:
         raise ValueError(f"unknown model {name!r}")
-    return est, grid
+    kind, settings, grid = CLASSIFIERS[name]
+    seeded = {"seed": seed} if kind.__name__ != "LogisticRegression" else {}
+    est = kind(featuresCol="features", labelCol="label", **settings, **seeded)
+    builder = ParamGridBuilder()
+    for param, values in grid.items():
+        builder = builder.addGrid(est.getParam(param), values)
+    return est, builder.build()
 
 
 def positive_score(pred: DataFrame, out: str = "score") -> DataFrame:
@@ -72,6 +76,7 @@ class TrainedModels:
     comparison: DataFrame
     importances: DataFrame
     models: dict[str, PipelineModel] = field(default_factory=dict)
+    predictions: dict[str, DataFrame] = field(default_factory=dict)  # test rows with ``score``
 
 
 def train_and_compare(train: DataFrame, val: DataFrame, test: DataFrame, cat_cols: Sequence[str],
@@ -83,7 +88,7 @@ def train_and_compare(train: DataFrame, val: DataFrame, test: DataFrame, cat_col
 
     Feature stages are fitted once on the training split (vocabularies and
     imputation means come from training rows only); the assembled training
-    vectors are checkpointed, so every CV fold and grid point reads written
+    vectors are written in partitions sized to their rows, so every CV fold and grid point reads written
     data instead of re-running the upstream plan. ``train_seconds`` is the
     wall-clock of each model's CV fit, which overlaps when
     ``concurrent_models > 1``.
@@ -93,7 +98,8 @@ def train_and_compare(train: DataFrame, val: DataFrame, test: DataFrame, cat_col
     train, val, test = (d.withColumn("label", as_double) for d in (train, val, test))
     featurizer = Pipeline(stages=feature_stages(cat_cols, num_cols)).fit(train)
     keep = [id_col, "label", "features"]
-    train_vec = materialize(featurizer.transform(train).select(*keep))
+    tasks = max(1, -(-train.count() // ROWS_PER_TRAINING_TASK))
+    train_vec = materialize(featurizer.transform(train).select(*keep).coalesce(tasks))
     # every model evaluates on the same validation/test vectors several times
     val_vec = materialize(featurizer.transform(val).select(*keep))
     test_vec = materialize(featurizer.transform(test).select(*keep))
@@ -114,13 +120,14 @@ def train_and_compare(train: DataFrame, val: DataFrame, test: DataFrame, cat_col
         conf = ev.confusion_profit(test_pred).first()
         row = (name, v["roc_auc"], t["roc_auc"], t["pr_auc"], ci["auc_ci_low"], ci["auc_ci_high"],
                float(seconds), float(conf["expected_profit"]), int(conf["rows"]))
-        return name, best, row, _importances(name, best, test_pred)
+        return name, best, row, _importances(name, best, test_pred), test_pred
 
     # the models are independent Spark jobs: submit them from concurrent driver threads
     with ThreadPoolExecutor(max_workers=max(1, min(len(models), concurrent_models))) as pool:
         results = list(pool.map(fit_and_score, models))
-    rows, imp_rows, fitted = [], [], {}
-    for name, best, row, imps in results:
+    rows, imp_rows, fitted, predictions = [], [], {}, {}
+    for name, best, row, imps, test_pred in results:
+        predictions[name] = test_pred
         fitted[name] = PipelineModel(stages=list(featurizer.stages) + [best])
         rows.append(row)
         imp_rows += imps
@@ -129,7 +136,7 @@ def train_and_compare(train: DataFrame, val: DataFrame, test: DataFrame, cat_col
                                              "train_seconds double, expected_profit_index double, test_rows bigint")
     importances = spark.createDataFrame(imp_rows, "model string, feature_index int, feature_name string, "
                                                   "importance double")
-    return TrainedModels(comparison, importances, fitted)
+    return TrainedModels(comparison, importances, fitted, predictions)
 
 
 def feature_names(pred: DataFrame, col: str = "features") -> dict[int, str]:
@@ -144,7 +151,7 @@ def _importances(name: str, model, pred: DataFrame) -> list[tuple]:
         return []
     names = feature_names(pred)
     values = last.featureImportances.toArray()
-    return [(name, i, names.get(i, str(i)), float(values[i])) for i in range(min(len(values), MAX_IMPORTANCES))]
+    return [(name, i, names.get(i, str(i)), float(values[i])) for i in range(len(values))]
 
 
 def balanced_logistic(train: DataFrame, test: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str],

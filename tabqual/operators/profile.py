@@ -13,15 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabqual.functions.columns import (
-    MAX_NUMERIC_PROFILE_COLUMNS,
-    MAX_STRING_PROFILE_COLUMNS,
-    numeric_columns,
-    qcol,
-    quote,
-    sql_str,
-    string_columns,
-)
+from tabqual.functions.columns import numeric_columns, qcol, quote, sql_str, string_columns
 from tabqual.functions.literals import literal_table
 from tabqual.functions.missing import is_missing, missing_flag_sql, safe_ratio_sql
 from tabqual.operators.ranking import exact_quantiles
@@ -31,8 +23,8 @@ def _inline(structs: list[str]) -> str:
     return f"inline(array({', '.join(structs)}))"
 
 
-# Fixed value: most columns aggregated by one wide aggregation; wider tables
-# are profiled in chunks (each chunk's scan reads only its own columns).
+# Fixed value: most columns of one wide aggregation. Wider tables are profiled in
+# chunks, a scan each; no column is left out, and each scan reads only its own columns.
 MAX_COLUMNS_PER_AGG = 200
 
 
@@ -97,11 +89,9 @@ def with_fixed_average(df: DataFrame, by: str = "column", value: str = "null_rat
                        out: str = "avg_null_ratio_fixed") -> DataFrame:
     """Level-of-detail average ``{FIXED [by]: AVG([value])}`` kept at row grain.
 
-    An aggregate per ``by`` value joined back (a partial aggregation, then a
-    join the planner may broadcast), so no task holds every row of one value.
+    A window over the rows of a report (one row per group and column), so the source is planned once.
     """
-    avgs = df.groupBy(by).agg(F.avg(value).alias(out))
-    return df.join(avgs, by, "left")
+    return df.withColumn(out, F.avg(value).over(Window.partitionBy(by)))
 
 
 def null_ratio_filter(profile: DataFrame, columns: Sequence[str] | None = None,
@@ -118,7 +108,9 @@ def column_inventory(df: DataFrame, columns: Sequence[str] | None = None, exact:
     """``column, data_type, non_null_count, null_count, fill_rate, distinct_count``.
 
     NULL here is SQL NULL only (blank strings count as filled). Distinct
-    counts are HyperLogLog++ estimates unless ``exact``.
+    counts are HyperLogLog++ estimates unless ``exact``. Exact ones come from one two-step
+    aggregation per column, whose scan reads that column alone (several distinct counts in one
+    aggregation would copy every row once per column).
     """
     cols = list(df.columns if columns is None else columns)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
@@ -127,8 +119,8 @@ def column_inventory(df: DataFrame, columns: Sequence[str] | None = None, exact:
         aggs = ["count(1) AS total"]
         for i, c in enumerate(chunk):
             q = quote(c)
-            distinct = f"count(DISTINCT {q})" if exact else f"approx_count_distinct({q}, {rsd!r})"
-            aggs += [f"count({q}) AS nn{i}", f"{distinct} AS dc{i}"]
+            distinct = "CAST(NULL AS BIGINT)" if exact else f"approx_count_distinct({q}, {rsd!r})"
+            aggs += [f"count({q}) AS nn{i}", f"first({distinct}) AS dc{i}" if exact else f"{distinct} AS dc{i}"]
         wide = df.agg(*[F.expr(a) for a in aggs])
         return wide.selectExpr(_inline([
             f"named_struct('column', {sql_str(c)}, 'data_type', {sql_str(types[c])}, "
@@ -137,12 +129,18 @@ def column_inventory(df: DataFrame, columns: Sequence[str] | None = None, exact:
             for i, c in enumerate(chunk)]))
 
     rows = chunked(cols, build)
+    if exact and cols:
+        counts = None
+        for c in cols:
+            own = (df.select(qcol(c).alias("v")).where(F.col("v").isNotNull()).groupBy("v").agg(F.lit(1).alias("one"))
+                     .agg(F.count("one").alias("distinct_count")).select(F.lit(c).alias("column"), "distinct_count"))
+            counts = own if counts is None else counts.unionByName(own)
+        rows = rows.drop("distinct_count").join(counts, "column")
     return rows.orderBy(F.desc("fill_rate"), F.desc("distinct_count"), F.asc("column"))
 
 
 def numeric_statistics(df: DataFrame, columns: Sequence[str] | None = None,
-                       median: str = "exact", accuracy: int = 10_000,
-                       max_columns: int = MAX_NUMERIC_PROFILE_COLUMNS) -> DataFrame:
+                       median: str = "exact", accuracy: int = 10_000) -> DataFrame:
     """``column, mean, stddev, min, median, max`` for numeric columns (sample stddev).
 
     ``median="exact"`` gives the lower median (rank ``ceil(n/2)``) through
@@ -150,7 +148,7 @@ def numeric_statistics(df: DataFrame, columns: Sequence[str] | None = None,
     statistics; ``"approx"`` uses ``percentile_approx`` with ``accuracy``.
     The result has one row per column, built from those few scalars.
     """
-    cols = list(numeric_columns(df) if columns is None else columns)[:max_columns]
+    cols = list(numeric_columns(df) if columns is None else columns)
     schema = "column string, mean double, stddev double, min double, median double, max double"
     if not cols:
         return literal_table(df.sparkSession, [], schema)
@@ -162,7 +160,7 @@ def numeric_statistics(df: DataFrame, columns: Sequence[str] | None = None,
         if median == "approx":
             stats.append(f"CAST(percentile_approx({q}, 0.5, {int(accuracy)}) AS DOUBLE) AS med{i}")
     if median == "exact":
-        meds, row = exact_quantiles(df, cols, 0.5, accuracy=accuracy, extra_aggs=[F.expr(e) for e in stats])
+        meds, row = exact_quantiles(df, cols, 0.5, extra_aggs=[F.expr(e) for e in stats], accuracy=accuracy)
         row = dict(row, **{f"med{i}": (None if meds[c] is None else float(meds[c])) for i, c in enumerate(cols)})
     else:
         row = df.agg(*[F.expr(e) for e in stats]).first().asDict()
@@ -171,8 +169,7 @@ def numeric_statistics(df: DataFrame, columns: Sequence[str] | None = None,
     return literal_table(df.sparkSession, rows, schema)
 
 
-def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5,
-               max_columns: int = MAX_STRING_PROFILE_COLUMNS) -> DataFrame:
+def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5) -> DataFrame:
     """Top ``k`` non-blank values per string column: ``column, value, count``.
 
     All columns in one job: rows are unpivoted to (column, value), counted
@@ -180,7 +177,7 @@ def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5,
     (Spark applies that limit per partition before the shuffle, so no task
     holds all distinct values of a column). Ties: smaller value first.
     """
-    cols = list(string_columns(df, exclude=("ingested_at",)) if columns is None else columns)[:max_columns]
+    cols = list(string_columns(df, exclude=("ingested_at",)) if columns is None else columns)
     if not cols:
         return literal_table(df.sparkSession, [], "column string, value string, count bigint")
     long = df.selectExpr(_inline([f"named_struct('column', {sql_str(c)}, 'value', CAST({quote(c)} AS STRING))"

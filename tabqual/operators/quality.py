@@ -91,20 +91,21 @@ def band_dimension(spark: SparkSession, bands: Sequence[tuple[str, float]] = QUA
 
 def band_range_dimension(spark: SparkSession,
                          bands: Sequence[tuple[str, float]] = QUALITY_BANDS) -> DataFrame:
-    """Bands as half-open ratio ranges ``[lo, hi)``; the top band has ``hi`` NULL."""
+    """Bands as half-open ratio ranges ``[lo, hi)`` with their ``min_ratio``; the top band has ``hi`` NULL."""
     ordered = sorted(bands, key=lambda b: b[1], reverse=True)
     rows = []
     upper = None
     for name, lower in ordered:
-        rows.append((name, float(lower), upper))
+        rows.append((name, float(lower), upper, float(lower)))
         upper = float(lower)
     # the lowest band catches everything below its bound too
-    name, _, upper_last = rows[-1]
-    rows[-1] = (name, float("-inf"), upper_last)
+    name, _, upper_last, lowest = rows[-1]
+    rows[-1] = (name, float("-inf"), upper_last, lowest)
     schema = T.StructType([
         T.StructField("quality_band", T.StringType(), False),
         T.StructField("range_lo", T.DoubleType(), False),
         T.StructField("range_hi", T.DoubleType(), True),
+        T.StructField("min_ratio", T.DoubleType(), False),
     ])
     return literal_table(spark, rows, schema)
 

@@ -1,280 +1,129 @@
 """Order statistics that never put a whole column into one task.
 
 * :func:`exact_quantiles` - the value at rank ``ceil(q * n)`` of each column
-  (ANSI ``percentile_disc``), found by narrowing a value bracket: each round
-  is an equal-width histogram of the rows still inside the bracket, with
-  exact per-bin counts, minima and maxima, and the bin holding the target
-  rank becomes the next bracket. Only a bracket with few rows is grouped by
-  value and ranked. Every pass is one aggregation over the pruned columns
-  into at most ``columns * (bins + 1)`` groups; the driver only sees those
-  bin rows.
+  (ANSI ``percentile_disc``). One scan takes a bracket around the rank from a
+  quantile sketch; a second counts the values below the bracket and those in it,
+  which proves or disproves the bracket and gives the exact rank.
 * :func:`ordered_cumulative` - running sums over an ordering within groups
-  (prefix sums). Rows get a bucket from split keys sampled on (group, order),
-  are summed locally per bucket with a window, and shifted by per-bucket
-  offsets from a table with at most ``buckets + groups`` rows. A hot group is
-  split across buckets; equal keys stay in one bucket, so ties are exact.
+  (prefix sums). Rows are range-partitioned by (group, order) and written; each
+  written partition is summed locally with a window and shifted by offsets from a table
+  with one row per partition and group. A hot group is split across partitions;
+  equal keys stay together, so ties are exact. The plan is the same at every size.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import math
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabqual.functions.columns import qcol, quote
-from tabqual.session import shuffle_partitions
+from tabqual.session import materialize, shuffle_partitions
 
 DEFAULT_ACCURACY = 10_000
-DEFAULT_FINAL_DISTINCT = 500_000
-# Fixed value: bins of each narrowing histogram.
-HISTOGRAM_BINS = 1024
-# Fixed value: inputs up to this many rows are ordered by one plain window.
-SMALL_INPUT_ROWS = 1_000_000
-# Target rows per bucket of the bucketed path, and the most
-# buckets a composite (multi-column) key is split into by a CASE tree. A
-# single numeric order key is bucketed by binary search with no cap.
-ROWS_PER_BUCKET = 2_000_000
-MAX_TREE_BUCKETS = 4096
-# Most keys sampled to the driver for split points, and most
-# buckets of the binary-search path (both independent of the data size).
-MAX_SPLIT_SAMPLE = 1_000_000
-MAX_SEARCH_BUCKETS = 65_536
-MAX_ROUNDS = 20
 
 
 def target_rank(q: float, n: int) -> int:
     return max(1, int(math.ceil(q * n)))
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5,
-                    accuracy: int = DEFAULT_ACCURACY,
-                    final_distinct: int = DEFAULT_FINAL_DISTINCT,
-                    extra_aggs: Sequence[Column] = (), bins: int = HISTOGRAM_BINS) -> tuple[dict[str, object], dict]:
+def _value_type(dtype: T.DataType) -> str:
+    """The type a column's values are compared and returned in; no value is rounded by it."""
+    if isinstance(dtype, T.IntegralType):
+        return "bigint"
+    return "double" if isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType) else dtype.simpleString()
+
+
+def _below(value):
+    """A little less: sketches round integers and decimals through doubles."""
+    return value - (abs(value) >> 50) - 1 if isinstance(value, int) else \
+        value - abs(value) * Decimal(2) ** -50 if isinstance(value, Decimal) else value
+
+
+def _above(value):
+    return -_below(-value)
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, extra_aggs: Sequence[Column] = (),
+                    accuracy: int = DEFAULT_ACCURACY) -> tuple[dict[str, object], dict]:
     """Exact ``q``-quantile (lower, discrete: rank ``ceil(q * n)``) of each numeric column.
 
-    Pass 1 counts values and takes min/max (with the caller's ``extra_aggs``).
-    While a column has more than ``final_distinct`` values in its bracket,
-    one pass builds an equal-width histogram of every such column's bracket
-    (a partial aggregation into at most ``columns * (bins + 1)`` keys, with the
-    exact count, min and max per bin); the bin holding the target rank becomes
-    the next bracket ``[bin min, bin max]``. The last bracket is grouped by
-    value and ranked. ``accuracy`` is kept for callers of the sketch variant.
+    The first scan (with the caller's ``extra_aggs``) counts values and brackets the rank by the sketch's
+    quantiles two errors of ``accuracy`` below and above. The second scan counts, per value type, the values in the bracket and
+    those below it. If the sketch was off, the counts show it, and that column is read once more in full. NaN sorts last.
 
     Returns ``({column: value}, extra)``; ``None`` for a column with no values.
     """
-    cols = list(columns)
+    cols, margin = list(columns), 2.0 / accuracy
+    low, high = max(0.0, q - margin), min(1.0, q + margin)
     aggs = list(extra_aggs)
     for i, c in enumerate(cols):
         v = quote(c)
-        aggs += [F.expr(f"count({v}) AS _qn{i}"), F.expr(f"min({v}) AS _qlo{i}"), F.expr(f"max({v}) AS _qhi{i}")]
+        aggs += [F.expr(f"count({v}) AS _qn{i}"), F.expr(f"min({v}) AS _qlo{i}"), F.expr(f"max({v}) AS _qhi{i}"),
+                 F.expr(f"percentile_approx({v}, array({low!r}D, {high!r}D), {int(accuracy)}) AS _qb{i}")]
     if not aggs:
         return {}, {}
     row = df.agg(*aggs).first().asDict()
     extra = {k: v for k, v in row.items() if not k.startswith("_q")}
-
-    state: dict[str, dict] = {}
-    result: dict[str, object] = {}
-    for i, c in enumerate(cols):
-        n = row[f"_qn{i}"]
-        if not n:
-            result[c] = None
-            continue
-        state[c] = {"rank": target_rank(q, n), "below": 0, "size": n, "lo": row[f"_qlo{i}"], "hi": row[f"_qhi{i}"]}
-
-    types = {f.name: f.dataType for f in df.schema.fields}
-    for _ in range(MAX_ROUNDS):
-        for c, st in state.items():
-            if c not in result and st["lo"] == st["hi"]:
-                result[c] = st["lo"]          # every value left in the bracket is equal
-        narrowing = [c for c, st in state.items() if c not in result and st["size"] > final_distinct]
-        if not narrowing:
-            break
-        structs = []
-        for k, c in enumerate(narrowing):
-            st = state[c]
-            v = qcol(c)
-            inside = v.isNotNull() & (v >= F.lit(st["lo"])) & (v <= F.lit(st["hi"]))
-            integral = isinstance(types[c], T.IntegralType)
-            structs.append(F.struct(
-                F.lit(k).alias("k"),
-                F.when(inside, F.expr(f"width_bucket(CAST({quote(c)} AS DOUBLE), "
-                                      f"CAST({_num_sql(st['lo'])} AS DOUBLE), CAST({_num_sql(st['hi'])} AS DOUBLE), "
-                                      f"{int(bins)})")).alias("bin"),
-                F.when(inside, v.cast("bigint") if integral else F.lit(None).cast("bigint")).alias("iv"),
-                F.when(inside, F.lit(None).cast("double") if integral else v.cast("double")).alias("dv")))
-        hist = (df.select(F.inline(F.array(*structs))).where(F.col("bin").isNotNull())
-                  .groupBy("k", "bin").agg(F.count(F.lit(1)).alias("cnt"),
-                                          F.min("iv").alias("imin"), F.max("iv").alias("imax"),
-                                          F.min("dv").alias("dmin"), F.max("dv").alias("dmax"))
-                  .collect())
-        per_col: dict[int, list] = {}
-        for r in hist:
-            per_col.setdefault(r["k"], []).append(r)
-        for k, c in enumerate(narrowing):
-            st = state[c]
-            want = st["rank"] - st["below"]
-            seen = 0
-            for r in sorted(per_col.get(k, []), key=lambda x: x["bin"]):
-                if seen + r["cnt"] >= want:
-                    lo = r["imin"] if r["imin"] is not None else r["dmin"]
-                    hi = r["imax"] if r["imax"] is not None else r["dmax"]
-                    st.update(lo=lo, hi=hi, below=st["below"] + seen, size=r["cnt"])
-                    break
-                seen += r["cnt"]
-
-    remaining = [c for c in state if c not in result]
-    if remaining:
-        result.update(_select_in_bracket(df, remaining, state))
-    return result, extra
-
-
-def _num_sql(value) -> str:
-    """SQL text for a bound; floats go through a string so infinities parse."""
-    return f"CAST('{value!r}' AS DOUBLE)" if isinstance(value, float) else str(value)
-
-
-def _select_in_bracket(df: DataFrame, cols: Sequence[str], state: dict) -> dict:
-    """Group the few values left in each bracket (one scan for all columns) and
-    pick the target rank. Integral and fractional values travel in separate
-    struct fields, so no value is rounded through another type."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    structs, wants = [], []
+    types = {f.name: _value_type(f.dataType) for f in df.schema.fields}
+    ranks = {c: target_rank(q, row[f"_qn{i}"]) for i, c in enumerate(cols) if row[f"_qn{i}"]}
+    whole = {c: (row[f"_qlo{i}"], row[f"_qhi{i}"]) for i, c in enumerate(cols)}
+    bracket = {}
     for i, c in enumerate(cols):
-        s = state[c]
-        v = qcol(c)
-        integral = isinstance(types[c], T.IntegralType)
-        keep = v.isNotNull() & (v >= F.lit(s["lo"])) & (v <= F.lit(s["hi"]))
-        structs.append(F.struct(
-            F.lit(i).alias("k"),
-            F.when(keep, v.cast("bigint") if integral else F.lit(None).cast("bigint")).alias("iv"),
-            F.when(keep, F.lit(None).cast("double") if integral else v.cast("double")).alias("dv")))
-        wants.append(f"WHEN {i} THEN {int(s['rank'] - s['below'])}")
-    long = df.select(F.inline(F.array(*structs))).where(F.col("iv").isNotNull() | F.col("dv").isNotNull())
-    counted = long.groupBy("k", "iv", "dv").agg(F.count(F.lit(1)).alias("cnt"))
-    w = Window.partitionBy("k").orderBy("iv", "dv").rowsBetween(Window.unboundedPreceding, 0)
-    want = F.expr(f"CASE k {' '.join(wants)} END")
-    picked = (counted.withColumn("cum", F.sum("cnt").over(w))
-                     .where(F.col("cum") >= want)
-                     .groupBy("k").agg(F.min(F.struct("iv", "dv")).alias("v")))
-    return {cols[r["k"]]: (r["v"]["iv"] if r["v"]["iv"] is not None else r["v"]["dv"]) for r in picked.collect()}
-
-
-def _literal(value, dtype: T.DataType) -> Column:
-    """A literal of exactly ``dtype`` built from an exact text form (no time-zone shifts)."""
-    if value is None:
-        return F.lit(None).cast(dtype)
-    if isinstance(dtype, T.StringType):
-        return F.lit(value)
-    if isinstance(value, float):
-        return F.lit(repr(value)).cast(dtype)
-    if isinstance(value, (dt.datetime, dt.date)):
-        return F.lit(value.isoformat(sep=" ") if isinstance(value, dt.datetime) else value.isoformat()).cast(dtype)
-    return F.lit(str(value)).cast(dtype)
-
-
-def range_bounds(df: DataFrame, key_cols: Sequence[str], buckets: int,
-                 oversample: int = 64, seed: int = 17, n_rows: int | None = None) -> list[tuple]:
-    """Up to ``buckets - 1`` ascending split keys from a seeded sample of about
-    ``oversample * buckets`` rows (sorted by Spark, so in Spark's key order)."""
-    if buckets <= 1:
-        return []
-    keys = [qcol(c) for c in key_cols]
-    n = df.select(*keys).count() if n_rows is None else n_rows
-    if n == 0:
-        return []
-    frac = min(1.0, min(oversample * buckets, MAX_SPLIT_SAMPLE) / n)
-    sample = [tuple(r) for r in df.select(*keys).sample(False, frac, seed).orderBy(*keys).collect()]
-    if not sample:
-        return []
-    picks = [sample[(i * len(sample)) // buckets] for i in range(1, buckets)]
-    return list(dict.fromkeys(picks))  # ordered de-dup keeps ascending order
-
-
-def bucket_expr(df: DataFrame, key_cols: Sequence[str], bounds: Sequence[tuple]) -> Column:
-    """Number of bounds <= key: a balanced CASE tree, log2(#bounds) comparisons per row.
-
-    Monotone in the key order, so each bucket holds one contiguous key range
-    and equal keys always share a bucket.
+        if c in ranks:
+            lo, hi = row[f"_qb{i}"]
+            bracket[c] = (whole[c][0] if low == 0.0 else _below(lo), whole[c][1] if high == 1.0 else _above(hi))
+    result: dict[str, object] = {c: None for c in cols if c not in ranks}
+    while len(result) < len(cols):
+        left = [c for c in cols if c not in result]
+        for kind in sorted({types[c] for c in left}):
+            result.update(_at_ranks(df, [c for c in left if types[c] == kind], kind, bracket, ranks))
+        bracket = {c: whole[c] for c in left}
+    return {c: result[c] for c in cols}, extra
+
+
+def _at_ranks(df: DataFrame, cols: Sequence[str], kind: str, bracket: dict, ranks: dict) -> dict:
+    """Values at the ranks, for the columns whose bracket holds theirs; one scan.
+
+    Values below the bracket are one key (NULL), so what is shuffled is the distinct values of the bracket.
     """
-    types = {f.name: f.dataType for f in df.schema.fields}
-    if len(key_cols) == 1:
-        key = qcol(key_cols[0])
-        lits = [_literal(b[0], types[key_cols[0]]) for b in bounds]
-    else:
-        key = F.struct(*[qcol(c).alias(f"k{i}") for i, c in enumerate(key_cols)])
-        lits = [F.struct(*[_literal(v, types[c]).alias(f"k{i}") for i, (c, v) in enumerate(zip(key_cols, b))])
-                for b in bounds]
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < lits[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return tree(0, len(lits))
-
+    entries = []
+    for i, c in enumerate(cols):
+        v, (lo, hi) = qcol(c).cast(kind), bracket[c]
+        inside = F.when(v >= F.lit(lo).cast(kind), v)
+        entries.append(F.when(v.isNotNull() & (v <= F.lit(hi).cast(kind)), F.struct(F.lit(i).alias("k"), inside.alias("v"))))
+    rows = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")).select("e.*")
+    counted = rows.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    reach = ordered_cumulative(counted, ["k"], ["v"], ["n"])
+    want = F.element_at(F.array(*(F.lit(ranks[c]).cast("bigint") for c in cols)), F.col("k") + 1)
+    found = reach.where((F.col("n_cum") >= want) & (F.col("n_cum") - F.col("n") < want)).select("k", "v").collect()
+    return {cols[r["k"]]: r["v"] for r in found if r["v"] is not None}
 
-def with_buckets(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], buckets: int,
-                 n_rows: int | None = None) -> DataFrame:
-    """Add ``_bucket``: a pure, order-preserving function of the key.
 
-    A single numeric order key is cut at sampled split points by Spark ML's
-    ``Bucketizer`` (binary search, any number of buckets); rows of every group
-    share those score ranges. Other keys use the CASE tree over
-    (group, order) with at most ``MAX_TREE_BUCKETS`` buckets.
-    """
-    types = {f.name: f.dataType for f in df.schema.fields}
-    if len(order_cols) == 1 and isinstance(types[order_cols[0]], T.NumericType):
-        from pyspark.ml.feature import Bucketizer
-        col = order_cols[0]
-        bounds = range_bounds(df, [col], min(buckets, MAX_SEARCH_BUCKETS), n_rows=n_rows)
-        inner = sorted({float(b[0]) for b in bounds if b[0] is not None and b[0] == b[0]})
-        if not inner:
-            return df.withColumn("_bucket", F.lit(0.0))
-        splits = [float("-inf")] + inner + [float("inf")]
-        keyed = df.withColumn("_bkey", qcol(col).cast("double"))
-        cut = Bucketizer(splits=splits, inputCol="_bkey", outputCol="_bucket", handleInvalid="keep").transform(keyed)
-        # NULL keys sort first: give them their own lowest bucket
-        return cut.withColumn("_bucket", F.when(F.col("_bkey").isNull(), F.lit(-1.0))
-                              .otherwise(F.col("_bucket"))).drop("_bkey")
-    keys = list(group_cols) + list(order_cols)
-    bounds = range_bounds(df, keys, min(buckets, MAX_TREE_BUCKETS), n_rows=n_rows)
-    return df.withColumn("_bucket", bucket_expr(df, keys, bounds))
+def with_ranges(df: DataFrame, key_cols: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """``df``, written, with the number of its key range in ``_bucket``: ascending in the key, equal keys together."""
+    ranged = df.repartitionByRange(buckets or shuffle_partitions(df.sparkSession), *[qcol(c) for c in key_cols])
+    return materialize(ranged.withColumn("_bucket", F.spark_partition_id()))
 
 
 def ordered_cumulative(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                        sum_cols: Sequence[str], buckets: int | None = None,
                        rank_col: str | None = None, count_col: str | None = None,
-                       small_rows: int = SMALL_INPUT_ROWS, with_totals: bool = False) -> DataFrame:
+                       with_totals: bool = False) -> DataFrame:
     """Add ``<c>_cum`` = sum of ``c`` over rows of the same group ordered at or before this one.
 
     Ties on the order columns are included (RANGE frame). ``rank_col`` adds
     the SQL ``rank()`` within the group, ``count_col`` the group size and
     ``with_totals`` the group sum ``<c>_tot`` of every summed column.
-    The bucket of a row is a pure function of its key, so the per-bucket
-    totals and the per-row running sums agree however often a stage is
-    recomputed.
+    The rows are written with the number of their range (``buckets`` of them, by default as many as shuffle
+    partitions), so totals and running sums agree however often a stage is recomputed.
     """
     groups, order, sums = list(group_cols), list(order_cols), list(sum_cols)
-    n = df.count()
-    if n <= small_rows:
-        # proven small: one window per group is bounded by n rows
-        w = Window.partitionBy(*groups).orderBy(*order)
-        cols = {f"{c}_cum": F.sum(c).over(w) for c in sums}
-        if rank_col:
-            cols[rank_col] = F.rank().over(w).cast("bigint")
-        whole = Window.partitionBy(*groups)
-        if count_col:
-            cols[count_col] = F.count(F.lit(1)).over(whole).cast("bigint")
-        if with_totals:
-            cols.update({f"{c}_tot": F.sum(c).over(whole) for c in sums})
-        return df.withColumns(cols)
-    nb = buckets or max(shuffle_partitions(df.sparkSession), -(-n // ROWS_PER_BUCKET))
-    bucketed = with_buckets(df, groups, order, nb, n)
+    bucketed = with_ranges(df, groups + order, buckets)
     local_w = Window.partitionBy("_bucket", *groups).orderBy(*order)
     local = bucketed.withColumns({f"{c}_lcum": F.sum(c).over(local_w) for c in sums})
     if rank_col:
@@ -309,12 +158,11 @@ def ordered_cumulative(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
 
 
 def scalable_percent_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                          out_col: str = "pct_in_group", buckets: int | None = None,
-                          small_rows: int = SMALL_INPUT_ROWS) -> DataFrame:
+                          out_col: str = "pct_in_group", buckets: int | None = None) -> DataFrame:
     """SQL ``percent_rank()`` over (partition by group order by order) without one task per group."""
     tmp = df.withColumn("_one", F.lit(1))
     ranked = ordered_cumulative(tmp, group_cols, order_cols, ["_one"], buckets=buckets,
-                                rank_col="_rank", count_col="_n", small_rows=small_rows)
+                                rank_col="_rank", count_col="_n")
     pct = F.when(F.col("_n") <= 1, F.lit(0.0)).otherwise(
         (F.col("_rank") - 1).cast("double") / (F.col("_n") - 1).cast("double"))
     return ranked.withColumn(out_col, pct).drop("_one", "_one_cum", "_rank", "_n")

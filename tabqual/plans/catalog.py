@@ -540,15 +540,65 @@ def q_corrupt_split(spark, sf_dir):
     path = ds.write_damaged_json_lines(spark, events)
     schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
                            T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])
-    good, bad = rd.read_with_quarantine(spark, path, schema)
-    g = good.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(F.lit("good").alias("status"), "rows")
-    b = bad.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(F.lit("quarantine").alias("status"), "rows")
-    return g.unionByName(b)
+    status = F.when(F.col(rd.CORRUPT_COLUMN).isNull(), "good").otherwise("quarantine").alias("status")
+    return rd.parse_lines(spark, path, schema).groupBy(status).agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
+
+
+_LINE_KINDS = """CASE WHEN event_id % 97 = 0 THEN 'damaged' WHEN event_id % 89 = 0 THEN 'blank'
+  WHEN event_id % 83 = 0 THEN 'no struct' ELSE 'good' END"""
+
+
+@register("corrupt_split_kinds", f"""
+SELECT CASE WHEN kind = 'good' THEN 'good' ELSE 'quarantine' END AS status, CAST(count(*) AS BIGINT) AS rows,
+  CAST(sum(CASE WHEN kind = 'good' THEN event_id ELSE 0 END) AS BIGINT) AS id_sum
+FROM (SELECT event_id, {_LINE_KINDS} AS kind FROM events) e WHERE kind <> 'blank' GROUP BY 1""")
+def q_corrupt_split_kinds(spark, sf_dir):
+    """Lines that are cut off, blank, or no JSON object at all, beside good ones."""
+    events = table(spark, sf_dir, "events")
+    line = F.to_json(F.struct("event_id", "event_type"))
+    kind = F.expr(_LINE_KINDS)
+    text = (F.when(kind == "damaged", F.expr("substring(line, 1, length(line) - 1)")).when(kind == "blank", "  ")
+            .when(kind == "no struct", "not json").otherwise(F.col("line")))
+    path = shared_path(spark, "events-kinds")
+    events.withColumn("line", line).select(text.alias("value")).write.text(path)
+    rows = rd.parse_lines(spark, path, T.StructType([T.StructField("event_id", T.LongType()),
+                                                     T.StructField("event_type", T.StringType())]))
+    status = F.when(F.col(rd.CORRUPT_COLUMN).isNull(), "good").otherwise("quarantine").alias("status")
+    good = F.when(F.col(rd.CORRUPT_COLUMN).isNull(), F.col("event_id")).otherwise(0)
+    return rows.groupBy(status).agg(F.count(F.lit(1)).cast("bigint").alias("rows"), F.sum(good).alias("id_sum"))
+
+
+@register("geojson_mixed_lines", """
+SELECT event_id, event_type, CASE WHEN event_type = 'error' THEN NULL ELSE 'Point' END AS geometry_type FROM events""")
+def q_geojson_mixed(spark, sf_dir):
+    """Lines that hold a collection, beside lines that are a single Feature."""
+    events = table(spark, sf_dir, "events")
+    path = shared_path(spark, "events-mixed")
+    single = events.where("event_id % 5 = 0").select(F.to_json(ds.event_feature()).alias("value"))
+    ds.feature_collections(events.where("event_id % 5 <> 0")).unionByName(single).write.text(path)
+    return rd.read_geojson(spark, path, multiline=False).select("event_id", "event_type", "geometry_type")
+
+
+@register("geojson_documents", """
+SELECT event_id, event_type, CASE WHEN event_type = 'error' THEN NULL ELSE 'Point' END AS geometry_type FROM events""")
+def q_geojson_documents(spark, sf_dir):
+    """Files that each hold one pretty-printed collection, over many lines."""
+    events = table(spark, sf_dir, "events")
+    path = ds.write_documents(spark, ds.feature_collections(events), "events-geojson-documents")
+    return rd.read_geojson(spark, path, multiline=True).select("event_id", "event_type", "geometry_type")
+
+
+@register("json_documents", "SELECT event_id, user_id, event_type, value FROM events")
+def q_json_documents(spark, sf_dir):
+    """Files that each hold one top-level array, beside files that hold one wrapped array."""
+    events = table(spark, sf_dir, "events")
+    item = F.struct("event_id", "user_id", "event_type", "value")
+    path = ds.write_documents(spark, ds.arrays(events, item), "events-json-documents")
+    return rd.read_wrapped_json(spark, path, multiline=True).select("event_id", "user_id", "event_type", "value")
 
 
 @register("format_detect", """
-WITH s AS (SELECT page_id, lower(url) AS name,
-             regexp_replace(substr(html, 1, 4096), '^\\s+', '') AS sample FROM pages),
+WITH s AS (SELECT page_id, lower(url) AS name, regexp_replace(html, '^\\s+', '') AS sample FROM pages),
 f AS (SELECT page_id, name, sample, regexp_extract(sample, '^([^\\r\\n]*)', 1) AS first_line FROM s)
 SELECT page_id, CASE
   WHEN html_len = 0 THEN 'empty'
@@ -556,7 +606,7 @@ SELECT page_id, CASE
   WHEN name LIKE '%.geojson' OR (contains(sample, 'FeatureCollection') AND contains(sample, '"type"')) THEN 'geojson'
   WHEN name LIKE '%.json' THEN 'json'
   WHEN contains(first_line, ',') AND NOT (starts_with(first_line, '{') OR starts_with(first_line, '[')) THEN 'csv'
-  ELSE 'json' END AS format
+  WHEN starts_with(first_line, '{') OR starts_with(first_line, '[') THEN 'json' ELSE 'unknown' END AS format
 FROM f JOIN (SELECT page_id, strlen(html) AS html_len FROM pages) l USING (page_id)""")
 def q_format_detect(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
@@ -580,9 +630,136 @@ def q_resource_rank(spark, sf_dir):
     return rd.best_resource(catalog_df)
 
 
-# --------------------------------------------------------------------------- models (rows-only checks)
+_FORMAT_CASES = """CASE page_id % 7 WHEN 0 THEN 'id,v' || chr(10) || '1,a' WHEN 1 THEN '  {"id": 1}' WHEN 2 THEN '[{"id": 1}]'
+  WHEN 3 THEN '{"pad": "' || repeat('x', 5000) || '", "type": "FeatureCollection", "features": []}'
+  WHEN 4 THEN '' WHEN 5 THEN 'plain words' ELSE html END"""
+_NAME_CASES = """CASE page_id % 11 WHEN 0 THEN 'a.csv' WHEN 1 THEN 'a.geojson' WHEN 2 THEN 'a.JSON' ELSE url END"""
 
-_TRAINED: dict[tuple, object] = {}
+
+@register("format_detect_kinds", f"""
+WITH s AS (SELECT page_id, lower({_NAME_CASES}) AS name, {_FORMAT_CASES} AS content FROM pages),
+f AS (SELECT *, ltrim(content, ' ' || chr(10)) AS sample FROM s),
+g AS (SELECT *, split_part(sample, chr(10), 1) AS first_line FROM f)
+SELECT page_id, CASE WHEN content = '' THEN 'empty' WHEN name LIKE '%.csv' THEN 'csv'
+  WHEN name LIKE '%.geojson' OR (contains(sample, 'FeatureCollection') AND contains(sample, '"type"')) THEN 'geojson'
+  WHEN name LIKE '%.json' THEN 'json'
+  WHEN sample[1] IN ('{{', '[') THEN 'json'
+  WHEN contains(first_line, ',') THEN 'csv' ELSE 'unknown' END AS format FROM g""")
+def q_format_detect_kinds(spark, sf_dir):
+    """Every branch of the format decision, a marker after 5,000 characters included."""
+    rows = table(spark, sf_dir, "pages").selectExpr("page_id", f"{_NAME_CASES} AS name", f"{_FORMAT_CASES} AS content")
+    return rows.select("page_id", rd.format_expr(F.col("name"), F.col("content"), text=True).alias("format"))
+
+
+_RESOURCE_CASES = "CASE page_id % 5 WHEN 0 THEN 'GeoJSON' WHEN 1 THEN 'JSON' WHEN 2 THEN 'CSV' WHEN 3 THEN '' END"
+
+
+@register("resource_rank_kinds", f"""
+WITH c AS (SELECT page_id % 40 AS dataset, url, page_id AS ordinal, lower(coalesce({_RESOURCE_CASES}, '')) AS f FROM pages
+           WHERE page_id % 40 <> page_id % 5 OR page_id % 40 > 2),
+k AS (SELECT *, CASE WHEN contains(f, 'csv') OR lower(url) LIKE '%.csv' THEN 0
+                     WHEN contains(f, 'geojson') OR contains(lower(url), 'geojson') THEN 1
+                     WHEN contains(f, 'json') OR lower(url) LIKE '%.json' THEN 2 ELSE 9 END AS rank FROM c),
+r AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY rank, ordinal) AS rn FROM k)
+SELECT dataset, url, CAST(rank AS INTEGER) AS rank, ordinal FROM r WHERE rn = 1""")
+def q_resource_rank_kinds(spark, sf_dir):
+    """Resources whose listed formats give every rank."""
+    rows = table(spark, sf_dir, "pages").where("page_id % 40 <> page_id % 5 OR page_id % 40 > 2").selectExpr(
+        "page_id % 40 AS dataset", f"{_RESOURCE_CASES} AS format", "url", "page_id AS ordinal")
+    return rd.best_resource(rows)
+
+
+_HOLES = ("CASE WHEN o_orderkey % 17 = 0 THEN CAST(NULL AS BIGINT) ELSE o_orderkey END AS a",
+          "CASE WHEN o_orderkey % 17 = 0 THEN '  ' WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderstatus END AS b",
+          "CASE WHEN o_orderkey % 17 = 0 OR o_orderkey % 4 = 0 THEN CAST(NULL AS DOUBLE) ELSE o_totalprice END AS c",
+          "CASE WHEN o_orderkey % 17 = 0 OR o_orderkey % 3 = 0 THEN CAST(NULL AS STRING) ELSE o_orderpriority END AS d",
+          "CASE WHEN o_orderkey % 17 = 0 OR o_orderkey % 2 = 0 THEN '' ELSE o_orderpriority END AS e")
+_HOLES_SQL = "SELECT o_orderkey, " + ", ".join(_HOLES).replace("AS STRING", "AS VARCHAR") + " FROM orders"
+
+
+def _holes(spark, sf_dir):
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey", *_HOLES)
+
+
+@register("ingestion_validation_empty_rows", f"""
+SELECT CAST(count(*) AS BIGINT) AS total_rows, CAST(5 AS INTEGER) AS total_columns,
+  CAST(sum(CASE WHEN {" AND ".join(_missing_sql(c) for c in "abcde")} THEN 1 ELSE 0 END) AS BIGINT) AS completely_empty_rows
+FROM ({_HOLES_SQL}) h""")
+def q_validation_empty_rows(spark, sf_dir):
+    """Rows in which every column is NULL or blank."""
+    return qu.ingestion_validation(_holes(spark, sf_dir).drop("o_orderkey"))
+
+
+@register("feature_missing_guard_relaxed", f"""
+WITH h AS ({_HOLES_SQL}),
+u AS ({_union_sql([f"SELECT '{c}' AS column_name, avg(CASE WHEN {_missing_sql(c)} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS r FROM h" for c in "bcde"])})
+SELECT column_name AS "column", round(r, 9) AS missing_ratio, r <= 0.3 AS kept FROM u""")
+def q_guard_relaxed(spark, sf_dir):
+    """No column passes the strict level, so the relaxed one decides."""
+    guard = fe.missing_guard(fe.missing_ratios(_holes(spark, sf_dir), list("bcde")))
+    return guard.withColumn("missing_ratio", F.round("missing_ratio", 9))
+
+
+@register("label_builder_wide", f"""
+WITH r AS (SELECT o_orderkey, ({_present_sql('a')} + {_present_sql('b')}) / CAST(2 AS DOUBLE) AS label_basis_ratio FROM ({_HOLES_SQL}) h),
+t AS (SELECT quantile_disc(label_basis_ratio, 0.15) AS thr FROM r)
+SELECT o_orderkey, label_basis_ratio, CASE WHEN label_basis_ratio <= thr THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS label
+FROM r, t""")
+def q_label_builder_wide(spark, sf_dir):
+    """Two basis columns out of five candidates."""
+    return fe.build_label(_holes(spark, sf_dir), exclude=("o_orderkey",), keep_ratio=True)[0].select(
+        "o_orderkey", "label_basis_ratio", "label")
+
+
+@register("unknown_fill", f"""
+SELECT o_orderkey, coalesce(b, 'UNKNOWN') AS b, coalesce(d, 'UNKNOWN') AS d FROM ({_HOLES_SQL}) h""")
+def q_unknown_fill(spark, sf_dir):
+    return _holes(spark, sf_dir).na.fill(fe.UNKNOWN, subset=["b", "d"]).select("o_orderkey", "b", "d")
+
+
+@register("report_csv_roundtrip", "SELECT event_type, CAST(count(*) AS BIGINT) AS records FROM events GROUP BY event_type")
+def q_report_csv(spark, sf_dir):
+    """A report written as CSV and read back."""
+    from tabqual.sources import sinks
+    path = shared_path(spark, "report")
+    sinks.write_report_csv(pr.group_count_desc(table(spark, sf_dir, "events"), "event_type"), path)
+    return rd.read_csv(spark, path, schema="event_type string, records bigint")
+
+
+@register("plain_parquet_roundtrip", "SELECT * FROM customer")
+def q_plain_parquet(spark, sf_dir):
+    from tabqual.sources import sinks
+    path = shared_path(spark, "customer")
+    sinks.write_parquet(table(spark, sf_dir, "customer"), path)
+    return rd.read_parquet(spark, path)
+
+
+@register("surrogate_order", """
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS ids, true AS stable FROM orders""")
+def q_surrogate_order(spark, sf_dir):
+    """Stored surrogate keys are unique and the same whenever they are read."""
+    keyed = sp.add_event_order(table(spark, sf_dir, "orders").select("o_orderkey"))
+    again = keyed.select("o_orderkey", F.col("event_order").alias("second"))
+    same = F.min(F.col("event_order") == F.col("second")).alias("stable")
+    return keyed.join(again, "o_orderkey").agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
+                                               F.countDistinct("event_order").cast("bigint").alias("ids"), same)
+
+
+@register("strategy_results_equal", f"""
+WITH fx2 AS ({FX2_SQL}), s AS (SELECT CAST({_NONEMPTY_SRC} AS DOUBLE) / 4.0 AS r FROM fx2)
+SELECT {_band_sql('r')} AS quality_band, CAST(count(*) AS BIGINT) AS records, true AS equal FROM s GROUP BY 1""")
+def q_strategy_equal(spark, sf_dir):
+    """The band counts of the broadcast, merge and range strategies agree."""
+    counts = [_band_distribution(spark, sf_dir, s).select("quality_band", F.col("records").alias(s))
+              for s in ("broadcast", "merge", "range")]
+    both = counts[0].join(counts[1], "quality_band").join(counts[2], "quality_band")
+    equal = (F.col("broadcast") == F.col("merge")) & (F.col("merge") == F.col("range"))
+    return both.select("quality_band", F.col("broadcast").alias("records"), equal.alias("equal"))
+
+
+# --------------------------------------------------------------------------- models
+
+_MODEL_FEATURES = ["lang", "source"], ["n_chars"]
 
 
 def _model_frames(spark, sf_dir):
@@ -593,31 +770,66 @@ def _model_frames(spark, sf_dir):
     return sp.split_frames(split)
 
 
-def _trained(spark, sf_dir):
+def _trained(spark, sf_dir, models):
     from tabqual.operators import models as mo
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TRAINED:
-        train, val, test = _model_frames(spark, sf_dir)
-        _TRAINED[key] = mo.train_and_compare(train, val, test, ["lang", "source"], ["n_chars"], id_col="doc_id",
-                                             parallelism=4)
-    return _TRAINED[key]
+    train, val, test = _model_frames(spark, sf_dir)
+    return test, mo.train_and_compare(train, val, test, *_MODEL_FEATURES, id_col="doc_id", models=models, parallelism=4)
 
 
-@register("model_comparison")
-def q_model_comparison(spark, sf_dir):
-    return _trained(spark, sf_dir).comparison
+_MODEL_SPLIT_SQL = f"""WITH s AS (SELECT lang, source, label, percent_rank() OVER (PARTITION BY label ORDER BY doc_id) AS pr
+           FROM ({FX3_SQL}) f), train AS (SELECT * FROM s WHERE pr <= 0.7), test AS (SELECT * FROM s WHERE pr > 0.85)"""
+
 
+@register("model_comparison", f"""{_MODEL_SPLIT_SQL}
+SELECT model, (SELECT CAST(count(*) AS BIGINT) FROM test) AS test_rows,
+  (SELECT CAST(sum(label) AS BIGINT) FROM test) AS test_positives, true AS auc_agrees, true AS scores_reload
+FROM (VALUES ('logistic_regression'), ('random_forest'), ('gbt')) m(model)""")
+def q_model_comparison(spark, sf_dir):
+    """Trains the three classifiers; what of the comparison does not depend on chance, and two checks of it.
 
-@register("feature_importance")
+    ``auc_agrees``: the reported test AUC is that of Spark ML's evaluator, unbinned, over the stored predictions.
+    ``scores_reload``: a saved and reloaded model scores the test rows alike.
+    """
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from tabqual.operators import models as mo
+    from tabqual.sources import sinks
+    test, trained = _trained(spark, sf_dir, mo.MODEL_NAMES)
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+    rows = []
+    for r in trained.comparison.collect():  # one row per model
+        name, pred = r["model"], trained.predictions[r["model"]].select("doc_id", "label", "score")
+        path = shared_path(spark, f"model-{name}")
+        sinks.save_model(trained.models[name], path)
+        again = mo.positive_score(PipelineModel.load(path).transform(test)).select("doc_id", F.col("score").alias("again"))
+        differ = pred.join(again, "doc_id").where(F.abs(F.col("score") - F.col("again")) > 1e-12).isEmpty()
+        positives = int(pred.agg(F.sum("label")).first()[0] or 0)
+        rows.append((name, r["test_rows"], positives, abs(evaluator.evaluate(pred) - r["test_roc_auc"]) < 1e-9, differ))
+    return spark.createDataFrame(rows, "model string, test_rows bigint, test_positives bigint, auc_agrees boolean, "
+                                       "scores_reload boolean")
+
+
+@register("feature_importance", f"""{_MODEL_SPLIT_SQL}
+SELECT model, (SELECT CAST(count(DISTINCT lang) + count(DISTINCT source) + 3 AS BIGINT) FROM train) AS slots,
+  true AS named, true AS adds_to_one FROM (VALUES ('random_forest'), ('gbt')) m(model)""")
 def q_feature_importance(spark, sf_dir):
-    return _trained(spark, sf_dir).importances
+    """Slots of the importances (a slot for each trained value, one for unseen values, one for the number)."""
+    imp = _trained(spark, sf_dir, ("random_forest", "gbt"))[1].importances
+    return imp.groupBy("model").agg(
+        F.count(F.lit(1)).cast("bigint").alias("slots"),
+        F.min(F.col("feature_name").rlike("^(lang|source|n_chars)")).alias("named"),
+        (F.abs(F.sum("importance") - 1) < 1e-9).alias("adds_to_one"))
 
 
-@register("balanced_lr")
+@register("balanced_lr", f"""{_MODEL_SPLIT_SQL}
+SELECT 'balanced_logistic' AS model, (SELECT CAST(count(*) AS BIGINT) FROM train) AS train_rows,
+  (SELECT CAST(count(*) AS BIGINT) FROM test) AS test_rows, true AS auc_in_range""")
 def q_balanced_lr(spark, sf_dir):
     from tabqual.operators import models as mo
     train, _, test = _model_frames(spark, sf_dir)
-    return mo.balanced_logistic(train, test, ["lang", "source"], ["n_chars"])
+    out = mo.balanced_logistic(train, test, *_MODEL_FEATURES)
+    return out.select("model", "train_rows", "test_rows",
+                      (F.col("roc_auc_train").between(0, 1) & F.col("roc_auc_test").between(0, 1)).alias("auc_in_range"))
 
 
 def queries() -> dict[str, QueryFn]:

@@ -52,6 +52,27 @@ def event_feature(events_cols=("event_id", "user_id", "event_type", "value")) ->
                     geometry.alias("geometry"))
 
 
+def feature_collections(events: DataFrame) -> DataFrame:
+    """One FeatureCollection per row, as text."""
+    return _collections(events, event_feature(), "features", "FeatureCollection")
+
+
+def arrays(events: DataFrame, item: F.Column) -> DataFrame:
+    """One JSON document per row: a top-level array for every other group of rows, a wrapped array for the rest."""
+    chunk = F.floor(F.col("event_id") / F.lit(ROWS_PER_COLLECTION)).alias("chunk")
+    grouped = events.groupBy(chunk).agg(F.collect_list(item).alias("results"))
+    return grouped.select(F.when(F.col("chunk") % 2 == 0, F.to_json("results"))
+                          .otherwise(F.to_json(F.struct("results"))).alias("value"))
+
+
+def write_documents(spark: SparkSession, documents: DataFrame, name: str) -> str:
+    """One file per document, broken over lines before every nested object."""
+    path = shared_path(spark, name)
+    pretty = F.regexp_replace("value", r"\{", "\n  {").alias("value")
+    documents.select(pretty).write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
 def write_geojson_lines(spark: SparkSession, events: DataFrame) -> str:
     """One FeatureCollection per line."""
     path = shared_path(spark, "events-geojson")

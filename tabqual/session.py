@@ -44,6 +44,8 @@ def get_session(master: str | None = None, app_name: str = "tabqual",
     return spark
 
 
+_private: list[tempfile.TemporaryDirectory] = []
+
 # Target bytes per task for scans and shuffles, and the largest
 # side the planner may broadcast after measuring it at runtime.
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
@@ -86,7 +88,11 @@ def apply_scale_conf(spark: SparkSession, paths, total_cores: int | None = None)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a private one only if unset."""
+    """Return the shared checkpoint folder.
+
+    Where the setting is absent, a private folder serves a ``local`` master (it is removed when Python
+    ends); any other master is an error, since executors could not read one another's files.
+    """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     current = sc.getCheckpointDir()
@@ -96,7 +102,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
-    local = tempfile.mkdtemp(prefix="tabqual-ckpt-")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    _private.append(tempfile.TemporaryDirectory(prefix="tabqual-ckpt-", ignore_cleanup_errors=True))
+    local = _private[-1].name
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
@@ -113,10 +122,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+    """Write ``df`` as Parquet below the shared folder and read it back, which cuts its lineage.
 
-    Used for small derived tables that several later passes read, so their
+    Used for derived tables that several later passes read, so their
     (possibly expensive) inputs are computed once and survive lost executors.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = shared_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,15 +11,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabqual.functions.columns import quote
+
 CORRUPT_COLUMN = "_corrupt_record"
 
-# How many leading bytes are sniffed, and resource ranks by
-# format (lower is preferred; unknown formats rank last).
-SNIFF_BYTES = 4096
+# Resource ranks by format (lower is preferred; unknown formats rank last).
 RANK_CSV, RANK_GEOJSON, RANK_JSON, RANK_OTHER = 0, 1, 2, 9
 
 
@@ -87,19 +89,35 @@ def read_geojson(spark: SparkSession, path: str | Sequence[str], multiline: bool
     """GeoJSON FeatureCollections -> one row per feature.
 
     ``multiline=True`` reads standard pretty-printed files (one task per
-    file); ``False`` reads one FeatureCollection (or one Feature) per line.
+    file); ``False`` reads one FeatureCollection or one Feature per line, mixed freely.
+    A document that is not JSON is an error.
     """
-    raw = spark.read.option("multiLine", multiline).json(path)
+    raw = _strict_json(spark, path, multiline)
+    parts = []
     if "features" in raw.columns:
-        return flatten_features(raw, "features")
-    if "properties" in raw.columns or "geometry" in raw.columns:  # one Feature per line
-        return flatten_feature_rows(raw.select(F.struct(*raw.columns).alias("f")), "f")
-    return spark.createDataFrame([], "geometry_type string")
+        parts.append(flatten_features(raw.where(F.col("features").isNotNull()), "features"))
+    if "properties" in raw.columns or "geometry" in raw.columns:  # documents that are Features themselves
+        own = [c for c in raw.columns if c != "features"]
+        rows = raw.where(F.col("features").isNull()) if "features" in raw.columns else raw
+        rows = rows.where(F.col("type") == "Feature") if "type" in raw.columns else rows
+        parts.append(flatten_feature_rows(rows.select(F.struct(*own).alias("f")), "f"))
+    if not parts:
+        return spark.createDataFrame([], "geometry_type string")
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return out.select(*[c for c in out.columns if c != "geometry_type"], "geometry_type")
+
+
+def _strict_json(spark: SparkSession, path: str | Sequence[str], multiline: bool) -> DataFrame:
+    """JSON whose schema is inferred from every record; a malformed record is an error, not a NULL row."""
+    try:
+        return spark.read.option("multiLine", multiline).option("mode", "FAILFAST").json(path)
+    except (PySparkException, Py4JJavaError) as e:  # the latter where the job of the inference fails
+        raise SourceError(f"not valid JSON: {path}") from e
 
 
 def unwrap_json(raw: DataFrame, wrapper: str = "results") -> DataFrame:
     """Rows of ``{"<wrapper>": [objects]}`` documents; plain objects (from arrays
-    or lines) read in the same pass are kept beside them."""
+    or lines) read in the same pass are kept beside them. A NULL or empty wrapper holds no rows."""
     if raw.columns == [CORRUPT_COLUMN] or not raw.columns:
         raise SourceError("JSON input holds no parsable records")
     if wrapper in raw.columns and isinstance(raw.schema[wrapper].dataType, T.ArrayType):
@@ -109,7 +127,8 @@ def unwrap_json(raw: DataFrame, wrapper: str = "results") -> DataFrame:
         unwrapped = raw.where(F.col(wrapper).isNotNull()).select(F.explode(wrapper).alias("r")).select("r.*")
         others = [c for c in raw.columns if c != wrapper]
         if others:
-            plain = raw.where(F.col(wrapper).isNull()).select(*others)
+            something = F.greatest(F.lit(False), *[F.col(quote(c)).isNotNull() for c in others], F.lit(False))
+            plain = raw.where(F.col(wrapper).isNull() & something).select(*[F.col(quote(c)) for c in others])
             unwrapped = unwrapped.unionByName(plain, allowMissingColumns=True)
         return unwrapped
     return raw
@@ -119,62 +138,65 @@ def read_wrapped_json(spark: SparkSession, path: str | Sequence[str], wrapper: s
                       multiline: bool = True) -> DataFrame:
     """Top-level array of objects, or ``{"results": [...]}``; anything else is an error.
 
-    Spark reads a top-level array as one row per element natively.
+    Spark reads a top-level array as one row per element natively. By line
+    (``multiline=False``), an object without the wrapper is a record of its own.
     """
-    raw = spark.read.option("multiLine", multiline).json(path)
-    if CORRUPT_COLUMN in raw.columns and len(raw.columns) == 1:
-        raise SourceError("unsupported JSON structure")
-    out = unwrap_json(raw, wrapper)
-    if wrapper not in raw.columns and set(raw.columns) <= {"type", "features"}:
-        raise SourceError("a FeatureCollection is GeoJSON; use read_geojson")
-    return out
+    raw = _strict_json(spark, path, multiline)
+    if multiline:
+        # an object and a one-element array parse alike: tell them apart by the text of each document
+        text = F.regexp_replace("value", r"^[\s\x{FEFF}]+", "")
+        lone = F.get_json_object(text, f"$.{wrapper}").isNull() & ~text.startswith("[")
+        if not spark.read.text(path, wholetext=True).where(lone & (F.length(text) > 0)).limit(1).isEmpty():
+            raise SourceError(f"a JSON document must be an array of objects or hold '{wrapper}'")
+    return unwrap_json(raw, wrapper)
 
 
 # --------------------------------------------------------------------------- corrupt records
 
 def read_with_quarantine(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
                          fmt: str = "json") -> tuple[DataFrame, DataFrame]:
-    """PERMISSIVE parse split into (good rows, quarantined raw records).
+    """PERMISSIVE parse split into (good rows, quarantined raw records): two filters of :func:`parse_lines`."""
+    raw = parse_lines(spark, path, schema, fmt)
+    good = raw.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+    bad = raw.where(F.col(CORRUPT_COLUMN).isNotNull())
+    return good, bad
+
+
+def parse_lines(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, fmt: str = "json") -> DataFrame:
+    """The fields of every record, and in ``_corrupt_record`` the raw text of those that do not parse.
 
-    Lines are read as text and parsed with ``from_json`` / ``from_csv``, so the
-    raw text of a record that fails to parse stays next to its (NULL) fields
-    and both outputs are plain filters of one splittable scan. CSV input must
-    not have a header line.
+    Lines are read as text and parsed with ``from_json`` / ``from_csv`` in one splittable scan. Blank lines are no
+    records; a line that parses to no struct at all is corrupt. CSV input must not have a header line.
     """
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    lines = spark.read.text(path)
+    lines = spark.read.text(path).where(~F.col("value").rlike(r"^\s*$"))
     if fmt == "json":
-        parsed = lines.select(F.from_json("value", full, options).alias("r"))
+        parsed = lines.select("value", F.from_json("value", full, options).alias("r"))
     elif fmt == "csv":
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields)
-        parsed = lines.select(F.from_csv("value", ddl, options).alias("r"))
+        parsed = lines.select("value", F.from_csv("value", ddl, options).alias("r"))
     else:
         raise SourceError(f"unsupported format {fmt!r}")
-    raw = parsed.select("r.*")
-    good = raw.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
-    bad = raw.where(F.col(CORRUPT_COLUMN).isNotNull())
-    return good, bad
+    broken = F.when(F.col("r").isNull(), F.col("value")).otherwise(F.col(f"r.{CORRUPT_COLUMN}"))
+    return parsed.select(*[F.col("r").getField(f.name).alias(f.name) for f in schema.fields], broken.alias(CORRUPT_COLUMN))
 
 
 # --------------------------------------------------------------------------- format sniffing
 
 def _sniff_text(content: Column, text: bool = False) -> Column:
-    """The first ``SNIFF_BYTES`` bytes (characters for a text column) with
-    leading whitespace removed."""
-    head = F.substring(content, 1, SNIFF_BYTES) if text else \
-        F.substring(content.cast("binary"), 1, SNIFF_BYTES).cast("string")
-    return F.regexp_replace(head, r"^\s+", "")
+    """The whole content without leading whitespace: a marker may sit anywhere in it."""
+    return F.regexp_replace(content if text else content.cast("binary").cast("string"), r"^\s+", "")
 
 
 def format_expr(path: Column, content: Column, content_type: Column | None = None,
                 text: bool = False) -> Column:
-    """``csv`` / ``geojson`` / ``json`` / ``empty`` from name, content type, then content.
+    """``csv`` / ``geojson`` / ``json`` / ``empty`` / ``unknown`` from name, content type, then content.
 
     Order: a ``.csv`` name or ``text/csv`` type; a ``.geojson`` name,
-    ``geo+json`` type, or a sample holding both ``FeatureCollection`` and
+    ``geo+json`` type, or content holding both ``FeatureCollection`` and
     ``"type"``; a ``.json`` name or ``application/json`` type; a first line
-    with a comma that does not open a JSON value; otherwise JSON.
+    with a comma that does not open a JSON value; content that opens one. The rest is unknown.
     """
     name = F.lower(path)
     ctype = F.lower(F.coalesce(content_type, F.lit(""))) if content_type is not None else F.lit("")
@@ -187,7 +209,8 @@ def format_expr(path: Column, content: Column, content_type: Column | None = Non
                    | (sample.contains("FeatureCollection") & sample.contains('"type"')), F.lit("geojson"))
              .when(name.endswith(".json") | ctype.contains("application/json"), F.lit("json"))
              .when(first_line.contains(",") & ~opens_json, F.lit("csv"))
-             .otherwise(F.lit("json")))
+             .when(opens_json, F.lit("json"))
+             .otherwise(F.lit("unknown")))
 
 
 def json_layout_expr(content: Column) -> Column:
@@ -215,9 +238,9 @@ def read_detected(spark: SparkSession, files: DataFrame) -> DataFrame:
     freely), JSON documents one per task.
     """
     parts = []
-    empty = files.where(F.col("format") == "empty").select("path").limit(1).collect()
-    if empty:
-        raise SourceError(f"empty source file: {empty[0]['path']}")
+    bad = files.where(F.col("format").isin("empty", "unknown")).select("path", "format").limit(1).collect()
+    if bad:
+        raise SourceError(f"{bad[0]['format']} source file: {bad[0]['path']}")
 
     def paths(cond) -> list[str]:
         return [r["path"] for r in files.where(cond).select("path").collect()]

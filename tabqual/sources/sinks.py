@@ -35,7 +35,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_report_csv(df: DataFrame, path: str, single_file: bool = True, quote_all: bool = False) -> None:
-    """Report-sized frames as CSV with a header (one part file when ``single_file``)."""
+    """Report-sized frames as CSV with a header, in one part file; pass ``single_file=False`` for any other frame."""
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode("overwrite").option("header", True)
     if quote_all:

@@ -17,12 +17,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tabqual.operators import curate as cu
 from tabqual.operators.quality import QUALITY_BANDS
-from tabqual.session import shared_path
 
 
 def curate_stream(stream: DataFrame, columns: Sequence[str], time_col: str | None = None,
                   run_ts=None, bands=QUALITY_BANDS) -> DataFrame:
-    """Curated rows for every micro-batch (same columns as the batch :func:`curate`)."""
+    """Curated rows for every micro-batch (same columns as the batch :func:`curate`).
+
+    Either an event-time column or a fixed run time is needed: a time taken when the plan is
+    built would stand still for all batches.
+    """
+    if time_col is None and run_ts is None:
+        raise ValueError("give time_col or run_ts")
     return cu.curate(stream, columns=columns, time_col=time_col, run_ts=run_ts,
                      strategy="broadcast", bands=bands)
 
@@ -32,20 +37,18 @@ def band_counts(curated: DataFrame) -> DataFrame:
     return curated.groupBy("quality_band", "min_ratio").agg(F.count(F.lit(1)).alias("records"))
 
 
-def start_parquet_sink(curated: DataFrame, path: str, checkpoint: str | None = None,
+def start_parquet_sink(curated: DataFrame, path: str, checkpoint: str,
                        partition_cols: Sequence[str] = ("ingest_year", "ingest_month"),
                        trigger_once: bool = False) -> StreamingQuery:
-    """Append curated micro-batches as partitioned Parquet (exactly-once via the checkpoint)."""
-    ckpt = checkpoint or shared_path(curated.sparkSession, "stream-checkpoint")
+    """Append curated micro-batches as partitioned Parquet (exactly-once, restarts included, via the checkpoint)."""
     writer = (curated.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", ckpt).partitionBy(*partition_cols))
+              .option("checkpointLocation", checkpoint).partitionBy(*partition_cols))
     if trigger_once:
         writer = writer.trigger(availableNow=True)
     return writer.start(path)
 
 
-def start_band_counts(curated: DataFrame, query_name: str, checkpoint: str | None = None) -> StreamingQuery:
+def start_band_counts(curated: DataFrame, query_name: str, checkpoint: str) -> StreamingQuery:
     """Band counts kept in an in-memory table named ``query_name`` (complete mode)."""
-    ckpt = checkpoint or shared_path(curated.sparkSession, "stream-bands")
     return (band_counts(curated).writeStream.format("memory").queryName(query_name)
-            .outputMode("complete").option("checkpointLocation", ckpt).start())
+            .outputMode("complete").option("checkpointLocation", checkpoint).start())

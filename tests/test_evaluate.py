@@ -93,22 +93,22 @@ def test_model_score_mart_drops_null_models(spark):
 
 
 @pytest.mark.parametrize("hot_share", [0.0, 0.4])
-def test_bucketed_bootstrap_equals_expand_first(spark, hot_share):
+def test_bucketed_bootstrap_equals_weighted_auc(spark, hot_share):
     rnd = random.Random(21)
     rows = [(i, int(rnd.random() < 0.4), 0.5 if rnd.random() < hot_share else round(rnd.random(), 3))
             for i in range(6000)]
     df = spark.createDataFrame(rows, "id long, label int, score double")
     a = {r["rep"]: (round(r["roc_auc"], 9), r["positives"]) for r in
-         ev.bootstrap_auc(df, replicates=30, method="expand_first").collect()}
+         ev.auc_metrics(ev.bootstrap_weights(df, "id", 30), group_cols=["rep"], weight_col="_w").collect()}
     b = {r["rep"]: (round(r["roc_auc"], 9), r["positives"]) for r in
-         ev.bootstrap_auc(df, replicates=30, method="bucketed", buckets=12).collect()}
+         ev.bootstrap_auc(df, replicates=30, buckets=12).collect()}
     assert a == b and len(a) == 30
 
 
 def test_bucketed_bootstrap_plan_shuffles_rows_once(spark):
     from tabqual.sources.sinks import plan_text
     df = spark.createDataFrame([(i, i % 2, (i % 97) / 97.0) for i in range(3000)], "id long, label int, score double")
-    out = ev.bootstrap_auc(df, replicates=20, method="bucketed", buckets=6)
+    out = ev.bootstrap_auc(df, replicates=20, buckets=6)
     plan = plan_text(out, "simple")
     below_generate = plan.split("Generate explode")[1]
     above_generate = plan.split("Generate explode")[0]

@@ -85,3 +85,43 @@ def test_no_cartesian_products_in_catalog_plans(spark):
     for name in ("auc_ranksum", "model_score_mart", "quality_band_distribution", "null_ratio_fixed"):
         p = plan(catalog.QUERIES[name](spark, SF_CHECK))
         assert "CartesianProduct" not in p, name
+
+
+def test_split_sorts_a_class_in_several_tasks(spark):
+    """The order within a class is cut into ranges: no window has the class alone as its key."""
+    o = table(spark, SF_CHECK, "orders").select("o_orderkey", "o_orderdate", F.lit("one").alias("label"))
+    p = plan(sp.stratified_split(o, "label", ["o_orderdate", "o_orderkey"]))
+    assert "hashpartitioning(_bucket" in p
+
+
+def test_exact_inventory_copies_no_rows(spark):
+    p = plan(pr.column_inventory(table(spark, SF_CHECK, "orders"), exact=True))
+    assert "Expand" not in p
+
+
+def test_fixed_average_scans_its_source_once(spark):
+    p = plan(catalog.QUERIES["null_ratio_fixed"](spark, SF_CHECK))
+    assert p.count("FileScan parquet") == 2  # documents and labels, once each
+
+
+def test_wide_frames_come_back_whole(spark):
+    wide = spark.range(3).select(*[F.col("id").cast("string").alias(f"s{i}") for i in range(25)],
+                                 *[(F.col("id") + i).alias(f"n{i}") for i in range(65)])
+    assert pr.numeric_statistics(wide).count() == 65
+    assert pr.top_values(wide, k=1).select("column").distinct().count() == 25
+
+
+def test_merge_join_deals_bands_out_by_salt(spark):
+    p = plan(cu.curate(fx2(spark, SF_CHECK).select(*FX2_SOURCE_COLUMNS), run_ts=catalog.RUN_TS, strategy="merge"))
+    assert "SortMergeJoin" in p and "_salt" in p
+
+
+def test_shared_folder_is_required_off_local_masters():
+    import pytest
+    from types import SimpleNamespace
+    from tabqual.session import ensure_checkpoint_dir
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None,
+                              getConf=lambda: SimpleNamespace(get=lambda k: None))
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(session)

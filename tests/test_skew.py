@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tabqual.operators import evaluate as ev
 from tabqual.operators import profile as pr
-from tabqual.operators.ranking import bucket_expr, range_bounds
+from tabqual.operators.ranking import with_ranges
 
 
 def _hot_frame(spark, n=6000):
@@ -18,20 +18,16 @@ def _hot_frame(spark, n=6000):
 
 def test_hot_group_is_spread_over_buckets(spark):
     df = _hot_frame(spark)
-    bounds = range_bounds(df, ["label", "k"], 8)
-    sizes = (df.withColumn("b", bucket_expr(df, ["label", "k"], bounds))
-               .where("label = 'hot'").groupBy("b").count().collect())
+    sizes = with_ranges(df, ["label", "k"], 8).where("label = 'hot'").groupBy("_bucket").count().collect()
     hot = 3000
     assert len(sizes) >= 3
     assert max(r["count"] for r in sizes) < 0.6 * hot
 
 
-def test_bucket_function_is_monotone(spark):
-    df = _hot_frame(spark, 2000)
-    bounds = range_bounds(df, ["label", "k"], 6)
-    b = df.withColumn("b", bucket_expr(df, ["label", "k"], bounds))
+def test_ranges_are_monotone(spark):
+    b = with_ranges(_hot_frame(spark, 2000), ["label", "k"], 6)
     w = Window.orderBy("label", "k")
-    bad = b.withColumn("prev", F.lag("b").over(w)).where(F.col("prev") > F.col("b")).count()
+    bad = b.withColumn("prev", F.lag("_bucket").over(w)).where(F.col("prev") > F.col("_bucket")).count()
     assert bad == 0
 
 

@@ -91,6 +91,52 @@ def test_empty_file_is_an_error(spark, tmp_path):
         rd.read_detected(spark, files)
 
 
+def test_geojson_mixes_collections_and_features_by_line(spark, tmp_path):
+    feature = {"type": "Feature", "properties": {"name": "x"}, "geometry": {"type": "Point"}}
+    p = _write(tmp_path / "m.json", json.dumps({"type": "FeatureCollection", "features": [feature, feature]}) + "\n"
+               + json.dumps(feature) + "\n" + json.dumps({"type": "FeatureCollection", "features": []}) + "\n")
+    assert [tuple(r) for r in rd.read_geojson(spark, p, multiline=False).collect()] == [("x", "Point")] * 3
+
+
+def test_broken_json_is_an_error_not_a_row(spark, tmp_path):
+    p = _write(tmp_path / "b.json", '{"results": [{"a": 1}]}\n{"results": [\n')
+    with pytest.raises(rd.SourceError):
+        rd.read_wrapped_json(spark, p, multiline=False)
+    with pytest.raises(rd.SourceError):
+        rd.read_geojson(spark, p, multiline=False)
+
+
+def test_null_wrapper_holds_no_rows(spark, tmp_path):
+    p = _write(tmp_path / "n.json", '{"results": null}\n{"results": [{"a": 1}]}\n{"results": []}\n')
+    assert [r["a"] for r in rd.read_wrapped_json(spark, p, multiline=False).collect()] == [1]
+
+
+def test_other_json_object_is_an_error(spark, tmp_path):
+    p = _write(tmp_path / "o.json", json.dumps({"data": [{"a": 1}], "ok": True}, indent=1))
+    with pytest.raises(rd.SourceError):
+        rd.read_wrapped_json(spark, p)
+
+
+def test_blank_lines_are_no_records_and_non_objects_are_corrupt(spark, tmp_path):
+    p = _write(tmp_path / "c.json", '{"a": 1}\n\n   \nnot json\n{"a": 3}\n')
+    good, bad = rd.read_with_quarantine(spark, p, T.StructType([T.StructField("a", T.LongType())]))
+    assert sorted(r["a"] for r in good.collect()) == [1, 3]
+    assert [r[rd.CORRUPT_COLUMN] for r in bad.collect()] == ["not json"]
+
+
+def test_late_marker_is_geojson_and_plain_text_is_an_error(spark, tmp_path):
+    d = tmp_path / "late"
+    d.mkdir()
+    _write(d / "a.data", json.dumps({"pad": "x" * 9000, "type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"id": 4}, "geometry": {"type": "Point"}}]}))
+    files = rd.detect_formats(spark, str(d))
+    assert [r["format"] for r in files.collect()] == ["geojson"]
+    assert [r["id"] for r in rd.read_detected(spark, files).collect()] == [4]
+    _write(d / "b.data", "plain words only")
+    with pytest.raises(rd.SourceError):
+        rd.read_detected(spark, rd.detect_formats(spark, str(d)))
+
+
 def test_best_resource_prefers_csv_then_first_listed(spark):
     cat = spark.createDataFrame([
         ("d1", "JSON", "http://x/a.json", 0), ("d1", "CSV", "http://x/b", 1), ("d1", "csv", "http://x/c", 2),
