@@ -1,8 +1,10 @@
 """URL filter: explicit rules first, gradient-boosted trees on lexical features for the rest.
 
 The urls that a rule decides are the labelled rows. Trees learn from them by lexical features alone: lengths, path
-depth, digit ratio, character entropy, parameter counts, and block rates of the host's suffixes (alone, and with the
-first part of the path). Suffixes are hashed to a fixed number of buckets, so their statistics, counted over all labelled rows, have a bounded size.
+depth, digit ratio, character entropy, parameter counts, and block rates of the host's suffixes and of the path's first
+part. No rate is of host and path together: that pair is what the rules go by, so one split on it would fit all labels
+and urls without a rule would have no rate. Each node chooses from some of the features only, so that the others count too.
+Suffixes are hashed to a fixed number of buckets, so their statistics, counted over all labelled rows, have a bounded size.
 The trees are fitted on a bounded sample: ``sample_rows`` labelled rows are expected, chosen by a hash of the url.
 """
 
@@ -102,8 +104,8 @@ def _suffix_bucket(host: Column, path: Column, labels: int, section: bool) -> Co
 class UrlFilter:
     """Rules, suffix statistics and trees. ``trees`` is None if the rules label only one class or nothing."""
 
-    #: Statistics: how many labels of the host, and whether with the first part of the path.
-    LEVELS = ((1, False), (2, False), (1, True))
+    #: Statistics: how many labels of the host, and whether with the first part of the path; never both.
+    LEVELS = ((1, False), (2, False), (0, True))
 
     def __init__(self, rules=RULES):
         self.rules, self.trees, self.constant = rules, None, ALLOW
@@ -150,7 +152,8 @@ class UrlFilter:
         if sample.select("label").distinct().count() < 2:
             self.constant = BLOCK if prior >= 0.5 else ALLOW
             return self
-        self.trees = GBTClassifier(maxIter=iterations, maxDepth=depth, stepSize=0.3, seed=11).fit(sample)
+        self.trees = GBTClassifier(maxIter=iterations, maxDepth=depth, stepSize=0.3, seed=11,
+                                   featureSubsetStrategy="sqrt").fit(sample)
         return self
 
     def judge(self, urls: DataFrame, url_col: str = "url", id_col: str = "page_id") -> DataFrame:

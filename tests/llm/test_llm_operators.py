@@ -140,6 +140,17 @@ def test_url_trees_learn_labels_from_lexical_features(spark):
     assert filt.judge(held).count() == held.count()
 
 
+def test_urls_without_a_rule_are_told_apart(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    filt = urls.UrlFilter().fit(pages)
+    rest = filt.judge(pages).filter("rule is null").toPandas()
+    assert set(rest.verdict) == {"allow", "block"} and rest.score.std() > 0.1
+    key = rest.host.str.rsplit(".", n=1).str[-1] + rest.path.str.extract("^/([^/]*)")[0]
+    assert (rest.groupby(key).score.nunique() > 5).all()
+    lexical = filt.trees.featureImportances.toArray()[:-len(filt.LEVELS)]
+    assert lexical.sum() > 0.05
+
+
 # ---------------------------------------------------------------- 3 language
 
 def test_language_held_out_accuracy(spark):
