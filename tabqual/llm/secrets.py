@@ -1,8 +1,8 @@
 """Secret scan with corpus-wide ownership frequency, in DataFrame functions only.
 
 Fixed patterns find the base spans. Besides them, long mixed tokens are candidates. The values of all are hashed
-and counted over the corpus by distinct repositories and distinct owners: a value that only one
-owner has looks live, one that many owners have is a widely copied example. Live-looking tokens that
+and counted over the corpus by distinct repositories and distinct owners: a value that many owners have, or that
+is in many repositories even of one owner, is a widely copied example; any other looks live. Live-looking tokens that
 no base span touches are added as spans of the kind ``owned``; base spans always stay.
 
 Positions come from the pattern ``\\G(.*?)(match)``: each find starts where the last one ended, so the lengths of the
@@ -28,8 +28,9 @@ LEAST_VALUE = 8
 TOKEN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
 #: A token is a candidate with both letters and digits and at least so many different characters.
 LEAST_DISTINCT = 10
-#: Values of at least so many owners are widely copied examples.
+#: Values of at least so many owners, or in at least so many repositories, are widely copied examples.
 COPIED_OWNERS = 3
+COPIED_REPOS = 10
 
 
 def _finds(text: Column, kind: str, pattern: str, value_group: int | None = None) -> Column:
@@ -87,16 +88,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     """``(id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied)`` for every row of ``docs``.
 
     ``spans`` holds ``kind:start:end`` in code points, ordered by start and then by kind; ``base_sha256`` digests the
-    base ones alone, joined likewise. ``n_live`` and ``n_copied`` count the spans whose values one owner has, or at least
-    ``COPIED_OWNERS``. NULL and empty texts have no spans. Rows equal in id, owner, repository and text count once in the
+    base ones alone, joined likewise. ``n_copied`` counts the spans whose values at least ``COPIED_OWNERS`` owners or
+    ``COPIED_REPOS`` repositories have, ``n_live`` all others: each span is one or the other. NULL and empty texts have no spans. Rows equal in id, owner, repository and text count once in the
     ownership and each keep their row; NULL ids, owners and repositories are values like any other. An empty table gives
     an empty table; other columns are ignored.
     """
     found = save(find_candidates(docs, id_col, text_col, owner_col, repo_col), "candidates")
     owned = save(ownership(found), "ownership")
+    copied = (F.col("owners") >= COPIED_OWNERS) | (F.col("repos") >= COPIED_REPOS)
     rows = found.join(owned, ["h1", "h2"])
     order = F.struct("start", F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).alias("rank"), "end", "kind",
-                     (F.col("owners") == 1).alias("live"), (F.col("owners") >= COPIED_OWNERS).alias("copied"))
+                     (~copied).alias("live"), copied.alias("copied"))
     per = rows.groupBy("row_key").agg(F.array_sort(F.collect_set(order)).alias("all_spans"))
     base = F.filter("all_spans", lambda s: s["kind"] != "owned")
     per = per.withColumn("base", base)

@@ -492,6 +492,17 @@ def test_secret_edge_cases_and_ownership(spark):
     assert by[8]["spans"] == by[10]["spans"] == ""
 
 
+def test_repositories_and_two_owners_decide_ownership(spark):
+    spread, few, two = "Sp4rEaD0vErM4nYd0cs9", "Zx9Qw8Er7Ty6Ui5Op4As3", "Tw0wNeRsH4v3Th1sT0k3n"
+    many = secrets.COPIED_REPOS
+    texts = [(i, f"see {spread}", "hot") for i in range(many)] + [(100 + i, f"see {few}", "hot") for i in range(many - 1)]
+    texts += [(200, f"see {two}", "a"), (201, f"see {two}", "b")]
+    by = {r["doc_id"]: r for r in secrets.scan(spark.createDataFrame(texts, "doc_id long, text string, source string")).collect()}
+    assert all(by[i]["spans"] == "" and by[i]["n_live"] == 0 for i in range(many))
+    assert all(by[100 + i]["spans"] == "owned:4:25" and by[100 + i]["n_live"] == 1 for i in range(many - 1))
+    assert all(by[i]["spans"] == "owned:4:25" and (by[i]["n_live"], by[i]["n_copied"]) == (1, 0) for i in (200, 201))
+
+
 # ---------------------------------------------------------------- 10 toxicity
 
 def test_toxicity_held_out_quality(spark):
