@@ -6,9 +6,11 @@ the embeddings starts at the lower confidence bound of the word's log-odds in th
 too seldom to tell), the rest at small random numbers; all weights are then trained by Adam, the gradient passing
 only through the pooled positions.
 
-The sample is bounded: ``sample_per_class`` rows are expected of either label. A quarter of it is not trained on
-and sets one threshold for each language (told from the text itself); a text's score is its probability p raised to
-the power that moves its language's threshold to 0.7.
+The sample is bounded: ``sample_per_class`` rows are expected of either label. A quarter of all labelled rows is never
+trained on. These and all labelled rows outside the sample are scored and counted by language (told from the text
+itself), probability and label, and the counts set one threshold for each language. As rows of the rarer label
+are trained on more often, counts are weighted to the label shares of all labelled rows. A text's score is its
+probability p raised to the power that moves its language's threshold to 0.7.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ EPOCHS = 4
 SAMPLE_PER_CLASS = 1200
 CUT = 0.7
 LEAST_POSITIVES = 15
+#: Probabilities are counted in so many bins of one width.
+SCORE_BINS = 2000
 
 
 def word_ids(texts) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -140,69 +144,92 @@ class ToxicityModel:
     def __init__(self, cnn: TextCNN, thresholds: dict[str, float], default: float, languages: language.LanguageModel | None):
         self.cnn, self.thresholds, self.default, self.languages = cnn, thresholds, default, languages
 
-    def score(self, texts: pd.Series) -> np.ndarray:
+    def probabilities(self, texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
         p = np.zeros(len(texts))
         for first, ids, at in word_ids(texts):
             p[first:first + len(at) - 1] = self.cnn.predict(ids, at)
-        langs, _ = language.predict_texts(self.languages, texts)
+        return p, language.predict_texts(self.languages, texts)[0]
+
+    def score(self, texts: pd.Series) -> np.ndarray:
+        p, langs = self.probabilities(texts)
         cut = np.array([self.thresholds.get(v, self.default) for v in langs])
         return np.clip(p, 1e-9, 1.0) ** (np.log(CUT) / np.log(cut))
 
 
-def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """Midpoint of two neighbouring probabilities with the best F1, kept within 0.05 and 0.95."""
+def best_threshold(p: np.ndarray, toxic: np.ndarray, other: np.ndarray) -> float:
+    """Midpoint of two neighbouring probabilities with the best F1, kept within 0.05 and 0.95; ``p`` are distinct."""
     order = np.argsort(-p, kind="stable")
-    p, y = p[order], y[order]
-    hits = np.cumsum(y)
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
-    f1[:-1][p[:-1] == p[1:]] = -1  # no cut between equal probabilities
+    p, toxic, other = p[order], toxic[order], other[order]
+    f1 = 2 * np.cumsum(toxic) / (np.cumsum(toxic + other) + toxic.sum())
     i = int(f1.argmax())
     return float(np.clip((p[i] + (p[i + 1] if i + 1 < len(p) else 0.0)) / 2, 0.05, 0.95))
 
 
+def set_thresholds(model: ToxicityModel, counts: pd.DataFrame, trained: list[float]) -> None:
+    """From ``counts (lang, bin, y, n)`` of rows not trained on; of the rows of label y, the share ``trained[y]`` was."""
+
+    def cut(own: pd.DataFrame) -> float:
+        table = own.pivot_table(index="bin", columns="y", values="n", aggfunc="sum", fill_value=0).reindex(columns=[0, 1], fill_value=0)
+        p = (table.index.to_numpy() + 0.5) / SCORE_BINS
+        return best_threshold(p, table[1].to_numpy() / (1 - trained[1]), table[0].to_numpy() / (1 - trained[0]))
+
+    if not (counts["y"] == 1).any():
+        return
+    model.default = cut(counts)
+    for lang, own in counts.groupby("lang"):
+        if own.loc[own["y"] == 1, "n"].sum() >= LEAST_POSITIVES:
+            model.thresholds[lang] = cut(own)
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           languages: language.LanguageModel | None = None, sample_per_class: int = SAMPLE_PER_CLASS) -> ToxicityModel:
     """Train from ``labels (id, label)`` of 0 or 1 and the texts of ``docs`` with these ids.
 
     A hash of the id decides which labels are in the sample. Its size is bounded, so the texts are picked by a broadcast of
-    the sample and no text is shuffled. Rows with a NULL id, text or label are not used; with no
-    row of one label, the network stays as it starts and scores low.
+    the sample; for the thresholds, the probabilities of all texts are joined to the labels. So no text is shuffled. Rows with
+    a NULL id, text or label are not used; with no row of one label, the network stays as it starts and scores low.
     """
-    known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("y"), F.xxhash64(id_col).alias("h"))
+    known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("y"), F.xxhash64(id_col).alias("h"),
+                          (F.pmod(F.xxhash64(F.lit("thresholds"), id_col), F.lit(4)) == 3).alias("held"))
     known = known.filter("y in (0, 1) and label_id is not null")
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     shares = [min(1.0, sample_per_class / max(1, counts.get(y, 0))) for y in (0, 1)]
     chance = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
-    picked = known.filter(chance < F.when(F.col("y") == 1, shares[1]).otherwise(shares[0])).distinct()
+    known = known.withColumn("trained", ~F.col("held") & (chance < F.when(F.col("y") == 1, shares[1]).otherwise(shares[0])))
+    picked = known.filter("trained").distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null")
     sample = texts.join(F.broadcast(picked), F.col("id") == F.col("label_id")).select("text", "y", "h")
-    shared = docs.sparkSession.sparkContext.broadcast(languages)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            langs, _ = language.predict_texts(shared.value, b["text"])
             for first, ids, at in word_ids(b["text"]):
                 n = len(at) - 1
                 yield pd.DataFrame({"y": b["y"].iloc[first:first + n].to_numpy(), "h": b["h"].iloc[first:first + n].to_numpy(),
-                                    "lang": langs[first:first + n],
                                     "ids": [ids[at[i]:at[i + 1]].tobytes() for i in range(n)]})
 
-    got = map_pandas(sample, run, "y int, h bigint, lang string, ids binary").toPandas()
-    cnn, default, thresholds = TextCNN(), CUT, {}
-    if got["y"].nunique() == 2:
-        got = got.assign(n=got["ids"].map(len)).sort_values(["h", "n"], kind="stable").reset_index(drop=True)
-        docs = [np.frombuffer(v, np.int32) for v in got["ids"]]
-        y = got["y"].to_numpy(float)
-        held = (np.arange(len(y)) % 4) == 3
-        cnn.fit([d for d, x in zip(docs, held) if not x], y[~held])
-        at = np.concatenate(([0], np.cumsum([len(d) for d, x in zip(docs, held) if x])))
-        p = cnn.predict(np.concatenate([d for d, x in zip(docs, held) if x] or [np.zeros(0, np.int32)]), at)
-        if y[held].any():
-            default = best_threshold(p, y[held])
-            for lang, own in got[held].groupby("lang").indices.items():
-                if y[held][own].sum() >= LEAST_POSITIVES:
-                    thresholds[lang] = best_threshold(p[own], y[held][own])
-    return ToxicityModel(cnn, thresholds, default, languages)
+    got = map_pandas(sample, run, "y int, h bigint, ids binary").toPandas()
+    model = ToxicityModel(TextCNN(), {}, CUT, languages)
+    if got["y"].nunique() < 2:
+        return model
+    got = got.assign(n=got["ids"].map(len)).sort_values(["h", "n"], kind="stable")
+    model.cnn.fit([np.frombuffer(v, np.int32) for v in got["ids"]], got["y"].to_numpy(float))
+    rest = known.filter("not trained").select("label_id", "y").distinct()
+    counts = bins(texts, model).join(rest, F.col("id") == F.col("label_id")).groupBy("lang", "bin", "y").agg(F.count("*").alias("n"))
+    set_thresholds(model, counts.toPandas(), [0.75 * s for s in shares])
+    return model
+
+
+def bins(texts: DataFrame, model: ToxicityModel) -> DataFrame:
+    """``(id, lang, bin)`` of ``texts (id, text)``: language and binned probability, without thresholds."""
+    kind = texts.schema["id"].dataType.simpleString()
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            p, langs = shared.value.probabilities(b["text"])
+            yield pd.DataFrame({"id": b["id"], "lang": langs, "bin": np.minimum(p * SCORE_BINS, SCORE_BINS - 1).astype(np.int32)})
+
+    return map_pandas(texts, run, f"id {kind}, lang string, bin int")
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

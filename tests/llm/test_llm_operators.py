@@ -8,6 +8,7 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -517,6 +518,33 @@ def test_toxicity_held_out_quality(spark):
     assert held[held.predicted == 1].toxic.mean() > 0.7 and held[held.toxic == 1].predicted.mean() > 0.7
 
 
+def test_thresholds_come_from_all_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    tongues = language.learn(docs, F.lit(True), sample_per_language=50)
+    model = toxicity.learn(docs, labels, languages=tongues, sample_per_class=100)
+    rows = docs.join(labels, "doc_id").select("text", "toxic").toPandas()
+    rows["lang"] = model.probabilities(rows["text"])[1]
+    toxic = rows[rows.toxic == 1].groupby("lang").size()
+    assert set(model.thresholds) >= set(toxic[toxic >= 3 * toxicity.LEAST_POSITIVES].index) and len(model.thresholds) >= 2
+
+
+def test_thresholds_hold_at_the_base_rate():
+    bins = np.arange(toxicity.SCORE_BINS)
+    counts = pd.DataFrame([("xx", b, y, n) for b in (200, 1000, 1800) for y, n in ((0, 400 if b == 200 else 60), (1, 2 if b < 1800 else 30))],
+                          columns=["lang", "bin", "y", "n"])
+    cuts = []
+    for trained in ([0.0, 0.0], [0.0, 0.75], [0.74, 0.0]):
+        model = toxicity.ToxicityModel(toxicity.TextCNN(), {}, toxicity.CUT, None)
+        toxicity.set_thresholds(model, counts, trained)
+        own = counts.assign(w=counts.n / (1 - np.array(trained)[counts.y]))
+        f1 = [2 * own[(own.bin >= c) & (own.y == 1)].w.sum() / (own[own.bin >= c].w.sum() + own[own.y == 1].w.sum()) for c in bins]
+        best = own[(own.bin >= model.thresholds["xx"] * toxicity.SCORE_BINS)]
+        assert 2 * best[best.y == 1].w.sum() / (best.w.sum() + own[own.y == 1].w.sum()) == pytest.approx(max(f1))
+        cuts.append(model.thresholds["xx"])
+    assert model.default == cuts[-1]
+
+
 def test_gradients_of_the_network_are_right():
     net = toxicity.TextCNN(seed=3)
     net.out = np.linspace(-1, 1, len(net.out)).astype(np.float32)
