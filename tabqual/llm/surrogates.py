@@ -149,6 +149,10 @@ def surrogate(kind: str, value: str, attempt: int = 0, key: str = KEY) -> str:
     if kind == "ip":
         a = [int(x) for x in value.split(".")]
         fixed = 1 if a[0] in (10, 127) else 2 if (a[0], a[1]) == (192, 168) or a[0] == 172 and 16 <= a[1] < 32 else 0
+        if fixed == 2 and attempt > 3:  # a crowded /16: all of 10/8
+            a[0], fixed = 10, 1
+        if attempt > 11:  # a crowded /8
+            fixed = 0
         public = [x for x in range(1, 224) if x not in (10, 127, 172, 192)]
         return ".".join(str(a[i] if i < fixed else d.pick(public) if i == 0 else d.below(256)) for i in range(4))
     if kind == "iban":
@@ -161,7 +165,8 @@ def surrogate(kind: str, value: str, attempt: int = 0, key: str = KEY) -> str:
         return body + str(check if valid else (check + 1 + d.below(9)) % 10)
     if kind == "phone":
         fixed = max(0, len(value) - 10) if attempt < 4 else 0  # the country code
-        return value[:fixed] + "".join(str(d.below(10)) for _ in value[fixed:])
+        longer = max(0, attempt - 11) // 4  # short numbers are few
+        return value[:fixed] + "".join(str(d.below(10)) for _ in range(len(value) - fixed + longer))
     if kind == "ssn":
         return "".join(str(d.below(10)) for _ in value)
     part, *more = kind.split(":")

@@ -446,6 +446,15 @@ def test_colliding_surrogates_are_drawn_again(spark):
     assert len(got) == len(rows) == len({r["surrogate"] for r in got}) and not values & {r["surrogate"] for r in got}
 
 
+def test_crowded_spaces_are_assigned_too(spark):
+    rows = [("ip", f"192.168.{i // 250}.{i % 250}") for i in range(33_000)] + [("phone", f"{i:03d}") for i in range(600)]
+    got = surrogates.assign(spark.createDataFrame(rows, "kind string, value string")).toPandas()
+    assert len(got) == len(rows) and not got.duplicated(["kind", "surrogate"]).any()
+    assert not set(map(tuple, got[["kind", "surrogate"]].values)) & set(rows)
+    ips = got[got.kind == "ip"].surrogate
+    assert (ips.str.startswith("192.168.") | ips.str.startswith("10.")).all()
+
+
 # ---------------------------------------------------------------- 9 secrets
 
 def brute_spans(text):
