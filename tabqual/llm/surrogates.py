@@ -1,7 +1,8 @@
 """Personal data: detected entities are replaced by keyed surrogates of the same type and form.
 
 Detection finds e-mail addresses, IPv4 addresses, phone and card numbers, US social security numbers,
-IBANs, and names after a form of address. An entity is its type and normal form, so spellings that differ only in
+IBANs, names after a form of address, and every other whole-word mention (same letter case) of these names in
+the same text. An entity is its type and normal form, so spellings that differ only in
 case or separators refer to one entity. Its surrogate is drawn from an HMAC of the entity under a secret key:
 digits stay digits, a card number keeps its length and its checksum's validity, an IBAN its country, a name its
 gender, script and letter case. All distinct entities of the corpus then pass collision checks: no two may share
@@ -15,6 +16,7 @@ import hashlib
 import hmac
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -115,7 +117,29 @@ def entities(text: str | None) -> list[Entity]:
         if not any(a < e.end and e.start < b for a, b in taken):
             kept.append(e)
             taken.append((e.start, e.end))
-    return sorted(kept, key=lambda e: e.start)
+    kept.sort(key=lambda e: e.start)
+    return sorted(kept + _mentions(text, kept), key=lambda e: e.start)
+
+
+def _mentions(text: str, kept: list[Entity]) -> list[Entity]:
+    """Mentions of the names in ``kept`` (in order) outside of these; each is the last such name before it, or else the first."""
+    names: dict[str, list[Entity]] = {}
+    for e in kept:
+        if e.kind.startswith(("given:", "surname:")):
+            names.setdefault(text[e.start:e.end], []).append(e)
+    if not names:
+        return []
+    out, starts = [], {w: [e.start for e in own] for w, own in names.items()}
+    forms = "|".join(map(re.escape, sorted(names, key=len, reverse=True)))
+    at = [e.start for e in kept]
+    for m in re.finditer(rf"(?<!\w)(?:{forms})(?!\w)", text):
+        i = bisect_right(at, m.start()) - 1
+        if i >= 0 and kept[i].end > m.start() or i + 1 < len(kept) and kept[i + 1].start < m.end():
+            continue
+        own = names[m[0]]
+        known = own[max(0, bisect_right(starts[m[0]], m.start()) - 1)]
+        out.append(Entity(known.kind, known.value, *m.span()))
+    return out
 
 
 class _Draw:

@@ -446,6 +446,14 @@ def test_colliding_surrogates_are_drawn_again(spark):
     assert len(got) == len(rows) == len({r["surrogate"] for r in got}) and not values & {r["surrogate"] for r in got}
 
 
+def test_names_are_replaced_in_all_their_mentions():
+    text = "Weber? Dr. Anna Weber came. Anna Weber left; Weber's hat, Webers, weber, a@Weber.com, Ann."
+    new, n = surrogates.rewrite(text, {})
+    given, last = (surrogates.surrogate(k, v).capitalize() for k, v in (("given:n:LATIN", "anna"), ("surname:LATIN", "weber")))
+    assert new == (f"{last}? Dr. {given} {last} came. {given} {last} left; {last}'s hat, Webers, weber, "
+                   f"{surrogates.surrogate('email', 'a@weber.com')}, Ann.") and n == 7
+
+
 def test_crowded_spaces_are_assigned_too(spark):
     rows = [("ip", f"192.168.{i // 250}.{i % 250}") for i in range(33_000)] + [("phone", f"{i:03d}") for i in range(600)]
     got = surrogates.assign(spark.createDataFrame(rows, "kind string, value string")).toPandas()
