@@ -199,6 +199,10 @@ def learn(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     return LanguageModel(x, langs)
 
 
+def _lettered(texts) -> np.ndarray:
+    return np.array([isinstance(t, str) and bool(_LETTER.search(t)) for t in texts], bool)
+
+
 def predict_texts(model: LanguageModel | None, texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     """Language and score for a batch; ``und`` with score 0 for NULL, for texts without a letter, and without a model."""
     langs, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
@@ -206,7 +210,7 @@ def predict_texts(model: LanguageModel | None, texts: pd.Series) -> tuple[np.nda
         return langs, score
     for first, x in features(texts):
         langs[first:first + len(x)], score[first:first + len(x)] = model.predict(x)
-    none = np.array([not (isinstance(t, str) and _LETTER.search(t)) for t in texts], bool)
+    none = ~_lettered(texts)
     langs[none], score[none] = UNKNOWN, 0.0
     return langs, score
 
@@ -232,17 +236,19 @@ def identify(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id
 def drop_unknown(docs: DataFrame, model: LanguageModel | None, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
     """``docs`` without the rows whose text has no language: ``und``, or a score below ``min_score``.
 
-    All columns stay as they are, whatever their names. Without a model every row is kept.
+    All columns stay as they are, whatever their names. Without a model only NULL texts and those without a letter are dropped.
     """
-    if model is None:
-        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
     column = docs.columns.index(text_col)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for b in batches:
-            langs, score = predict_texts(shared.value, b.column(column).to_pandas())
+            texts = b.column(column).to_pandas()
+            if shared.value is None:
+                yield b.filter(pa.array(_lettered(texts)))
+                continue
+            langs, score = predict_texts(shared.value, texts)
             yield b.filter(pa.array((langs != UNKNOWN) & (score >= min_score)))
 
     ship_package(docs.sparkSession)

@@ -99,6 +99,12 @@ def test_nothing_to_learn_from(spark, odd):
     assert all(0 <= r["score"] <= 1 for r in toxicity.score(odd, flat).collect())
 
 
+def test_rows_without_a_letter_are_dropped_without_a_model_too(odd):
+    kept = language.drop_unknown(odd, None).collect()
+    assert kept and all(any(c.isalpha() for c in r["text"] or "") for r in kept)
+    assert len(kept) == sum(any(c.isalpha() for c in r["text"] or "") for r in odd.collect())
+
+
 def test_defined_results_of_odd_rows(odd, model):
     langs = {(r["doc_id"], r["lang_pred"] == "und", r["score"] == 0.0) for r in language.identify(odd, model).collect()}
     assert {(2, True, True), (3, True, True), (4, True, True), (6, True, True)} <= langs and (5, False, False) in langs
