@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabqual.llm import decontaminate, imatch, language, mixing, secrets, simhash, suffixes, surrogates, toxicity, urls
+from tabqual.llm import (decontaminate, imatch, language, mixing, secrets, sharding, simhash, suffixes, surrogates, toxicity,
+                         urls)
 from tabqual.llm.shared import crc_mod, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -75,11 +76,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(tagged, model, id_col="row").select("row.*", "score", "predicted")
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, by the law of equal bytes."""
+    placed = sharding.assign_shards(read_table(spark, sf_dir, "documents"))
+    return placed.select(F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard",
+                         F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_decontamination, op2_url_filter, op3_language_id, op4_suffix_dedup, op5_simhash, op6_source_mix, op7_imatch, op8_surrogates,
-    op9_secrets, op10_toxicity)}
+    op9_secrets, op10_toxicity, op11_sharding)}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_source_mix": mixing.PLAN_SQL.format(documents="documents")
     + "SELECT doc_id, size, source_size, target, copies * size AS taken FROM mixed",
+    "op11_sharding": sharding.SHARDS_SQL.format(documents="documents"),
 }
