@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabqual.llm import (decontaminate, imatch, language, mixing, secrets, sharding, simhash, suffixes, surrogates, toxicity,
-                         urls)
+from tabqual.llm import (decontaminate, imatch, language, mixing, secrets, sharding, simhash, spelling, suffixes, surrogates,
+                         toxicity, urls)
 from tabqual.llm.shared import crc_mod, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -83,12 +83,20 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, root and near words of every frequent word, one in 97 words of a document having lost a letter."""
+    runs = spelling.runs(read_table(spark, sf_dir, "documents"))
+    return spelling.group_variants(spelling.count_words(spelling.with_slips(runs, 97)))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_decontamination, op2_url_filter, op3_language_id, op4_suffix_dedup, op5_simhash, op6_source_mix, op7_imatch, op8_surrogates,
-    op9_secrets, op10_toxicity, op11_sharding)}
+    op9_secrets, op10_toxicity, op11_sharding,
+    op12_spelling_variants)}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_source_mix": mixing.PLAN_SQL.format(documents="documents")
     + "SELECT doc_id, size, source_size, target, copies * size AS taken FROM mixed",
     "op11_sharding": sharding.SHARDS_SQL.format(documents="documents"),
+    "op12_spelling_variants": spelling.VARIANTS_SQL.format(documents="documents"),
 }
