@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabqual.llm import (decontaminate, imatch, language, mixing, secrets, sharding, simhash, spelling, suffixes, surrogates,
-                         toxicity, urls)
+from tabqual.llm import (decontaminate, imatch, language, mixing, search, secrets, sharding, simhash, spelling, suffixes,
+                         surrogates, toxicity, urls)
 from tabqual.llm.shared import crc_mod, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -89,14 +89,21 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(spelling.count_words(spelling.with_slips(runs, 97)))
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents for every benchmark item."""
+    index = search.build_index(read_table(spark, sf_dir, "documents"))
+    return search.search(index, read_table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "item_id")
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_decontamination, op2_url_filter, op3_language_id, op4_suffix_dedup, op5_simhash, op6_source_mix, op7_imatch, op8_surrogates,
     op9_secrets, op10_toxicity, op11_sharding,
-    op12_spelling_variants)}
+    op12_spelling_variants, op13_search)}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_source_mix": mixing.PLAN_SQL.format(documents="documents")
     + "SELECT doc_id, size, source_size, target, copies * size AS taken FROM mixed",
     "op11_sharding": sharding.SHARDS_SQL.format(documents="documents"),
+    "op13_search": search.SEARCH_SQL.format(documents="documents", benchmark="benchmark"),
     "op12_spelling_variants": spelling.VARIANTS_SQL.format(documents="documents"),
 }
