@@ -26,6 +26,7 @@ from tabqual.plans.fixtures import FX1_SQL, FX2_SOURCE_COLUMNS, FX2_SQL, FX3_SQL
 from tabqual.plans import derived_sources as ds
 from tabqual.session import materialize, shared_path
 from tabqual.sources import readers as rd
+from tabqual.sources import structural
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -597,6 +598,53 @@ def q_json_documents(spark, sf_dir):
     return rd.read_wrapped_json(spark, path, multiline=True).select("event_id", "user_id", "event_type", "value")
 
 
+_LANDED_SQL = ds.LANDED_LINE.replace("AS STRING", "AS VARCHAR")
+# bounds small enough that files of the driver's small tables go beyond them
+_SNIFF_HEAD, _SNIFF_RANGE = 2048, 4096
+
+
+@register("detected_files", f"""
+WITH l AS (SELECT page_id % 6 AS kind, page_id // {ds.ROWS_PER_LANDED_FILE} AS bucket, {_LANDED_SQL} AS line FROM pages),
+f AS (SELECT kind, bucket, CAST(sum(strlen(line) + 1) AS BIGINT) AS length, bool_or(contains(line, 'FeatureCollection')) AS marked
+      FROM l GROUP BY kind, bucket)
+SELECT kind, bucket, length, CAST(CASE WHEN kind = 4 OR length <= {_SNIFF_HEAD} THEN least(length, {_SNIFF_HEAD})
+         ELSE length + {len(b"FeatureCollection") - 1} * ceil((length - {_SNIFF_HEAD}) / {_SNIFF_RANGE}.0) END AS BIGINT) AS bytes_read,
+  CASE WHEN kind = 0 THEN 'csv' WHEN kind = 5 THEN 'unknown' WHEN kind IN (3, 4) AND marked THEN 'geojson' ELSE 'json' END AS format,
+  CASE WHEN kind = 1 THEN 'lines' WHEN kind = 2 OR kind = 3 AND NOT marked THEN 'document' END AS json_layout
+FROM f""")
+def q_detected_files(spark, sf_dir):
+    """Files of six kinds in a landing folder: their formats, and how much of each was read to tell."""
+    path = ds.write_landing_folder(spark, table(spark, sf_dir, "pages"))
+    files = rd.detect_formats(spark, path, head_bytes=_SNIFF_HEAD, range_bytes=_SNIFF_RANGE)
+    part = [F.regexp_extract("path", f"{k}=([0-9]+)", 1).cast("bigint").alias(k) for k in ("kind", "bucket")]
+    return files.select(*part, "length", "bytes_read", "format", "json_layout")
+
+
+# ranges small enough that one document of the driver's small tables is cut into many
+_DOCUMENT_RANGE = 1 << 16
+
+
+@register("geojson_one_document", """
+SELECT event_id, event_type, CASE WHEN event_type = 'error' THEN NULL ELSE 'Point' END AS geometry_type FROM events""")
+def q_geojson_one_document(spark, sf_dir):
+    """One file that holds all events as one collection, read by many tasks."""
+    events = table(spark, sf_dir, "events")
+    path = ds.write_one_document(spark, events, "event_id", ds.event_feature(), '{"type": "FeatureCollection",\n "features": [', "]}",
+                                 "events-one-collection")
+    return structural.read_large_geojson(spark, path, range_bytes=_DOCUMENT_RANGE).select("event_id", "event_type", "geometry_type")
+
+
+@register("json_one_document", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def q_json_one_document(spark, sf_dir):
+    """One file that holds all columns of all events under one wrapper, beside another array; read by many tasks."""
+    events = table(spark, sf_dir, "events")
+    item = F.struct("event_id", F.date_format("ts", ds.TS_FORMAT).alias("ts"), "user_id", "event_type", "value", "props")
+    path = ds.write_one_document(spark, events, "event_id", item, '{"meta": [{"results": [{"event_id": -1}]}],\n "results": [',
+                                 '], "more": [{"event_id": -2}]}', "events-one-document")
+    rows = structural.read_large_json(spark, path, range_bytes=_DOCUMENT_RANGE)
+    return rows.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props")
+
+
 @register("format_detect", """
 WITH s AS (SELECT page_id, lower(url) AS name, regexp_replace(html, '^\\s+', '') AS sample FROM pages),
 f AS (SELECT page_id, name, sample, regexp_extract(sample, '^([^\\r\\n]*)', 1) AS first_line FROM s)

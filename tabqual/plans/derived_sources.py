@@ -97,3 +97,36 @@ def write_damaged_json_lines(spark: SparkSession, events: DataFrame) -> str:
                  .select(F.coalesce(damaged, F.col("value_json")).alias("value")))
     out.write.text(path)
     return path
+
+
+def write_one_document(spark: SparkSession, rows: DataFrame, key: str, item: F.Column, head: str, tail: str, name: str) -> str:
+    """One file of one JSON document: ``head``, the item of every row in the order of ``key`` over many lines, ``tail``."""
+    path = shared_path(spark, name)
+    first = rows.agg(F.min(key)).first()[0]
+    text = F.concat(F.when(F.col(key) == F.lit(first), "").otherwise(","), F.lit("\n  "), F.regexp_replace(F.to_json(item), r":\{", ":\n  {"))
+    body = rows.select(F.lit(1).alias("part"), F.col(key).alias("at"), text.alias("value"))
+    ends = spark.range(2).select((F.col("id") * 2).cast("int").alias("part"), F.lit(0).cast("bigint").alias("at"),
+                                 F.when(F.col("id") == 0, head).otherwise(tail).alias("value"))
+    body.unionByName(ends).coalesce(1).sortWithinPartitions("part", "at").select("value").write.text(path)
+    return path
+
+
+# Rows of ``pages`` in a written file of the landing folder, and the kinds of its files.
+ROWS_PER_LANDED_FILE = 600
+LANDED_LINE = f"""CASE page_id % 6
+  WHEN 0 THEN concat(CAST(page_id AS STRING), ',', CAST(length(url) AS STRING))
+  WHEN 1 THEN concat('{{"page_id": ', CAST(page_id AS STRING), '}}')
+  WHEN 2 THEN concat(CASE WHEN page_id % {ROWS_PER_LANDED_FILE} < 6 THEN '[' ELSE ',' END, '{{"page_id": ', CAST(page_id AS STRING), '}}')
+  WHEN 3 THEN CASE WHEN page_id % {ROWS_PER_LANDED_FILE} < 6 THEN '{{' WHEN page_id % {ROWS_PER_LANDED_FILE} >= {ROWS_PER_LANDED_FILE} - 6
+    THEN '"type": "FeatureCollection"}}' ELSE concat('"', CAST(page_id AS STRING), '": 1,') END
+  WHEN 4 THEN CASE WHEN page_id % {ROWS_PER_LANDED_FILE} < 6 THEN '{{"type": "FeatureCollection", "features": [' ELSE concat('{{"id": ', CAST(page_id AS STRING), '}},') END
+  ELSE concat('page ', CAST(page_id AS STRING)) END"""
+
+
+def write_landing_folder(spark: SparkSession, pages: DataFrame) -> str:
+    """Files of six kinds, named alike, in folders ``kind=../bucket=..``: what they hold, only their content tells."""
+    path = shared_path(spark, "landing")
+    rows = pages.selectExpr("page_id", f"{LANDED_LINE} AS value", "page_id % 6 AS kind", f"page_id div {ROWS_PER_LANDED_FILE} AS bucket")
+    dealt = rows.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket", "page_id")
+    dealt.select("value", "kind", "bucket").write.partitionBy("kind", "bucket").text(path)
+    return path

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabqual.functions.columns import quote
+from tabqual.session import materialize
+from tabqual.sources.sniff import sniff
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -213,48 +215,28 @@ def format_expr(path: Column, content: Column, content_type: Column | None = Non
              .otherwise(F.lit("unknown")))
 
 
-def json_layout_expr(content: Column) -> Column:
-    """``lines`` when the first line holds one complete JSON object, else ``document``."""
-    sample = _sniff_text(content)
-    first_line = F.rtrim(F.regexp_extract(sample, r"^([^\r\n]*)", 1))
-    one_object = first_line.startswith("{") & first_line.endswith("}")
-    return F.when(one_object, F.lit("lines")).otherwise(F.lit("document"))
-
-
-def detect_formats(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """``path, length, format, json_layout`` for every file below ``path`` (one row per file)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path))
-    fmt = format_expr(F.col("path"), F.col("content"))
-    return files.select("path", "length", fmt.alias("format"),
-                        F.when(fmt == "json", json_layout_expr(F.col("content"))).alias("json_layout"))
+def detect_formats(spark: SparkSession, path: str, **bounds) -> DataFrame:
+    """``path, length, bytes_read, format, json_layout`` for every file below ``path``, a written table; see :func:`sniff.sniff`."""
+    return materialize(sniff(spark, path, **bounds))
 
 
 def read_detected(spark: SparkSession, files: DataFrame) -> DataFrame:
     """Read every file with the reader its detected format asks for and union
     the results by name (missing columns become NULL).
 
-    ``files`` is the small per-file table from :func:`detect_formats`; only
-    its path lists reach the driver. JSON lines are read line by line (split
-    freely), JSON documents one per task.
+    ``files`` is the per-file table from :func:`detect_formats`. Only the locations
+    that a reader has to open reach the driver, once. JSON lines are read line by line (split
+    freely), JSON documents one per task; for large ones see :mod:`tabqual.sources.structural`.
     """
-    parts = []
     bad = files.where(F.col("format").isin("empty", "unknown")).select("path", "format").limit(1).collect()
     if bad:
         raise SourceError(f"{bad[0]['format']} source file: {bad[0]['path']}")
-
-    def paths(cond) -> list[str]:
-        return [r["path"] for r in files.where(cond).select("path").collect()]
-
-    csv_paths = paths(F.col("format") == "csv")
-    if csv_paths:
-        parts.append(read_csv(spark, csv_paths))
-    geo_paths = paths(F.col("format") == "geojson")
-    if geo_paths:
-        parts.append(read_geojson(spark, geo_paths, multiline=True))
-    for layout, multiline in (("lines", False), ("document", True)):
-        json_paths = paths((F.col("format") == "json") & (F.col("json_layout") == layout))
-        if json_paths:
-            parts.append(read_wrapped_json(spark, json_paths, multiline=multiline))
+    readers = {("csv", None): lambda p: read_csv(spark, p), ("geojson", None): lambda p: read_geojson(spark, p),
+               ("json", "lines"): lambda p: read_wrapped_json(spark, p, multiline=False),
+               ("json", "document"): lambda p: read_wrapped_json(spark, p)}
+    groups = files.groupBy("format", "json_layout").agg(F.collect_list("path").alias("paths")).collect()
+    found = {(r["format"], r["json_layout"]): r["paths"] for r in groups}
+    parts = [read(found[kind]) for kind, read in readers.items() if kind in found]
     if not parts:
         raise SourceError("no readable files")
     out = parts[0]
