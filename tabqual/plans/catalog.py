@@ -625,24 +625,24 @@ _DOCUMENT_RANGE = 1 << 16
 
 
 @register("geojson_one_document", """
-SELECT event_id, event_type, CASE WHEN event_type = 'error' THEN NULL ELSE 'Point' END AS geometry_type FROM events""")
+SELECT page_id, url, CASE WHEN page_id % 7 = 0 THEN NULL WHEN page_id % 2 = 0 THEN 'Point' ELSE 'Polygon' END AS geometry_type FROM pages""")
 def q_geojson_one_document(spark, sf_dir):
-    """One file that holds all events as one collection, read by many tasks."""
-    events = table(spark, sf_dir, "events")
-    path = ds.write_one_document(spark, events, "event_id", ds.event_feature(), '{"type": "FeatureCollection",\n "features": [', "]}",
-                                 "events-one-collection")
-    return structural.read_large_geojson(spark, path, range_bytes=_DOCUMENT_RANGE).select("event_id", "event_type", "geometry_type")
+    """One file that holds all pages as one collection, read by many tasks."""
+    pages = table(spark, sf_dir, "pages")
+    kind = F.when(F.col("page_id") % 7 == 0, None).otherwise(
+        F.struct(F.when(F.col("page_id") % 2 == 0, "Point").otherwise("Polygon").alias("type"), F.array("page_id").alias("coordinates")))
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct("page_id", "url").alias("properties"), kind.alias("geometry"))
+    path = ds.write_one_document(spark, pages, "page_id", feature, '{"type": "FeatureCollection",\n "features": [', "]}", "pages-one-collection")
+    return structural.read_large_geojson(spark, path, range_bytes=_DOCUMENT_RANGE).select("page_id", "url", "geometry_type")
 
 
-@register("json_one_document", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+@register("json_one_document", "SELECT page_id, url, html FROM pages")
 def q_json_one_document(spark, sf_dir):
-    """One file that holds all columns of all events under one wrapper, beside another array; read by many tasks."""
-    events = table(spark, sf_dir, "events")
-    item = F.struct("event_id", F.date_format("ts", ds.TS_FORMAT).alias("ts"), "user_id", "event_type", "value", "props")
-    path = ds.write_one_document(spark, events, "event_id", item, '{"meta": [{"results": [{"event_id": -1}]}],\n "results": [',
-                                 '], "more": [{"event_id": -2}]}', "events-one-document")
-    rows = structural.read_large_json(spark, path, range_bytes=_DOCUMENT_RANGE)
-    return rows.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props")
+    """One file that holds all pages, whole texts, under one wrapper, beside other arrays; read by many tasks."""
+    pages = table(spark, sf_dir, "pages")
+    path = ds.write_one_document(spark, pages, "page_id", F.struct("page_id", "url", "html"),
+                                 '{"meta": [{"results": [{"page_id": -1}]}],\n "results": [', '], "more": [{"page_id": -2}]}', "pages-one-document")
+    return structural.read_large_json(spark, path, range_bytes=_DOCUMENT_RANGE).select("page_id", "url", "html")
 
 
 @register("format_detect", """
