@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tabqual.functions.columns import numeric_columns, qcol, quote, sql_str, string_columns
 from tabqual.functions.literals import literal_table
-from tabqual.functions.missing import is_missing, missing_flag_sql, safe_ratio_sql
+from tabqual.functions.missing import missing_flag_sql, safe_ratio_sql
+from tabqual.operators import frequent
 from tabqual.operators.ranking import exact_quantiles
 
 
@@ -170,22 +171,12 @@ def numeric_statistics(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5) -> DataFrame:
-    """Top ``k`` non-blank values per string column: ``column, value, count``.
+    """Top ``k`` non-blank values per string column: ``column, value, count``; ties: smaller value first.
 
-    All columns in one job: rows are unpivoted to (column, value), counted
-    with map-side partial aggregation, and ranked with ``row_number() <= k``
-    (Spark applies that limit per partition before the shuffle, so no task
-    holds all distinct values of a column). Ties: smaller value first.
+    Exact, by :func:`tabqual.operators.frequent.top_values`: a summary proposes heavy values, an exact recount proves them, and
+    columns without heavy values are counted by digest, so whole values are no shuffle keys.
     """
-    cols = list(string_columns(df, exclude=("ingested_at",)) if columns is None else columns)
-    if not cols:
-        return literal_table(df.sparkSession, [], "column string, value string, count bigint")
-    long = df.selectExpr(_inline([f"named_struct('column', {sql_str(c)}, 'value', CAST({quote(c)} AS STRING))"
-                                  for c in cols]))
-    counted = (long.where(~is_missing("value"))
-                   .groupBy("column", "value").agg(F.count(F.lit(1)).cast("bigint").alias("count")))
-    w = Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value"))
-    return counted.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+    return frequent.top_values(df, string_columns(df, exclude=("ingested_at",)) if columns is None else columns, k)
 
 
 def top_k(df: DataFrame, order: Sequence, k: int) -> DataFrame:

@@ -1,6 +1,7 @@
 """Physical-plan properties that matter at scale."""
 
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -69,9 +70,16 @@ def test_profiles_are_single_aggregations(spark):
     assert p.count("ObjectHashAggregate") + p.count("HashAggregate") == 2
 
 
-def test_top_values_limit_applied_before_shuffle(spark):
-    p = plan(pr.top_values(table(spark, SF_CHECK, "documents")))
+def test_top_values_have_no_text_as_shuffle_key(spark):
+    """Counts are keyed by digest; the limit is applied before the values are ranked."""
+    from tabqual.operators import frequent
+    docs = table(spark, SF_CHECK, "documents")
+    p = plan(pr.top_values(docs))
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", p)
+    assert keys and all(set(re.findall(r"[a-z_]+(?=#)", k)) <= {"col", "digest"} for k in keys)
     assert "WindowGroupLimit" in p
+    p = plan(frequent._by_digest(frequent._long(docs, {0: "text"})))
+    assert "hashpartitioning(col" in p and "SortAggregate" not in p
 
 
 def test_split_has_no_single_partition_exchange(spark):
