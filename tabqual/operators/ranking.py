@@ -1,14 +1,14 @@
 """Order statistics that never put a whole column into one task.
 
 * :func:`exact_quantiles` - the value at rank ``ceil(q * n)`` of each column
-  (ANSI ``percentile_disc``). One scan takes a bracket around the rank from a
-  quantile sketch; a second counts the values below the bracket and those in it,
+  (ANSI ``percentile_disc``). One scan takes a bracket around the rank from a mergeable
+  KLL sketch; a second counts, for all columns at once, the values below the bracket and those in it,
   which proves or disproves the bracket and gives the exact rank.
 * :func:`ordered_cumulative` - running sums over an ordering within groups
   (prefix sums). Rows are range-partitioned by (group, order) and written; each
   written partition is summed locally with a window and shifted by offsets from a table
   with one row per partition and group. A hot group is split across partitions;
-  equal keys stay together, so ties are exact. The plan is the same at every size.
+  equal keys stay together, so ties are exact. The number of ranges is the caller's, by default that of shuffle partitions.
 """
 
 from __future__ import annotations
@@ -48,60 +48,110 @@ def _above(value):
     return -_below(-value)
 
 
+# K of a quantile sketch for each unit of accuracy (8 to 65535 is allowed), the constants of its rank error with 99 %
+# confidence, columns whose places below the bracket share a bit mask, and counted rows that one range of the second scan's table holds.
+K_PER_ACCURACY, K_RANGE = 0.4, (8, 65_535)
+ERROR_SCALE, ERROR_POWER = 2.446, 0.9433
+MASK_COLUMNS = 8
+ROWS_PER_RANGE = 1_000_000
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, extra_aggs: Sequence[Column] = (),
-                    accuracy: int = DEFAULT_ACCURACY) -> tuple[dict[str, object], dict]:
+                    accuracy: int = DEFAULT_ACCURACY, bounds: dict | None = None) -> tuple[dict[str, object], dict]:
     """Exact ``q``-quantile (lower, discrete: rank ``ceil(q * n)``) of each numeric column.
 
-    The first scan (with the caller's ``extra_aggs``) counts values and brackets the rank by the sketch's
-    quantiles two errors of ``accuracy`` below and above. The second scan counts, per value type, the values in the bracket and
-    those below it. If the sketch was off, the counts show it, and that column is read once more in full. NaN sorts last.
+    The first scan (with the caller's ``extra_aggs``) counts values and brackets the rank by a KLL sketch's quantiles below and above
+    it, twice the sketch's error away. ``bounds`` gives brackets ``{column: (low, high)}`` from stored sketches instead
+    (:func:`tabqual.operators.sketches.merged_quantiles`). The second scan counts, for all columns and value types at once, the values of the
+    brackets and those below. If a bracket was off, the counts show it, and that column is read once more in full. NaN sorts last.
 
     Returns ``({column: value}, extra)``; ``None`` for a column with no values.
     """
-    cols, margin = list(columns), 2.0 / accuracy
+    cols, given = list(columns), bounds or {}
+    k = int(min(max(K_PER_ACCURACY * accuracy, K_RANGE[0]), K_RANGE[1]))
+    margin = 2 * ERROR_SCALE / k ** ERROR_POWER
     low, high = max(0.0, q - margin), min(1.0, q + margin)
+    types = {f.name: _value_type(f.dataType) for f in df.schema.fields}
     aggs = list(extra_aggs)
     for i, c in enumerate(cols):
         v = quote(c)
-        aggs += [F.expr(f"count({v}) AS _qn{i}"), F.expr(f"min({v}) AS _qlo{i}"), F.expr(f"max({v}) AS _qhi{i}"),
-                 F.expr(f"percentile_approx({v}, array({low!r}D, {high!r}D), {int(accuracy)}) AS _qb{i}")]
+        aggs += [F.expr(f"count({v}) AS _qn{i}"), F.expr(f"min({v}) AS _qlo{i}"), F.expr(f"max({v}) AS _qhi{i}")]
+        if c not in given:
+            kind = "bigint" if types[c] == "bigint" else "double"
+            sketch = f"kll_sketch_agg_{kind}(CAST({v} AS {kind}), {k})"
+            aggs.append(F.expr(f"CASE WHEN kll_sketch_get_n_{kind}({sketch}) > 0 THEN "
+                               f"kll_sketch_get_quantile_{kind}({sketch}, array({low!r}D, {high!r}D)) END AS _qb{i}"))
     if not aggs:
         return {}, {}
     row = df.agg(*aggs).first().asDict()
     extra = {k: v for k, v in row.items() if not k.startswith("_q")}
-    types = {f.name: _value_type(f.dataType) for f in df.schema.fields}
     ranks = {c: target_rank(q, row[f"_qn{i}"]) for i, c in enumerate(cols) if row[f"_qn{i}"]}
     whole = {c: (row[f"_qlo{i}"], row[f"_qhi{i}"]) for i, c in enumerate(cols)}
     bracket = {}
     for i, c in enumerate(cols):
         if c in ranks:
-            lo, hi = row[f"_qb{i}"]
-            bracket[c] = (whole[c][0] if low == 0.0 else _below(lo), whole[c][1] if high == 1.0 else _above(hi))
+            found = given.get(c) or row.get(f"_qb{i}")
+            lo, hi = (_exactly(x, whole[c][0]) for x in found) if found else whole[c]
+            own = c in given
+            bracket[c] = (whole[c][0] if not found or (low == 0.0 and not own) else _below(lo),
+                          whole[c][1] if not found or (high == 1.0 and not own) else _above(hi))
     result: dict[str, object] = {c: None for c in cols if c not in ranks}
     while len(result) < len(cols):
         left = [c for c in cols if c not in result]
-        for kind in sorted({types[c] for c in left}):
-            result.update(_at_ranks(df, [c for c in left if types[c] == kind], kind, bracket, ranks))
+        result.update(_at_ranks(df, left, types, bracket, ranks))
         bracket = {c: whole[c] for c in left}
     return {c: result[c] for c in cols}, extra
 
 
-def _at_ranks(df: DataFrame, cols: Sequence[str], kind: str, bracket: dict, ranks: dict) -> dict:
-    """Values at the ranks, for the columns whose bracket holds theirs; one scan.
+def _exactly(value, like):
+    """A sketch's value as the column's Python type, so that limits compare without rounding twice."""
+    if isinstance(like, Decimal):
+        return Decimal(value) if math.isfinite(value) else like
+    return int(value) if isinstance(like, int) else float(value)
+
 
-    Values below the bracket are one key (NULL), so what is shuffled is the distinct values of the bracket.
+def _at_ranks(df: DataFrame, cols: Sequence[str], types: dict, bracket: dict, ranks: dict) -> dict:
+    """Values at the ranks, for the columns whose bracket holds theirs; one scan for all of them.
+
+    A row gives one entry for each value inside a bracket, and one bit mask for every ``MASK_COLUMNS`` columns that tells which of its values
+    are below theirs. So the shuffle carries the distinct values of the brackets and a few masks.
     """
+    kinds = list(dict.fromkeys(types[c] for c in cols))
+    slots = [f"v{j}" for j in range(len(kinds))]
+
+    def entry(k: int, mask: Column | None = None, value: Column | None = None, kind: str | None = None) -> Column:
+        own = [(value if kind == t else F.lit(None)).cast(t).alias(s) for s, t in zip(slots, kinds)]
+        return F.struct(F.lit(k).alias("k"), (F.lit(None) if mask is None else mask).cast("int").alias("mask"), *own)
+
     entries = []
-    for i, c in enumerate(cols):
-        v, (lo, hi) = qcol(c).cast(kind), bracket[c]
-        inside = F.when(v >= F.lit(lo).cast(kind), v)
-        entries.append(F.when(v.isNotNull() & (v <= F.lit(hi).cast(kind)), F.struct(F.lit(i).alias("k"), inside.alias("v"))))
+    for at in range(0, len(cols), MASK_COLUMNS):
+        bits = F.lit(0)
+        for bit, c in enumerate(cols[at:at + MASK_COLUMNS]):
+            kind, (lo, hi) = types[c], bracket[c]
+            v, lo, hi = qcol(c).cast(kind), F.lit(lo).cast(kind), F.lit(hi).cast(kind)
+            bits = bits + F.when(v < lo, 1 << bit).otherwise(0)
+            entries.append(F.when((v >= lo) & (v <= hi), entry(at + bit, value=v, kind=kind)))
+        entries.append(entry(-1 - at, mask=bits))
     rows = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")).select("e.*")
-    counted = rows.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
-    reach = ordered_cumulative(counted, ["k"], ["v"], ["n"])
-    want = F.element_at(F.array(*(F.lit(ranks[c]).cast("bigint") for c in cols)), F.col("k") + 1)
-    found = reach.where((F.col("n_cum") >= want) & (F.col("n_cum") - F.col("n") < want)).select("k", "v").collect()
-    return {cols[r["k"]]: r["v"] for r in found if r["v"] is not None}
+    counted = materialize(rows.groupBy("k", "mask", *slots).agg(F.count(F.lit(1)).alias("n")))
+    # one row for each column, and at most 2^MASK_COLUMNS for each group of them
+    sums = counted.groupBy("k", "mask").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("values")).collect()
+    below, inside, size = [0] * len(cols), [0] * len(cols), 0
+    for r in sums:
+        if r["k"] >= 0:
+            inside[r["k"]], size = r["n"], size + r["values"]
+            continue
+        at = -1 - r["k"]
+        for bit in range(min(MASK_COLUMNS, len(cols) - at)):
+            below[at + bit] += r["n"] * (r["mask"] >> bit & 1)
+    want = {i: ranks[c] - below[i] for i, c in enumerate(cols) if 0 < ranks[c] - below[i] <= inside[i]}
+    if not want:
+        return {}
+    held = counted.where(F.col("k").isin(list(want)))
+    reach = ordered_cumulative(held, ["k"], slots, ["n"], buckets=-(-size // ROWS_PER_RANGE))
+    at = F.element_at(F.array(*(F.lit(want.get(i, 0)).cast("bigint") for i in range(len(cols)))), F.col("k") + 1)
+    found = reach.where((F.col("n_cum") >= at) & (F.col("n_cum") - F.col("n") < at)).select("k", *slots).collect()
+    return {cols[r["k"]]: r[slots[kinds.index(types[cols[r["k"]]])]] for r in found}
 
 
 def with_ranges(df: DataFrame, key_cols: Sequence[str], buckets: int | None = None) -> DataFrame:
@@ -123,6 +173,16 @@ def ordered_cumulative(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
     partitions), so totals and running sums agree however often a stage is recomputed.
     """
     groups, order, sums = list(group_cols), list(order_cols), list(sum_cols)
+    if buckets == 1:  # one range: nothing to shift, so the windows are over the groups themselves
+        up, whole = Window.partitionBy(*groups).orderBy(*order), Window.partitionBy(*groups)
+        own = {f"{c}_cum": F.sum(c).over(up) for c in sums}
+        if rank_col:
+            own[rank_col] = F.rank().over(up).cast("bigint")
+        if count_col:
+            own[count_col] = F.count(F.lit(1)).over(whole).cast("bigint")
+        if with_totals:
+            own |= {f"{c}_tot": F.sum(c).over(whole) for c in sums}
+        return df.withColumns(own)
     bucketed = with_ranges(df, groups + order, buckets)
     local_w = Window.partitionBy("_bucket", *groups).orderBy(*order)
     local = bucketed.withColumns({f"{c}_lcum": F.sum(c).over(local_w) for c in sums})

@@ -117,5 +117,23 @@ def test_quantiles_take_two_scans_and_no_single_task(spark, tmp_path, monkeypatc
 
     monkeypatch.setattr(ranking, "ordered_cumulative", spy)
     assert ranking.exact_quantiles(stored, ["id", "x"], 0.5)[0]["id"] == 9999
-    assert len(plans) == 2  # one for each value type, beside the first scan
+    assert len(plans) == 1  # one for all value types, beside the first scan
     assert all("SinglePartition" not in p for p in plans)
+
+
+def test_a_wrong_or_stored_bracket_still_gives_the_exact_quantile(spark):
+    df = spark.range(5000).select(F.col("id"), (F.col("id") * 31 % 977).cast("double").alias("x"), F.col("id").cast("decimal(20,2)").alias("d"),
+                                  F.lit(float("nan")).alias("nan"), F.lit(None).cast("int").alias("none"))
+    want, _ = exact_quantiles(df, df.columns, 0.3)
+    assert want["id"] == 1499 and want["none"] is None and math.isnan(want["nan"])
+    for bounds in ({"id": (-9, -5), "x": (1e9, 2e9)}, {"id": (1400, 1600), "d": (1499.0, 1499.0)}):
+        got, _ = exact_quantiles(df, df.columns, 0.3, bounds=bounds)
+        assert {c: v for c, v in got.items() if c != "nan"} == {c: v for c, v in want.items() if c != "nan"}
+
+
+def test_twenty_columns_of_all_types_in_one_scan(spark):
+    df = spark.range(3000).select(*[(F.col("id") * (i + 3) % 701 - 200).cast(t).alias(f"c{i}")
+                                    for i, t in enumerate(["int", "double", "bigint", "decimal(12,3)", "float"] * 4)])
+    got, _ = exact_quantiles(df, df.columns, 0.7)
+    rows = df.collect()
+    assert all(got[c] == _disc([r[c] for r in rows], 0.7) for c in df.columns)
