@@ -15,13 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabqual.functions.literals import literal_table
 from tabqual.functions.sampling import poisson1_weight_sql
 from tabqual.operators import curate as cu
 from tabqual.operators import evaluate as ev
 from tabqual.operators import features as fe
 from tabqual.operators import profile as pr
 from tabqual.operators import quality as qu
+from tabqual.operators import sketches as sk
 from tabqual.operators import split as sp
+from tabqual.operators.ranking import exact_quantiles
 from tabqual.plans.fixtures import FX1_SQL, FX2_SOURCE_COLUMNS, FX2_SQL, FX3_SQL, fx1, fx2, fx3, table
 from tabqual.plans import derived_sources as ds
 from tabqual.session import materialize, shared_path
@@ -235,6 +238,53 @@ def q_numeric_statistics(spark, sf_dir):
     return stats.withColumns({"mean": F.round("mean", 6), "stddev": F.round("stddev", 6)})
 
 
+def _doc_store(spark, sf_dir):
+    """Documents, and a sketch store that got the largest source last, after the others, and one source twice."""
+    docs = table(spark, sf_dir, "documents")
+    last = docs.groupBy("source").count().orderBy(F.desc("count"), "source").first()["source"]
+    store = shared_path(spark, "document-sketches")
+    early = docs.where(~F.col("source").eqNullSafe(F.lit(last)))
+    sk.update_store(early, store, "source")
+    sk.update_store(docs.where(F.col("source").eqNullSafe(F.lit(last))), store, "source")
+    return docs, sk.read_store(spark, store)
+
+
+_DOC_TYPES = {"doc_id": "bigint", "text": "string", "lang": "string", "n_chars": "bigint"}
+
+
+@register("incremental_inventory", _union_sql([
+    f"SELECT '{c}' AS \"column\", '{t}' AS data_type, CAST(count({c}) AS BIGINT) AS non_null_count, CAST(count(*) - count({c}) AS BIGINT) AS null_count, "
+    f"count({c}) / CAST(count(*) AS DOUBLE) AS fill_rate, CAST(count(DISTINCT {c}) AS BIGINT) AS distinct_exact, true AS distinct_within FROM documents"
+    for c, t in _DOC_TYPES.items()]))
+def q_incremental_inventory(spark, sf_dir):
+    """Inventory merged from the sketches of ingest partitions, against the exact one of the whole table: counts are equal, and
+    distinct counts within four standard deviations of the sketch's error."""
+    docs, profile = _doc_store(spark, sf_dir)
+    merged = sk.merged_inventory(profile)
+    exact = pr.column_inventory(docs.drop("source"), exact=True).select("column", F.col("distinct_count").alias("distinct_exact"))
+    off = F.abs(F.col("distinct_count") - F.col("distinct_exact"))
+    within = (off <= 4 * sk.HLL_ERROR * F.col("distinct_exact") + 1).alias("distinct_within")
+    return merged.join(exact, "column").select("column", "data_type", "non_null_count", "null_count", "fill_rate", "distinct_exact", within)
+
+
+_DOC_PROBABILITIES = (0.15, 0.5, 0.9)
+
+
+@register("incremental_quantiles", _union_sql([
+    f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS probability, CAST(quantile_disc({c}, {p}) AS BIGINT) AS value, true AS bracketed FROM documents"
+    for c in ("doc_id", "n_chars") for p in _DOC_PROBABILITIES]))
+def q_incremental_quantiles(spark, sf_dir):
+    """Exact quantiles whose brackets come from the stored quantile sketches of ingest partitions, with no sketching scan."""
+    docs, profile = _doc_store(spark, sf_dir)
+    bounds = {(r["column"], r["probability"]): (r["low_bound"], r["high_bound"])
+              for r in sk.merged_quantiles(profile, _DOC_PROBABILITIES).collect()}  # a row for each column and probability
+    rows = []
+    for p in _DOC_PROBABILITIES:
+        values, _ = exact_quantiles(docs, ["doc_id", "n_chars"], p, bounds={c: b for (c, q), b in bounds.items() if q == p})
+        rows += [(c, p, v, v is not None and bounds[c, p][0] <= v <= bounds[c, p][1]) for c, v in values.items()]
+    return literal_table(spark, rows, "column string, probability double, value bigint, bracketed boolean")
+
+
 _DOC_STRINGS = ("text", "lang", "source")
 
 
