@@ -28,7 +28,8 @@ from tabqual.llm import tokens
 from tabqual.llm.shared import map_pandas, save
 from tabqual.session import ensure_checkpoint_dir
 
-#: A term: a run of ASCII letters, ASCII digits and characters beyond ASCII. The byte table of ``tokens`` has the same classes.
+#: A term: a run of ASCII letters, ASCII digits and characters beyond ASCII. Terms are cut by the byte table of ``tokens``, which
+#: has the same classes.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOP = 50
 BLOCK = 16
@@ -74,6 +75,15 @@ def _tokenised(texts) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
         yield first, *tokens.words(_LOWER[buf], starts), len(buf)
 
 
+def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Documents with a term, and terms with their repeats, of a task's texts."""
+    docs = terms = 0
+    for pdf in batches:
+        for _, _, first, _ in _tokenised(pdf["text"]):
+            docs, terms = docs + int((np.diff(first) > 0).sum()), terms + int(first[-1])
+    yield pd.DataFrame({"docs": [docs], "terms": [terms]})
+
+
 def _impacts(tf: np.ndarray, m: np.ndarray) -> np.ndarray:
     return (1_000_000_000 * tf) // (1000 * tf + 20 * m)
 
@@ -134,8 +144,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    n = F.regexp_count("text", F.lit(TERM))
-    n_docs, n_terms = rows.agg(F.count_if(n > 0), F.coalesce(F.sum(n.cast("bigint")), F.lit(0))).first()
+    sizes = map_pandas(rows.select("text"), _count, "docs bigint, terms bigint")  # a row for each task
+    n_docs, n_terms = sizes.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("terms"), F.lit(0))).first()
     shards = map_pandas(rows, lambda batches: _build(batches, n_docs, n_terms), SCHEMA)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabqual-llm/index-{uuid.uuid4().hex}"
     shards.write.option("maxRecordsPerFile", SHARDS_PER_FILE).option("compression", "zstd").parquet(path)
