@@ -1,8 +1,9 @@
 """The full quality assessment of one source, as a sequence of Spark jobs.
 
-read -> validate -> curate + partitioned write -> profiles -> label, features,
+read -> curate + partitioned write, observed -> validate -> profiles -> label, features,
 split -> model comparison -> lineage. Reports are small DataFrames written
-as CSV directories; the curated table is read back from its written files,
+as CSV directories. The source is read once, by the job that writes the curated table; validation,
+totals, bands and missing values are observed there. Other reports read the written files,
 so every report sees exactly the rows that were stored.
 """
 
@@ -16,11 +17,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabqual.functions.literals import literal_table
 from tabqual.operators import curate as cu
 from tabqual.operators import features as fe
 from tabqual.operators import models as mo
+from tabqual.operators import observed as ob
 from tabqual.operators import profile as pr
-from tabqual.operators import quality as qu
 from tabqual.operators import split as sp
 from tabqual.session import materialize
 from tabqual.sources import sinks
@@ -40,7 +42,8 @@ def run_assessment(spark: SparkSession, source: DataFrame, out_dir: str, source_
                    cv_parallelism: int = 2) -> AssessmentResult:
     """Assess ``source`` and write curated data and reports below ``out_dir``.
 
-    ``order_cols`` is the per-class split order (it should end in a unique
+    Validation, totals, bands and missing values describe the rows of this run; the other reports
+    describe the curated table. ``order_cols`` is the per-class split order (it should end in a unique
     key); without it a stored surrogate ``event_order`` id is used.
     """
     run_id = uuid.uuid4().hex[:12]
@@ -54,22 +57,23 @@ def run_assessment(spark: SparkSession, source: DataFrame, out_dir: str, source_
         reports[name] = path
 
     try:
-        validation_df = qu.ingestion_validation(source)
-        validation = qu.assert_valid(validation_df)
-        report("ingestion_validation", validation_df)
-        sinks.log_lineage(spark, lineage, run_id, "validate", "ok", validation)
-
         curated_path = os.path.join(out_dir, "curated")
-        sinks.write_partitioned_parquet(cu.curate(source, run_ts=run_ts), curated_path)
+        laid_out = cu.layout_for_write(cu.curate(source, run_ts=run_ts))
+        # the one scan of the source: validation, totals, bands and missing values are observed on the rows written
+        seen = ob.write_observed(laid_out, lambda df: sinks.write_partitioned_parquet(df, curated_path, layout=None), source.columns)
+        validation = seen.assert_valid()
+        report("ingestion_validation", seen.validation())
+        sinks.log_lineage(spark, lineage, run_id, "validate", "ok", validation)
         curated = spark.read.parquet(curated_path)
         sinks.log_lineage(spark, lineage, run_id, "transform", "ok", {"output": curated_path})
 
-        report("summary_totals", pr.summary_totals(curated))
-        report("dataset_profile", pr.dataset_profile(curated, source_name))
+        report("summary_totals", seen.totals())
+        report("dataset_profile", literal_table(spark, [(seen.rows, len(laid_out.columns), source_name)],
+                                                "total_records bigint, total_columns int, source_url string"))
         if "geometry_type" in curated.columns:
             report("geometry_distribution", pr.group_count_desc(curated, "geometry_type"))
-        report("quality_band_distribution", pr.group_count_desc(curated, "quality_band"))
-        report("null_profile", pr.null_profile(curated))
+        report("quality_band_distribution", seen.band_distribution())
+        report("null_profile", seen.null_profile())
         report("column_inventory", pr.column_inventory(curated))
         report("numeric_statistics", pr.numeric_statistics(curated))
         report("top_values_by_column", pr.top_values(curated))

@@ -20,6 +20,7 @@ from tabqual.functions.sampling import poisson1_weight_sql
 from tabqual.operators import curate as cu
 from tabqual.operators import evaluate as ev
 from tabqual.operators import features as fe
+from tabqual.operators import observed as ob
 from tabqual.operators import profile as pr
 from tabqual.operators import quality as qu
 from tabqual.operators import sketches as sk
@@ -29,6 +30,7 @@ from tabqual.plans.fixtures import FX1_SQL, FX2_SOURCE_COLUMNS, FX2_SQL, FX3_SQL
 from tabqual.plans import derived_sources as ds
 from tabqual.session import materialize, shared_path
 from tabqual.sources import readers as rd
+from tabqual.sources import sinks
 from tabqual.sources import structural
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -285,6 +287,38 @@ def q_incremental_quantiles(spark, sf_dir):
     return literal_table(spark, rows, "column string, probability double, value bigint, bracketed boolean")
 
 
+_HOLED_DOCS = ("doc_id", "CASE WHEN doc_id % 7 = 0 THEN NULL ELSE lang END AS lang", "CASE WHEN doc_id % 5 = 0 THEN '  ' ELSE source END AS source",
+               "CASE WHEN doc_id % 11 < 4 THEN NULL ELSE n_chars END AS n_chars", "text")
+_HOLED = ("doc_id", "lang", "source", "n_chars", "text")
+
+
+@register("observed_curation", f"""
+WITH h AS (SELECT {", ".join(_HOLED_DOCS)} FROM documents),
+s AS (SELECT *, CAST({" + ".join(_present_sql(c) for c in _HOLED)} AS DOUBLE) / 5.0 AS r FROM h)
+SELECT 'rows' AS metric, '' AS name, CAST(count(*) AS DOUBLE) AS value FROM s
+UNION ALL SELECT 'empty_rows', '', CAST(count_if(r = 0) AS DOUBLE) FROM s
+UNION ALL SELECT 'avg_completeness', '', round(avg(r), 9) FROM s
+UNION ALL SELECT 'band', {_band_sql('r')}, CAST(count(*) AS DOUBLE) FROM s GROUP BY 2
+UNION ALL {" UNION ALL ".join(f"SELECT 'missing', '{c}', CAST(count_if({_missing_sql(c)}) AS DOUBLE) FROM s" for c in _HOLED)}""")
+def q_observed_curation(spark, sf_dir):
+    """Validation, totals, bands and missing values of a curated table, observed by the job that writes it."""
+    source = table(spark, sf_dir, "documents").selectExpr(*_HOLED_DOCS)
+    curated = cu.layout_for_write(cu.curate(source, run_ts=RUN_TS, with_name_length=False))
+    path = shared_path(spark, "observed")
+    seen = ob.write_observed(curated, lambda df: sinks.write_partitioned_parquet(df, path, layout=None), _HOLED)
+    named = lambda metric, df, name, value: df.select(
+        F.lit(metric).alias("metric"), name.alias("name"), value.cast("double").alias("value"))
+    parts = [named("rows", seen.validation(), F.lit(""), F.col("total_rows")),
+             named("empty_rows", seen.validation(), F.lit(""), F.col("completely_empty_rows")),
+             named("avg_completeness", seen.totals(), F.lit(""), F.round("avg_completeness", 9)),
+             named("band", seen.band_distribution(), F.col("quality_band"), F.col("records")),
+             named("missing", seen.null_profile().where(F.col("column").isin(*_HOLED)), F.col("column"), F.col("null_count"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 _DOC_STRINGS = ("text", "lang", "source")
 
 
@@ -345,7 +379,6 @@ SELECT CAST(year(event_ts) AS INTEGER) AS ingest_year, CAST(month(event_ts) AS I
 FROM r GROUP BY 1, 2""")
 def q_curated_roundtrip(spark, sf_dir):
     """Curate, write partitioned by event year/month, read back with partition discovery."""
-    from tabqual.sources import sinks
     cur = cu.curate(fx2(spark, sf_dir), columns=_SRC, time_col="event_ts")
     path = shared_path(spark, "curated")
     sinks.write_partitioned_parquet(cur, path, ("ingest_year", "ingest_month"))
@@ -818,7 +851,6 @@ def q_unknown_fill(spark, sf_dir):
 @register("report_csv_roundtrip", "SELECT event_type, CAST(count(*) AS BIGINT) AS records FROM events GROUP BY event_type")
 def q_report_csv(spark, sf_dir):
     """A report written as CSV and read back."""
-    from tabqual.sources import sinks
     path = shared_path(spark, "report")
     sinks.write_report_csv(pr.group_count_desc(table(spark, sf_dir, "events"), "event_type"), path)
     return rd.read_csv(spark, path, schema="event_type string, records bigint")
@@ -826,7 +858,6 @@ def q_report_csv(spark, sf_dir):
 
 @register("plain_parquet_roundtrip", "SELECT * FROM customer")
 def q_plain_parquet(spark, sf_dir):
-    from tabqual.sources import sinks
     path = shared_path(spark, "customer")
     sinks.write_parquet(table(spark, sf_dir, "customer"), path)
     return rd.read_parquet(spark, path)
@@ -891,7 +922,6 @@ def q_model_comparison(spark, sf_dir):
     from pyspark.ml import PipelineModel
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from tabqual.operators import models as mo
-    from tabqual.sources import sinks
     test, trained = _trained(spark, sf_dir, mo.MODEL_NAMES)
     evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
     rows = []

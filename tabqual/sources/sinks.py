@@ -22,10 +22,10 @@ from tabqual.operators.curate import layout_for_write
 
 def write_partitioned_parquet(df: DataFrame, path: str,
                               partition_cols: Sequence[str] = ("ingest_year", "ingest_month"),
-                              layout: str = "rebalance", mode: str = "overwrite") -> None:
+                              layout: str | None = "rebalance", mode: str = "overwrite") -> None:
     """Partitioned Parquet; with ``overwrite`` only the partitions present are replaced
-    (a per-write option, so concurrent jobs of the session are unaffected)."""
-    (layout_for_write(df, partition_cols, method=layout)
+    (a per-write option, so concurrent jobs of the session are unaffected). ``layout=None``: rows are laid out already."""
+    ((layout_for_write(df, partition_cols, method=layout) if layout else df)
         .write.mode(mode).option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols).parquet(path))
 
