@@ -67,24 +67,38 @@ def lineage_record(spark: SparkSession, run_id: str, step: str, status: str,
 
 
 def log_lineage(spark: SparkSession, path: str, run_id: str, step: str, status: str,
-                details: Mapping[str, object] | None = None) -> None:
-    """Append one step record (JSON lines); runs are told apart by ``run_id``."""
-    lineage_record(spark, run_id, step, status, details).write.mode("append").json(path)
+                details: Mapping[str, object] | None = None, attempt: int = 0, at: dt.datetime | None = None) -> None:
+    """Record one step of a run; see :func:`upsert_lineage`."""
+    upsert_lineage(lineage_record(spark, run_id, step, status, details, at), path, attempt)
+
+
+def upsert_lineage(records: DataFrame, path: str, attempt: int = 0) -> None:
+    """Store step records (``LINEAGE_SCHEMA``; any number for each run and step), as those of attempt ``attempt``.
+
+    Run, step and attempt are the key: storing an attempt again replaces its records, so a retried write adds nothing. Files are
+    staged by Spark and come into place when the write commits; every record says how many its run, step and attempt have, and readers pass over
+    an attempt that lacks some.
+    """
+    sizes = records.groupBy("run_id", "step").agg(F.count(F.lit(1)).alias("records"))
+    keyed = records.join(sizes, ["run_id", "step"]).withColumn("attempt", F.lit(attempt))
+    (keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "step", "attempt").parquet(path))
 
 
 def read_lineage(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LINEAGE_SCHEMA).json(path)
+    """The records of every run and step, by its last whole attempt: a late write of an earlier attempt changes nothing."""
+    stored = T.StructType(LINEAGE_SCHEMA.fields + [T.StructField("records", T.LongType()), T.StructField("attempt", T.IntegerType())])
+    rows = spark.read.schema(stored).parquet(path)
+    whole = rows.groupBy("run_id", "step", "attempt").agg((F.count(F.lit(1)) == F.max("records")).alias("whole")).where("whole")
+    last = whole.groupBy("run_id", "step").agg(F.max("attempt").alias("attempt"))
+    return rows.join(last, ["run_id", "step", "attempt"], "left_semi").select(*LINEAGE_SCHEMA.fieldNames(), "attempt")
 
 
 def lineage_status(lineage: DataFrame) -> DataFrame:
-    """Latest status per (run, step) and the run's overall outcome."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("run_id", "step").orderBy(F.desc("timestamp_utc"))
-    latest = lineage.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    return latest.groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("steps"),
-        F.sum(F.when(F.col("status") != "ok", 1).otherwise(0)).alias("failed_steps"),
-        F.max("timestamp_utc").alias("last_update"))
+    """Number of steps of every run, those with a record that is not ``ok``, and the time of the last record."""
+    steps = lineage.groupBy("run_id", "step").agg(F.max((F.col("status") != "ok").cast("int")).alias("failed"),
+                                                  F.max("timestamp_utc").alias("at"))
+    return steps.groupBy("run_id").agg(F.count(F.lit(1)).alias("steps"), F.sum("failed").cast("bigint").alias("failed_steps"),
+                                       F.max("at").alias("last_update"))
 
 
 def save_model(model, path: str) -> None:

@@ -41,3 +41,19 @@ def test_scale_conf_follows_input_size(spark):
     assert small["spark.sql.shuffle.partitions"] == "24"
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // TARGET_PARTITION_BYTES
     assert input_bytes(spark, "/root/testdata/sf0.01/lineitem.parquet") > 1_000_000
+
+
+def test_a_repeated_lineage_write_adds_nothing_and_the_last_whole_attempt_counts(spark, tmp_path):
+    path = str(tmp_path / "lineage")
+    for _ in range(2):
+        sinks.log_lineage(spark, path, "12", "write step", "error", {"message": "x"})
+    sinks.log_lineage(spark, path, "12", "write step", "ok", attempt=1)
+    sinks.log_lineage(spark, path, "12", "write step", "error")  # comes in late
+    got = sinks.read_lineage(spark, path).collect()
+    assert [(r["run_id"], r["step"], r["status"], r["attempt"]) for r in got] == [("12", "write step", "ok", 1)]
+    two = sinks.lineage_record(spark, "12", "write step", "ok").unionByName(sinks.lineage_record(spark, "12", "write step", "error"))
+    sinks.upsert_lineage(two, path, attempt=2)
+    assert sinks.lineage_status(sinks.read_lineage(spark, path)).first()[:3] == ("12", 1, 1)
+    lost = two.limit(1).selectExpr("status", "timestamp_utc", "details", "2L AS records", "run_id", "step", "3 AS attempt")
+    lost.write.mode("append").partitionBy("run_id", "step", "attempt").parquet(path)  # one record of two
+    assert {r["attempt"] for r in sinks.read_lineage(spark, path).collect()} == {2}
