@@ -20,15 +20,17 @@ from tabqual.functions.sampling import poisson1_weight_sql
 from tabqual.operators import curate as cu
 from tabqual.operators import evaluate as ev
 from tabqual.operators import features as fe
+from tabqual.operators import incremental as inc
 from tabqual.operators import observed as ob
 from tabqual.operators import profile as pr
 from tabqual.operators import quality as qu
 from tabqual.operators import sketches as sk
 from tabqual.operators import split as sp
+from tabqual.operators import stored_join as sj
 from tabqual.operators.ranking import exact_quantiles
 from tabqual.plans.fixtures import FX1_SQL, FX2_SOURCE_COLUMNS, FX2_SQL, FX3_SQL, fx1, fx2, fx3, table
 from tabqual.plans import derived_sources as ds
-from tabqual.session import materialize, shared_path
+from tabqual.session import materialize, shared_path, shuffle_partitions
 from tabqual.sources import readers as rd
 from tabqual.sources import sinks
 from tabqual.sources import structural
@@ -886,6 +888,86 @@ def q_strategy_equal(spark, sf_dir):
     return both.select("quality_band", F.col("broadcast").alias("records"), equal.alias("equal"))
 
 
+# --------------------------------------------------------------------------- stored tables
+
+_DOC_PROFILE = ("text", "lang", "source", "n_chars")
+
+
+@register("incremental_curation", f"""
+WITH s AS (SELECT *, CAST({" + ".join(_present_sql(c) for c in _DOC_PROFILE)} AS DOUBLE) / 4.0 AS completeness_ratio FROM documents)
+SELECT doc_id, lang, source, completeness_ratio, {_band_sql("completeness_ratio")} AS quality_band,
+  lang IS NULL OR lang IN ('es', 'fr') AS rewritten FROM s""")
+def q_incremental_curation(spark, sf_dir):
+    """Documents curated by language, then again after one language has come in, one has changed and one has gone.
+
+    ``rewritten``: the row's file was not there before the second run. Rows without a language change too.
+    """
+    docs = table(spark, sf_dir, "documents")
+    gone = docs.where("lang = 'en'").withColumn("lang", F.lit("gone"))
+    before = (docs.where("lang IS NULL OR lang <> 'es'")
+                  .withColumn("n_chars", F.expr("CASE WHEN lang IS NULL OR lang = 'fr' THEN n_chars + 1 ELSE n_chars END")).unionByName(gone))
+    folder = shared_path(spark, "incremental")
+
+    def curated(rows):
+        profiled = qu.add_row_profile(rows, list(_DOC_PROFILE), with_name_length=False)
+        return qu.assign_band(profiled).drop("text")
+
+    inc.write_changed(before, folder, ["lang"], curated)
+    inc.write_changed(docs, folder, ["lang"], curated)
+    files = inc.read_snapshot(spark, folder, run=1, file_col="file").select(F.col("file").alias("old")).distinct()
+    now = inc.read_snapshot(spark, folder, file_col="file")
+    return now.join(files, F.col("file") == F.col("old"), "left").select(
+        "doc_id", "lang", "source", "completeness_ratio", "quality_band", F.col("old").isNull().alias("rewritten"))
+
+
+@register("stored_join", """
+SELECT d.doc_id, d.lang, d.source, d.n_chars, coalesce(l.quality, -1) AS quality, coalesce(l.toxic, -1) AS toxic
+FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def q_stored_join(spark, sf_dir):
+    """Documents and their labels, both stored in buckets of the id: the join itself has no exchange."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    layout = sj.plan_layout(docs, ["doc_id"], shuffle_partitions(spark))
+    labels = sj.store_replicated(table(spark, sf_dir, "labels"), layout)
+    joined = sj.join_stored(sj.store_spread(docs, layout), labels, layout, "left")
+    return joined.select("doc_id", "lang", "source", "n_chars", *[F.coalesce(c, F.lit(-1)).alias(c) for c in ("quality", "toxic")])
+
+
+@register("stored_join_hot", """
+SELECT d.doc_id, d.source, coalesce(s.docs, 0) AS docs, coalesce(s.chars, 0) AS chars FROM documents d
+LEFT JOIN (SELECT source, CAST(count(*) AS BIGINT) AS docs, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY source) s USING (source)""")
+def q_stored_join_hot(spark, sf_dir):
+    """Documents and the totals of their source, stored in buckets of source and salt: a hot source fills many buckets."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    layout = sj.plan_layout(docs, ["source"], shuffle_partitions(spark))
+    totals = docs.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_chars").alias("chars"))
+    joined = sj.join_stored(sj.store_spread(docs, layout), sj.store_replicated(totals, layout), layout, "left")
+    return joined.select("doc_id", "source", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("docs", "chars")])
+
+
+@register("lineage_runs", """
+WITH s AS (SELECT coalesce(source, '') AS source, count(*) AS n FROM documents GROUP BY 1)
+SELECT run_id, step, source AS part, 'ok' AS status, CAST(n AS BIGINT) AS records, CAST(attempt AS INTEGER) AS attempt
+FROM s, (VALUES ('first', 'read', 0), ('first', 'write', 1), ('second', 'read', 0)) r(run_id, step, attempt)""")
+def q_lineage_runs(spark, sf_dir):
+    """Lineage of two runs by source: a step that failed and was tried again, a write stored twice, a late record of the failed attempt."""
+    docs, path = table(spark, sf_dir, "documents"), shared_path(spark, "lineage")
+    counts = materialize(docs.groupBy(F.coalesce("source", F.lit("")).alias("part")).agg(F.count(F.lit(1)).alias("n")))
+
+    def records(run: str, step: str, status: str = "ok") -> DataFrame:
+        details = F.create_map(F.lit("part"), "part", F.lit("records"), F.col("n").cast("string"))
+        return counts.select(F.lit(run).alias("run_id"), F.lit(step).alias("step"), F.lit(status).alias("status"),
+                             F.lit(RUN_TS).cast("timestamp").alias("timestamp_utc"), details.alias("details"))
+
+    sinks.upsert_lineage(records("first", "read"), path)
+    sinks.upsert_lineage(records("first", "write", "error"), path)
+    for _ in range(2):
+        sinks.upsert_lineage(records("first", "write"), path, attempt=1)
+    sinks.upsert_lineage(records("first", "write", "late"), path)
+    sinks.upsert_lineage(records("second", "read"), path)
+    return sinks.read_lineage(spark, path).select("run_id", "step", F.col("details")["part"].alias("part"), "status",
+                                                  F.col("details")["records"].cast("bigint").alias("records"), "attempt")
+
+
 # --------------------------------------------------------------------------- models
 
 _MODEL_FEATURES = ["lang", "source"], ["n_chars"]
