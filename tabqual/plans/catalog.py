@@ -31,6 +31,7 @@ from tabqual.operators.ranking import exact_quantiles
 from tabqual.plans.fixtures import FX1_SQL, FX2_SOURCE_COLUMNS, FX2_SQL, FX3_SQL, fx1, fx2, fx3, table
 from tabqual.plans import derived_sources as ds
 from tabqual.session import materialize, shared_path, shuffle_partitions
+from tabqual.sources import drift
 from tabqual.sources import readers as rd
 from tabqual.sources import sinks
 from tabqual.sources import structural
@@ -944,6 +945,19 @@ def q_stored_join_hot(spark, sf_dir):
     return joined.select("doc_id", "source", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("docs", "chars")])
 
 
+@register("drifting_json", """
+SELECT doc_id, source, CASE WHEN doc_id % 3 = 1 THEN concat('n', n_chars) ELSE CAST(n_chars AS VARCHAR) END AS n_chars,
+  CASE WHEN doc_id % 3 = 2 THEN lang END AS lang, text FROM documents""")
+def q_drifting_json(spark, sf_dir):
+    """Documents written as JSON lines in three deliveries: numbers, then texts in the same field, then one field more."""
+    docs, folder = table(spark, sf_dir, "documents"), shared_path(spark, "drifting")
+    one = docs.where("doc_id % 3 = 0").select("doc_id", "source", "n_chars", "text")
+    two = docs.where("doc_id % 3 = 1").select("doc_id", "source", F.concat(F.lit("n"), F.col("n_chars").cast("string")).alias("n_chars"), "text")
+    for part in (one, two, docs.where("doc_id % 3 = 2")):
+        part.write.mode("append").json(folder)
+    return drift.read_drifting_json(spark, folder).rows.select("doc_id", "source", "n_chars", "lang", "text")
+
+
 @register("lineage_runs", """
 WITH s AS (SELECT coalesce(source, '') AS source, count(*) AS n FROM documents GROUP BY 1)
 SELECT run_id, step, source AS part, 'ok' AS status, CAST(n AS BIGINT) AS records, CAST(attempt AS INTEGER) AS attempt
