@@ -43,13 +43,18 @@ FAMILIES = {
 }
 _FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes}
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER_OR_NUMBER = re.compile(r"[^\W\d_]")
 _TO_SPACE = np.arange(256, dtype=np.uint8)
 _TO_SPACE[:128] = 32
 for _c in range(ord("a"), ord("z") + 1):
     _TO_SPACE[_c] = _c
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character has a Unicode category of letters; number characters such as ½, ² and Ⅷ have not."""
+    return any(m[0].isalpha() for m in _LETTER_OR_NUMBER.finditer(text))
+
+
 def family_of(lang: str) -> str:
     return _FAMILY_OF.get(lang.lower().split("-")[0].split("_")[0], lang)
 
@@ -176,7 +181,7 @@ def learn(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            b = b[b["text"].map(lambda t: bool(_LETTER.search(t)))]
+            b = b[b["text"].map(has_letter)]
             texts, langs = [], []
             for t, lang in zip(b["text"], b["lang"]):
                 own = _pieces(t)
@@ -200,7 +205,7 @@ def learn(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
 
 
 def _lettered(texts) -> np.ndarray:
-    return np.array([isinstance(t, str) and bool(_LETTER.search(t)) for t in texts], bool)
+    return np.array([isinstance(t, str) and has_letter(t) for t in texts], bool)
 
 
 def predict_texts(model: LanguageModel | None, texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
