@@ -67,9 +67,9 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Toxicity score of every document, learned from the labels that are not held out."""
+    """Toxicity score of every document, learned from the labels that are not held out; so are the machines that tell its language."""
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    tongues = language.learn(docs, F.lit(True), sample_per_language=300)
+    tongues = language.learn(docs, crc_mod("doc_id", 3) != 1, sample_per_language=300)
     known = labels.filter(crc_mod("doc_id", 3) != 1).select("doc_id", "toxic")
     model = toxicity.learn(docs, known, languages=tongues)
     tagged = docs.select(F.struct("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out")).alias("row"), "text")
