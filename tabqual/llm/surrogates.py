@@ -255,7 +255,8 @@ def find_entities(docs: DataFrame, key_col: str, text_col: str) -> DataFrame:
 
 def replace_entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = KEY,
                      count_col: str = "n_entities", shared_redraws: int = SHARED_REDRAWS) -> DataFrame:
-    """``docs`` with surrogates in the text and the number of replaced entities in ``count_col`` (appended).
+    """``docs`` with surrogates in the text and the number of replaced entities in ``count_col`` (appended; with
+    underscores after it where ``docs`` has such a column).
 
     A surrogate follows from the key and the entity, so tasks only need to be told the few entities that were drawn
     again: as a shared table of ``shared_redraws`` entries at most, or else joined to the texts that hold them.
@@ -263,7 +264,7 @@ def replace_entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Texts without entities, NULL and empty texts stay as they are, with a count of 0. Equal texts get equal results, so
     repeated rows and NULL ids need no special care; an empty table stays empty. Other columns stay as they are.
     """
-    doc_key, redraws_col = fresh_name(docs, "text_key"), fresh_name(docs, "redraws")
+    doc_key, redraws_col, count_col = (fresh_name(docs, c) for c in ("text_key", "redraws", count_col))
     keyed = docs.withColumn(doc_key, F.coalesce(F.md5(text_col), F.lit("")))
     found = save(find_entities(keyed, doc_key, text_col), "entities")
     redrawn = assign(found.select("kind", "value").distinct(), key).filter("attempt > 0").select("kind", "value", "attempt")

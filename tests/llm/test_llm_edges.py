@@ -171,3 +171,24 @@ def test_library_works_without_the_subpackage(tmp_path):
     shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; n = list(e.queries()); assert 'top_values' in n and not any(x.startswith('op1') for x in n)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=120, env={**os.environ, "PYTHONPATH": ""})
+
+
+def test_number_characters_are_no_letters(spark, odd, model):
+    rows = spark.createDataFrame([(1, "½ ²"), (2, "Ⅷ ① 12 _ …"), (3, "½ é"), (4, "山"), (5, "ʰ")], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(rows, model).collect()}
+    assert {i for i, v in got.items() if v == "und"} == {1, 2}
+    assert {r["doc_id"] for r in language.drop_unknown(rows, model).collect()} == {3, 4, 5}
+
+
+def test_surrogates_keep_a_column_named_like_their_count(spark):
+    rows = spark.createDataFrame([(1, "Mail ann.lee@site.example.com", "own", 7, 8)],
+                                 "doc_id long, text string, n_entities string, text_key int, Redraws int")
+    out = surrogates.replace_entities(rows).collect()[0]
+    assert out["n_entities"] == "own" and out["n_entities_"] == 1 and (out["text_key"], out["Redraws"]) == (7, 8)
+    assert "ann.lee" not in out["text"]
+
+
+def test_toxicity_ignores_columns_of_its_own_names(spark, odd, wide):
+    flat = toxicity.learn(odd, odd.select("doc_id", F.lit(0).alias("y")), label_col="y")
+    plain = sorted(map(repr, toxicity.score(odd, flat).collect()))
+    assert sorted(map(repr, toxicity.score(wide, flat).collect())) == plain
