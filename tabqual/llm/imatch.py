@@ -1,8 +1,9 @@
 """Document fingerprints by I-Match with randomised lexicons, in DataFrame functions only.
 
-Terms are hashed to a fixed number of buckets. Document frequencies of all buckets are counted over the whole corpus,
-and the lexicon is the set of buckets within a band of inverse document frequency: its size is bounded, whatever the
-vocabulary. A text keeps the distinct terms of the lexicon, sorted; it is hashed under several random subsets of the
+Document frequencies of all terms (told apart by 64-bit hashes) are counted over the whole corpus, and the lexicon is the set of
+terms within a band of inverse document frequency: of N texts, a term of the lexicon is in about N^0.5 to N^0.85. As no term of it is
+in fewer than N^0.5 texts, the lexicon has at most (distinct terms of a text, in the mean) * N^0.5 terms, whatever the vocabulary.
+A text keeps the distinct terms of the lexicon, sorted; it is hashed under several random subsets of the
 lexicon: eight disjoint parts of it, each at rates of 1, 1/4, 1/16, ..., besides the whole lexicon. A hash under a
 subset with few of the text's terms survives edits elsewhere, and the rates give such a subset to short and long texts.
 
@@ -13,7 +14,9 @@ with n terms weighing 1/n^2.
 
 from __future__ import annotations
 
+import json
 import math
+from collections.abc import Callable
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -23,32 +26,39 @@ from pyspark.sql.window import Window as W
 from tabqual.llm.shared import save
 from tabqual.session import shuffle_partitions
 
-BUCKET_BITS = 18
 #: The lexicon's band, as shares of the largest possible inverse document frequency ln N.
-BAND = (0.08, 0.97)
+BAND = (0.15, 0.5)
 PARTS = 8
 RATES = 5
 EMPTY_SLOT = "-"
 
 
-def term_buckets(text: Column) -> Column:
+def term_hashes(text: Column) -> Column:
     """Distinct hashed terms: lower-cased runs of other characters than white space and ASCII punctuation."""
-    terms = F.array_distinct(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\s\p{Punct}]+"), lambda t: t != ""))
-    return F.array_distinct(F.transform(terms, lambda t: F.pmod(F.xxhash64(t), F.lit(1 << BUCKET_BITS)).cast("int")))
+    terms = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\s\p{Punct}]+"), lambda t: t != "")
+    return F.array_distinct(F.transform(terms, lambda t: F.xxhash64(t)))
+
+
+def frequency_band(n: int, band=BAND) -> tuple[int, int]:
+    """Smallest and largest document frequency of the lexicon among ``n`` texts: the band's ends, rounded outwards."""
+    return math.floor(n ** (1 - band[1])), math.ceil(n ** (1 - band[0]))
 
 
 def lexicon(docs: DataFrame, text_col: str = "text", band=BAND) -> list[int]:
-    """Bitmap (64 buckets to a number) of the buckets whose idf lies in the band, over all rows of ``docs``."""
-    n = docs.count()
-    counts = docs.select(F.explode(term_buckets(F.col(text_col))).alias("b")).groupBy("b").agg(F.count("*").alias("df"))
-    low, high = (n ** (1 - share) for share in (band[1], band[0]))  # df for the largest and the smallest idf
-    kept = counts.filter((F.col("df") >= math.floor(low)) & (F.col("df") <= max(1.0, high)))
-    words = kept.groupBy((F.col("b") / 64).cast("int").alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, b % 64)")).alias("bits")).collect()  # at most 2^18 / 64 rows
-    out = [0] * ((1 << BUCKET_BITS) // 64)
-    for r in words:
-        out[r["word"]] = r["bits"]
-    return out
+    """Sorted hashes of the terms whose idf lies in the band, over all rows of ``docs``."""
+    low, high = frequency_band(docs.count(), band)
+    counts = docs.select(F.explode(term_hashes(F.col(text_col))).alias("h")).groupBy("h").agg(F.count("*").alias("df"))
+    return sorted(r["h"] for r in counts.filter(F.col("df").between(low, high)).select("h").collect())
+
+
+def _in_lexicon(terms: list[int]) -> Callable[[Column], Column]:
+    """Whether a hash is one of ``terms``: these are a constant of the plan, dealt out to as many cells by their low bits."""
+    bits = max(0, len(terms) - 1).bit_length()
+    cells: list[list[int]] = [[] for _ in range(1 << bits)]
+    for t in terms:
+        cells[t & ((1 << bits) - 1)].append(t)
+    table = F.from_json(F.lit(json.dumps(cells)), "array<array<bigint>>")
+    return lambda h: F.array_contains(F.element_at(table, (h.bitwiseAND(F.lit((1 << bits) - 1)) + 1).cast("int")), h)
 
 
 def _slot(codes: Column) -> Column:
@@ -72,12 +82,9 @@ def _all_slots(codes: Column) -> Column:
     return F.concat(F.array(_slot(codes)), F.flatten(F.transform(parts, lambda p: F.transform(_rates(p), _slot))))
 
 
-def slots(text: Column, bitmap: list[int]) -> Column:
+def slots(text: Column, terms: list[int]) -> Column:
     """The text's slots, an array of strings. The sorted codes are bound once, as the variable of a lambda."""
-    words = F.array(*(F.lit(v).cast("bigint") for v in bitmap))
-    kept = F.filter(term_buckets(text), lambda b: F.getbit(F.element_at(words, F.call_function("shiftright", b, F.lit(6)) + 1),
-                                                           b.bitwiseAND(F.lit(63))) == 1)
-    codes = F.array_sort(F.transform(kept, lambda b: F.xxhash64(b)))
+    codes = F.array_sort(F.filter(term_hashes(text), _in_lexicon(terms)))
     return F.element_at(F.transform(F.array(codes), _all_slots), 1)
 
 
@@ -97,30 +104,32 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).otherwise(total)
 
 
-def with_next(docs: DataFrame, order: str, tie: str, carried: list[str], out: str) -> DataFrame:
-    """``docs`` with a struct of the ``carried`` columns of the next row in ``out``; after the last row comes the first.
+def with_next(docs: DataFrame, order: str, tie: str, derived: dict[str, Column], carried: list[str], out: str) -> DataFrame:
+    """``docs`` with the ``derived`` columns, and a struct of the ``carried`` columns of the next row in ``out``.
 
-    Rows are ordered by ``order`` (numeric, NULLs last), then ``tie``. They are dealt to ranges of ``order`` cut at its
-    percentiles, one for each shuffle partition; within a range a window finds the next row, and the
-    first row of each range serves the last one of the range before.
+    Rows are ordered by ``order`` (numeric, NULLs last), then ``tie`` (hex digits); after the last row comes the first. They are
+    dealt to ranges of ``order`` cut at its percentiles, one for each shuffle partition, and those without ``order`` to as many
+    ranges of ``tie``; within a range a window finds the next row, and the first row of each range serves the last one of the range
+    before. ``derived`` columns are computed once for each row, before it is moved.
     """
     n = shuffle_partitions(docs.sparkSession)
     cuts = docs.agg(F.percentile_approx(F.col(order).cast("double"), [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0]
     splits = [-math.inf, *sorted(set(cuts or [0.0])), math.inf]
     rows = Bucketizer(splits=splits, inputCol="_at", outputCol="_range", handleInvalid="keep").transform(
         docs.withColumn("_at", F.col(order).cast("double"))).drop("_at")
-    rows = rows.withColumn("_range", F.col("_range").cast("int"))
+    of_tie = F.floor(F.conv(F.substring(tie, 1, 2), 16, 10).cast("int") * n / 256)
+    rows = rows.withColumn("_range", F.when(F.col(order).isNull(), len(splits) + of_tie).otherwise(F.col("_range")).cast("int"))
     place = F.struct(F.col(order).isNull().alias("none"), F.col(order).alias("order"), F.col(tie).alias("tie"))
     firsts = rows.select("_range", place.alias("place")).groupBy("_range").agg(F.min("place").alias("place"))
     # one row for each range
     following = F.coalesce(F.lead("place").over(W.orderBy("_range")), F.first("place").over(
         W.orderBy("_range").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
     firsts = save(firsts.withColumn("following", following), "firsts")
-    heads = rows.select(place.alias("place"), F.struct(*carried).alias("head")).join(
-        F.broadcast(firsts.select("place")), "place", "left_semi").dropDuplicates(["place"])
+    heads = rows.withColumn("place", place).join(F.broadcast(firsts.select("place")), "place", "left_semi")
+    heads = heads.dropDuplicates(["place"]).withColumns(derived).select("place", F.struct(*carried).alias("head"))
     heads = firsts.select(F.col("_range").alias("_own"), F.col("following").alias("place")).join(heads, "place").drop("place")
     up = W.partitionBy("_range").orderBy(F.col(order).asc_nulls_last(), tie)
-    rows = rows.withColumn("_next", F.lead(F.struct(*carried)).over(up))
+    rows = rows.withColumns(derived).withColumn("_next", F.lead(F.struct(*carried)).over(up))
     rows = rows.join(heads, (F.col("_range") == F.col("_own")) & F.col("_next").isNull(), "left")
     return rows.withColumn(out, F.coalesce("_next", "head")).drop("_next", "head", "_range", "_own")
 
@@ -131,9 +140,9 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - quarter), F.substring(following, F.lit(1), quarter))
 
 
-def fingerprints(docs: DataFrame, bitmap: list[int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, terms: list[int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, fingerprint)`` for every row; NULL counts as empty, and texts without terms of the lexicon are all alike."""
-    return docs.select(id_col, F.array_join(slots(F.col(text_col), bitmap), ".").alias("fingerprint"))
+    return docs.select(id_col, F.array_join(slots(F.col(text_col), terms), ".").alias("fingerprint"))
 
 
 def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -142,15 +151,16 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Returns ``(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)`` for every row.
     The next document is the next row by id, then by text; NULL ids come last, and after the last row comes the first, so
     a lone row is its own next. NULL texts count as empty. Repeated rows keep their rows; an empty table gives an empty
-    table; other columns are ignored. The id is numeric.
+    table; other columns are ignored. The id is numeric. Texts without terms of the lexicon are alike; so may be the texts of
+    a corpus of few rows, whose lexicon is empty if no two of them share terms.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    bitmap = lexicon(rows)
-    rows = rows.withColumn("slots", slots(F.col("text"), bitmap)).withColumn("tie", F.md5("text"))
-    rows = with_next(rows, "id", "tie", ["text", "slots"], "next")
+    terms = lexicon(rows)
+    rows = rows.withColumn("tie", F.md5("text"))
+    rows = with_next(rows, "id", "tie", {"slots": slots(F.col("text"), terms)}, ["text", "slots"], "next")
     rows = rows.withColumn("edited", edited(F.col("text"), F.col("next")["text"]))
     rows = rows.select("id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                       "slots", slots(F.col("edited"), bitmap).alias("edited_slots"), F.col("next")["slots"].alias("next_slots"))
+                       "slots", slots(F.col("edited"), terms).alias("edited_slots"), F.col("next")["slots"].alias("next_slots"))
     return rows.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", F.array_join("slots", ".").alias("fingerprint"),
                        F.array_join("edited_slots", ".").alias("edited_fingerprint"),
                        likeness(F.col("slots"), F.col("edited_slots")).alias("near_edited"),

@@ -5,6 +5,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -337,12 +338,37 @@ def test_mix_repeats_rows(spark, documents):
 
 # ---------------------------------------------------------------- 7 I-Match
 
-def brute_slots(text, bitmap):
-    terms = {t for t in re.split(r"[\s!-/:-@\[-`{-~]+", (text or "").lower()) if t}
-    signed = [x - (1 << 64) if x >> 63 else x for x in (xxhash.xxh64_intdigest(t.encode(), 42) for t in terms)]
-    kept = {b for b in (x % (1 << imatch.BUCKET_BITS) for x in signed) if bitmap[b // 64] >> (b % 64) & 1}
-    codes = sorted(kept)
-    return codes
+def signed_hash(data, seed=42):
+    x = xxhash.xxh64_intdigest(data, seed)
+    return x - (1 << 64) if x >> 63 else x
+
+
+def term_set(text):
+    return {signed_hash(t.encode()) for t in re.split(r"[\s!-/:-@\[-`{-~]+", (text or "").lower()) if t}
+
+
+def chained_hash(codes):
+    """Spark's hash of an array of numbers: each one's hash is the seed of the next."""
+    h = 42
+    for c in codes:
+        h = xxhash.xxh64_intdigest(c.to_bytes(8, "little", signed=True), h)
+    return f"{h:016x}"
+
+
+def brute_slots(text, lexicon):
+    codes = sorted(term_set(text) & lexicon)
+    subsets = [codes]
+    for part in range(imatch.PARTS):
+        kept = [c for c in codes if c & (imatch.PARTS - 1) == part]
+        for rate in range(imatch.RATES):
+            subsets.append([c for c in kept if all((c >> (3 + 2 * r)) & 3 == 0 for r in range(rate))])
+    return [f"{min(15, len(s)):x}{chained_hash(s)[:8]}" if s else "-" for s in subsets]
+
+
+def brute_lexicon(texts):
+    counts = Counter(h for t in texts for h in term_set(t))
+    low, high = math.floor(len(texts) ** (1 - imatch.BAND[1])), math.ceil(len(texts) ** (1 - imatch.BAND[0]))
+    return {h for h, c in counts.items() if low <= c <= high}, counts
 
 
 def test_imatch_contract_on_the_small_table(spark, rows):
@@ -363,35 +389,55 @@ def test_imatch_contract_on_the_small_table(spark, rows):
     assert sum(a > b for a, b in zip(near, far)) / len(near) > 0.9
 
 
-def test_imatch_lexicon_and_likeness(spark, documents, rows):
-    bitmap = imatch.lexicon(documents)
-    got = documents.select("doc_id", imatch.slots(F.col("text"), bitmap).alias("s")).collect()
-    width = 1 + imatch.PARTS * imatch.RATES
-    counts = {}
-    for r in rows:
-        for b in {x for x in _buckets(r["text"])}:
-            counts[b] = counts.get(b, 0) + 1
-    n = len(rows)
-    low, high = (n ** (1 - share) for share in (imatch.BAND[1], imatch.BAND[0]))
-    lexicon = {b for b, c in counts.items() if math.floor(low) <= c <= max(1.0, high)}
-    assert lexicon == {64 * w + i for w, v in enumerate(bitmap) for i in range(64) if v >> i & 1}
-    text = {r["doc_id"]: r["text"] for r in rows}
-    for r in got[:40]:
-        kept = len(lexicon & _buckets(text[r["doc_id"]]))
-        assert len(r["s"]) == width
-        assert r["s"][0] == "-" if kept == 0 else int(r["s"][0][0], 16) == min(15, kept)
+def test_imatch_fingerprints_equal_brute_force(spark, documents, rows):
+    texts = [r["text"] for r in rows]
+    lexicon, counts = brute_lexicon(texts)
+    terms = imatch.lexicon(documents)
+    assert terms == sorted(lexicon)
+    low, high = imatch.frequency_band(len(texts))
+    assert low >= 2 and any(c < low for c in counts.values()) and any(c > high for c in counts.values())  # both ends bite
+    got = {r["doc_id"]: r["fingerprint"] for r in imatch.fingerprints(documents, terms).collect()}
+    assert got == {r["doc_id"]: ".".join(brute_slots(r["text"], lexicon)) for r in rows}
+
+
+def test_imatch_query_equals_brute_force(spark, rows):
+    out = {r["doc_id"]: r for r in queries.op7_imatch(spark, SF_SMALL).collect()}
+    texts = [r["text"] for r in rows]
+    lexicon, _ = brute_lexicon(texts)
+
+    def likeness(a, b):
+        if a == b:
+            return 1.0
+        size = [max(0 if x == "-" else int(x[0], 16) for x in pair) for pair in zip(a, b)]
+        total = sum(1 / n ** 2 for n in size if n)
+        return sum(1 / n ** 2 for n, x, y in zip(size, a, b) if n and x == y) / total if total else 1.0
+
+    for n, r in enumerate(rows):
+        text, after = r["text"], texts[(n + 1) % len(texts)]
+        q = len(text) // 4
+        own, edit, other = (brute_slots(t, lexicon) for t in (text, text[:len(text) - q] + after[:q], after))
+        got = out[r["doc_id"]]
+        assert (got["fingerprint"], got["edited_fingerprint"]) == (".".join(own), ".".join(edit))
+        assert got["near_edited"] == pytest.approx(likeness(own, edit)) and got["near_next"] == pytest.approx(likeness(own, other))
+
+
+def test_imatch_next_row_without_ids(spark):
+    """NULL ids come last, by the digest of their text, and are dealt to several ranges."""
+    texts = [f"w{i} common" for i in range(60)]
+    docs = spark.createDataFrame([(None if i >= 5 else i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    last = sorted(texts[5:], key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    ring = texts[:5] + last
+    want = sorted(hashlib.sha256((t[:len(t) - len(t) // 4] + ring[(n + 1) % 60][:len(t) // 4]).encode()).hexdigest() for n, t in enumerate(ring))
+    assert sorted(r["edited_sha256"] for r in imatch.compare_with_edits(docs).collect()) == want
+
+
+def test_imatch_likeness(spark):
     a, b = F.array(F.lit("1aa"), F.lit("2bb"), F.lit("-")), F.array(F.lit("1aa"), F.lit("2cc"), F.lit("-"))
     r = spark.range(1).select(imatch.likeness(a, a).alias("x"), imatch.likeness(a, b).alias("y"),
                               imatch.likeness(F.array(F.lit("-")), F.array(F.lit("-"))).alias("z")).first()
     assert (r["x"], r["z"]) == (1.0, 1.0) and r["y"] == pytest.approx(1 / 1.25)
 
 
-def _buckets(text):
-    terms = {t for t in re.split(r"[\s!-/:-@\[-`{-~]+", text.lower()) if t}
-    signed = (xxhash.xxh64_intdigest(t.encode(), 42) for t in terms)
-    return {(x - (1 << 64) if x >> 63 else x) % (1 << imatch.BUCKET_BITS) for x in signed}
-
-
 # ---------------------------------------------------------------- 8 surrogates
 
 PERSONAL = [
