@@ -6,20 +6,22 @@ the embeddings starts at the lower confidence bound of the word's log-odds in th
 too seldom to tell), the rest at small random numbers; all weights are then trained by Adam, the gradient passing
 only through the pooled positions.
 
-The sample is bounded: ``sample_per_class`` rows are expected of either label. A quarter of all labelled rows is never
-trained on. These and all labelled rows outside the sample are scored and counted by language (told from the text
-itself), probability and label, and the counts set one threshold for each language. As rows of the rarer label
-are trained on more often, counts are weighted to the label shares of all labelled rows. A text's score is its
-probability p raised to the power that moves its language's threshold to 0.7.
+The sample is bounded: ``sample_per_class`` rows are expected of either label. Besides the network of the whole sample, one is trained
+for each of ``FOLDS`` folds without the sample's rows of that fold, all of them in tasks of their own. Every labelled row of the
+corpus, in the sample or not, is scored once by the network of its fold, which has not seen it, and is counted by language (told
+from the text itself), log-odds and label. So the counts have the true label shares, and set a threshold for each language. A
+language's counts are joined by the corpus's distribution, weighing as much as ``PRIOR_POSITIVES`` toxic rows: the fewer a language has, the
+nearer is its threshold to the common one. A text's score is the logistic of its log-odds, moved so that its language's threshold comes to 0.7.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabqual.llm import language, tokens
@@ -32,9 +34,12 @@ FILTERS = 8
 EPOCHS = 4
 SAMPLE_PER_CLASS = 1200
 CUT = 0.7
-LEAST_POSITIVES = 15
-#: Probabilities are counted in so many bins of one width.
-SCORE_BINS = 2000
+AT_CUT = float(np.log(CUT / (1 - CUT)))
+FOLDS = 3
+#: What the whole corpus weighs in the threshold of a language, in toxic rows.
+PRIOR_POSITIVES = 10
+#: Log-odds from -SPAN to SPAN are counted in so many bins of one width.
+SPAN, SCORE_BINS = 30.0, 2000
 
 
 def word_ids(texts) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -74,8 +79,17 @@ class TextCNN:
             out[full, w * FILTERS:(w + 1) * FILTERS] = np.maximum(np.maximum.reduceat(z, at[full], axis=0), 0)
         return out
 
+    def log_odds(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return np.clip(self.pooled(ids, at) @ self.out + self.bias, -SPAN, SPAN)
+
     def predict(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return _sigmoid(self.pooled(ids, at) @ self.out + self.bias)
+        return _sigmoid(self.log_odds(ids, at))
+
+    def of_texts(self, texts) -> np.ndarray:
+        out = np.zeros(len(texts))
+        for first, ids, at in word_ids(texts):
+            out[first:first + len(at) - 1] = self.log_odds(ids, at)
+        return out
 
     def fit(self, docs: list[np.ndarray], label: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> None:
         counts = np.full((2, 1 << BITS), 0.5)
@@ -139,97 +153,113 @@ class TextCNN:
 
 
 class ToxicityModel:
-    """The network, the thresholds by language, and the machine that tells the language from the text."""
+    """The network, the thresholds by language (log-odds), and the machine that tells the language from the text."""
 
     def __init__(self, cnn: TextCNN, thresholds: dict[str, float], default: float, languages: language.LanguageModel | None):
         self.cnn, self.thresholds, self.default, self.languages = cnn, thresholds, default, languages
 
-    def probabilities(self, texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-        p = np.zeros(len(texts))
-        for first, ids, at in word_ids(texts):
-            p[first:first + len(at) - 1] = self.cnn.predict(ids, at)
-        return p, language.predict_texts(self.languages, texts)[0]
-
     def score(self, texts: pd.Series) -> np.ndarray:
-        p, langs = self.probabilities(texts)
+        langs = language.predict_texts(self.languages, texts)[0]
         cut = np.array([self.thresholds.get(v, self.default) for v in langs])
-        return np.clip(p, 1e-9, 1.0) ** (np.log(CUT) / np.log(cut))
+        return _sigmoid(self.cnn.of_texts(texts) - cut + AT_CUT)
 
 
-def best_threshold(p: np.ndarray, toxic: np.ndarray, other: np.ndarray) -> float:
-    """Midpoint of two neighbouring probabilities with the best F1, kept within 0.05 and 0.95; ``p`` are distinct."""
-    order = np.argsort(-p, kind="stable")
-    p, toxic, other = p[order], toxic[order], other[order]
+def best_threshold(z: np.ndarray, toxic: np.ndarray, other: np.ndarray) -> float:
+    """Midpoint of two neighbouring log-odds with the best F1, or half a bin below the least; ``z`` are distinct."""
+    order = np.argsort(-z, kind="stable")
+    z, toxic, other = z[order], toxic[order], other[order]
     f1 = 2 * np.cumsum(toxic) / (np.cumsum(toxic + other) + toxic.sum())
     i = int(f1.argmax())
-    return float(np.clip((p[i] + (p[i + 1] if i + 1 < len(p) else 0.0)) / 2, 0.05, 0.95))
+    return float((z[i] + z[i + 1]) / 2 if i + 1 < len(z) else z[i] - SPAN / SCORE_BINS)
 
 
-def set_thresholds(model: ToxicityModel, counts: pd.DataFrame, trained: list[float]) -> None:
-    """From ``counts (lang, bin, y, n)`` of rows not trained on; of the rows of label y, the share ``trained[y]`` was."""
+def set_thresholds(model: ToxicityModel, counts: pd.DataFrame, prior: float = PRIOR_POSITIVES) -> None:
+    """From ``counts (lang, bin, y, n)`` of labelled rows, each scored by a network that has not seen it.
 
-    def cut(own: pd.DataFrame) -> float:
-        table = own.pivot_table(index="bin", columns="y", values="n", aggfunc="sum", fill_value=0).reindex(columns=[0, 1], fill_value=0)
-        p = (table.index.to_numpy() + 0.5) / SCORE_BINS
-        return best_threshold(p, table[1].to_numpy() / (1 - trained[1]), table[0].to_numpy() / (1 - trained[0]))
-
-    if not (counts["y"] == 1).any():
+    Without toxic rows the thresholds stay as they are.
+    """
+    table = counts.pivot_table(index="bin", columns=["lang", "y"], values="n", aggfunc="sum", fill_value=0).sort_index()
+    z = (table.index.to_numpy() + 0.5) * (2 * SPAN / SCORE_BINS) - SPAN
+    by_label = {y: table.xs(y, axis=1, level="y") if y in table.columns.get_level_values("y") else None for y in (0, 1)}
+    if by_label[1] is None:
         return
-    model.default = cut(counts)
-    for lang, own in counts.groupby("lang"):
-        if own.loc[own["y"] == 1, "n"].sum() >= LEAST_POSITIVES:
-            model.thresholds[lang] = cut(own)
+    everywhere = {y: np.zeros(len(z)) if t is None else t.sum(axis=1).to_numpy() for y, t in by_label.items()}
+    model.default = best_threshold(z, everywhere[1], everywhere[0])
+    weight = prior / everywhere[1].sum()
+    for lang in sorted(set(counts["lang"])):
+        own = {y: t[lang].to_numpy() if t is not None and lang in t.columns else 0.0 for y, t in by_label.items()}
+        model.thresholds[lang] = best_threshold(z, own[1] + weight * everywhere[1], own[0] + weight * everywhere[0])
+
+
+def _fold(ids: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit("fold"), ids.cast("string")), F.lit(FOLDS)).cast("int")
+
+
+def _networks(sample: DataFrame) -> dict[int, TextCNN]:
+    """Networks of the rows ``(text, y, h, fold)`` outside each fold, and of all rows (``FOLDS``); each is trained in a task."""
+
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for first, ids, at in word_ids(b["text"]):
+                own = b.iloc[first:first + len(at) - 1]
+                yield pd.DataFrame({c: own[c].to_numpy() for c in ("y", "h", "fold")}
+                                   | {"ids": [ids[x:y].tobytes() for x, y in zip(at[:-1], at[1:])]})
+
+    def train(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.assign(n=pdf["ids"].map(len)).sort_values(["h", "n", "ids"], kind="stable")  # the same order whatever the partitions
+        net = TextCNN()
+        if pdf["y"].nunique() == 2:
+            net.fit([np.frombuffer(v, np.int32) for v in pdf["ids"]], pdf["y"].to_numpy(float))
+        return pd.DataFrame({"net": pdf["net"].iloc[:1].to_numpy(), "fitted": [pickle.dumps(net)]})
+
+    rows = map_pandas(sample, hashed, "y int, h bigint, fold int, ids binary")
+    rows = rows.withColumn("net", F.explode(F.sequence(F.lit(0), F.lit(FOLDS)))).filter("net != fold")
+    fitted = rows.groupBy("net").applyInPandas(train, "net int, fitted binary").toPandas()
+    nets = {int(k): pickle.loads(v) for k, v in zip(fitted["net"], fitted["fitted"])}
+    return {k: nets[k] if k in nets else TextCNN() for k in range(FOLDS + 1)}
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           languages: language.LanguageModel | None = None, sample_per_class: int = SAMPLE_PER_CLASS) -> ToxicityModel:
     """Train from ``labels (id, label)`` of 0 or 1 and the texts of ``docs`` with these ids.
 
-    A hash of the id decides which labels are in the sample. Its size is bounded, so the texts are picked by a broadcast of
-    the sample; for the thresholds, the probabilities of all texts are joined to the labels. So no text is shuffled. Rows with
-    a NULL id, text or label are not used; with no row of one label, the network stays as it starts and scores low.
+    A hash of the id decides which labels are in the sample, and another one their fold. The sample's size is bounded, so the texts are
+    picked by a broadcast of it; for the thresholds, the log-odds of all texts are joined to the labels. So no text outside the
+    sample is shuffled. Rows with a NULL id, text or label are not used; repeated ones count each time. With no row of one label, the
+    network stays as it starts and scores low.
     """
-    known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("y"), F.xxhash64(id_col).alias("h"),
-                          (F.pmod(F.xxhash64(F.lit("thresholds"), id_col), F.lit(4)) == 3).alias("held"))
-    known = known.filter("y in (0, 1) and label_id is not null")
+    known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("y"), F.xxhash64(id_col).alias("h"))
+    known = known.filter("y in (0, 1) and label_id is not null").distinct()
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     shares = [min(1.0, sample_per_class / max(1, counts.get(y, 0))) for y in (0, 1)]
     chance = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
-    known = known.withColumn("trained", ~F.col("held") & (chance < F.when(F.col("y") == 1, shares[1]).otherwise(shares[0])))
-    picked = known.filter("trained").distinct()
+    picked = known.filter(chance < F.when(F.col("y") == 1, shares[1]).otherwise(shares[0]))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null")
-    sample = texts.join(F.broadcast(picked), F.col("id") == F.col("label_id")).select("text", "y", "h")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for first, ids, at in word_ids(b["text"]):
-                n = len(at) - 1
-                yield pd.DataFrame({"y": b["y"].iloc[first:first + n].to_numpy(), "h": b["h"].iloc[first:first + n].to_numpy(),
-                                    "ids": [ids[at[i]:at[i + 1]].tobytes() for i in range(n)]})
-
-    got = map_pandas(sample, run, "y int, h bigint, ids binary").toPandas()
-    model = ToxicityModel(TextCNN(), {}, CUT, languages)
-    if got["y"].nunique() < 2:
-        return model
-    got = got.assign(n=got["ids"].map(len)).sort_values(["h", "n"], kind="stable")
-    model.cnn.fit([np.frombuffer(v, np.int32) for v in got["ids"]], got["y"].to_numpy(float))
-    rest = known.filter("not trained").select("label_id", "y").distinct()
-    counts = bins(texts, model).join(rest, F.col("id") == F.col("label_id")).groupBy("lang", "bin", "y").agg(F.count("*").alias("n"))
-    set_thresholds(model, counts.toPandas(), [0.75 * s for s in shares])
+    sample = texts.join(F.broadcast(picked), F.col("id") == F.col("label_id"))
+    nets = _networks(sample.select("text", "y", "h", _fold(F.col("id")).alias("fold")))
+    model = ToxicityModel(nets.pop(FOLDS), {}, AT_CUT, languages)
+    if len(counts) == 2:
+        scored = bins(texts, nets, languages).join(known, F.col("id") == F.col("label_id"))
+        set_thresholds(model, scored.groupBy("lang", "bin", "y").agg(F.count("*").alias("n")).toPandas())
     return model
 
 
-def bins(texts: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``(id, lang, bin)`` of ``texts (id, text)``: language and binned probability, without thresholds."""
+def bins(texts: DataFrame, nets: dict[int, TextCNN], languages: language.LanguageModel | None) -> DataFrame:
+    """``(id, lang, bin)`` of ``texts (id, text)``: language and binned log-odds, by the network of the id's fold."""
     kind = texts.schema["id"].dataType.simpleString()
-    shared = texts.sparkSession.sparkContext.broadcast(model)
+    shared = texts.sparkSession.sparkContext.broadcast((nets, languages))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, tongues = shared.value
         for b in batches:
-            p, langs = shared.value.probabilities(b["text"])
-            yield pd.DataFrame({"id": b["id"], "lang": langs, "bin": np.minimum(p * SCORE_BINS, SCORE_BINS - 1).astype(np.int32)})
-
-    return map_pandas(texts, run, f"id {kind}, lang string, bin int")
+            z, fold = np.zeros(len(b)), b["fold"].to_numpy()
+            for f, net in own.items():
+                z[fold == f] = net.of_texts(b["text"][fold == f].reset_index(drop=True))
+            yield pd.DataFrame({"id": b["id"], "lang": language.predict_texts(tongues, b["text"])[0],
+                                "bin": np.minimum((z + SPAN) / (2 * SPAN) * SCORE_BINS, SCORE_BINS - 1).astype(np.int32)})
+
+    rows = texts.filter("id is not null").select("id", "text", _fold(F.col("id")).alias("fold"))
+    return map_pandas(rows, run, f"id {kind}, lang string, bin int")
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
