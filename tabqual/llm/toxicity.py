@@ -55,8 +55,10 @@ def _sigmoid(z):
 
 class TextCNN:
     def __init__(self, seed: int = 7):
+        self.seed = seed
         rng = np.random.default_rng(seed)
         self.table = rng.normal(0, 0.01, (1 << BITS, DIM)).astype(np.float32)
+        self.table[:, 0] = 0
         self.kernels = [rng.normal(0, 0.3, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS]
         for k in self.kernels:
             k[:, 0, 0] = 1.0 / len(k)  # one filter of each width starts as the mean log-odds
@@ -64,6 +66,17 @@ class TextCNN:
         self.out = np.full(len(WIDTHS) * FILTERS, 0.1, np.float32)
         self.bias = np.float32(-1.0)
 
+    def __getstate__(self) -> dict:
+        """Of the table only the rows that training has changed; the others are drawn again from the seed."""
+        fresh = TextCNN(self.seed).table
+        rows = np.flatnonzero((self.table != fresh).any(axis=1))
+        return self.__dict__ | {"table": None, "rows": rows.astype(np.int32), "values": self.table[rows]}
+
+    def __setstate__(self, state: dict) -> None:
+        rows, values = state.pop("rows"), state.pop("values")
+        self.__dict__.update(state, table=TextCNN(state["seed"]).table)
+        self.table[rows] = values
+
     def pooled(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Largest non-negative response of every filter in every document; 0 where a text is shorter than the filter."""
         n, docs = len(ids), len(at) - 1
@@ -195,8 +208,8 @@ def _fold(ids: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit("fold"), ids.cast("string")), F.lit(FOLDS)).cast("int")
 
 
-def _networks(sample: DataFrame) -> dict[int, TextCNN]:
-    """Networks of the rows ``(text, y, h, fold)`` outside each fold, and of all rows (``FOLDS``); each is trained in a task."""
+def _networks(sample: DataFrame) -> dict[int, bytes]:
+    """Pickled networks of the rows ``(text, y, h, fold)`` outside each fold, and of all rows (``FOLDS``); each is trained in a task."""
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -215,8 +228,8 @@ def _networks(sample: DataFrame) -> dict[int, TextCNN]:
     rows = map_pandas(sample, hashed, "y int, h bigint, fold int, ids binary")
     rows = rows.withColumn("net", F.explode(F.sequence(F.lit(0), F.lit(FOLDS)))).filter("net != fold")
     fitted = rows.groupBy("net").applyInPandas(train, "net int, fitted binary").toPandas()
-    nets = {int(k): pickle.loads(v) for k, v in zip(fitted["net"], fitted["fitted"])}
-    return {k: nets[k] if k in nets else TextCNN() for k in range(FOLDS + 1)}
+    nets = {int(k): v for k, v in zip(fitted["net"], fitted["fitted"])}
+    return {k: nets[k] if k in nets else pickle.dumps(TextCNN()) for k in range(FOLDS + 1)}
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -237,20 +250,21 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null")
     sample = texts.join(F.broadcast(picked), F.col("id") == F.col("label_id"))
     nets = _networks(sample.select("text", "y", "h", _fold(F.col("id")).alias("fold")))
-    model = ToxicityModel(nets.pop(FOLDS), {}, AT_CUT, languages)
+    model = ToxicityModel(pickle.loads(nets.pop(FOLDS)), {}, AT_CUT, languages)
     if len(counts) == 2:
         scored = bins(texts, nets, languages).join(known, F.col("id") == F.col("label_id"))
         set_thresholds(model, scored.groupBy("lang", "bin", "y").agg(F.count("*").alias("n")).toPandas())
     return model
 
 
-def bins(texts: DataFrame, nets: dict[int, TextCNN], languages: language.LanguageModel | None) -> DataFrame:
+def bins(texts: DataFrame, nets: dict[int, bytes], languages: language.LanguageModel | None) -> DataFrame:
     """``(id, lang, bin)`` of ``texts (id, text)``: language and binned log-odds, by the network of the id's fold."""
     kind = texts.schema["id"].dataType.simpleString()
     shared = texts.sparkSession.sparkContext.broadcast((nets, languages))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, tongues = shared.value
+        packed, tongues = shared.value
+        own = {f: pickle.loads(v) for f, v in packed.items()}
         for b in batches:
             z, fold = np.zeros(len(b)), b["fold"].to_numpy()
             for f, net in own.items():

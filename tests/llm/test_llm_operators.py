@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pickle
 import random
 import re
 import zlib
@@ -599,7 +600,7 @@ def test_rows_are_scored_by_networks_that_have_not_seen_them(spark):
     rows = [(i, f"word{i}x " * 3 + ("bad" if i % 2 else "good"), i % 2) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
     sample = docs.select("text", F.col("toxic").alias("y"), F.xxhash64("doc_id").alias("h"), toxicity._fold(F.col("doc_id")).alias("fold"))
-    nets = toxicity._networks(sample)
+    nets = {k: pickle.loads(v) for k, v in toxicity._networks(sample).items()}
     assert sorted(nets) == list(range(toxicity.FOLDS + 1))
     fresh, trained = toxicity.TextCNN().table, 0
     for r in sample.collect():
@@ -661,6 +662,15 @@ def test_gradients_of_the_network_are_right():
         assert (up - down) / (2 * step) == pytest.approx(float(g[at]), rel=0.1, abs=1e-3)
 
 
+def test_a_network_survives_pickling():
+    net = toxicity.TextCNN(seed=3)
+    net.fit([np.array([1, 2, 3], np.int32), np.array([4, 5], np.int32)], np.array([1.0, 0.0]))
+    data = pickle.dumps(net)
+    back = pickle.loads(data)
+    assert len(data) < 100_000 and np.array_equal(back.table, net.table) and back.bias == net.bias
+    assert all(np.array_equal(x, y) for x, y in zip([*back.kernels, *back.shift, back.out], [*net.kernels, *net.shift, net.out]))
+
+
 def test_short_texts_and_pooling():
     net = toxicity.TextCNN()
     at = np.array([0, 0, 1, 3, 3])
