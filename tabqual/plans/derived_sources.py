@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabqual.session import shared_path
+from tabqual.sources import files
 
 # Rows per written collection, and the id rule that marks a
 # JSON line to be damaged (its closing brace removed).
@@ -99,12 +100,21 @@ def write_damaged_json_lines(spark: SparkSession, events: DataFrame) -> str:
     return path
 
 
-def write_one_document(spark: SparkSession, rows: DataFrame, key: str, item: F.Column, head: str, tail: str, name: str) -> str:
-    """One file of one JSON document: ``head``, the item of every row in the order of ``key`` over many lines, ``tail``."""
+def write_one_document(spark: SparkSession, rows: DataFrame, key: str, item: F.Column, head: str, tail: str, name: str,
+                       part_bytes: int = files.PART_BYTES) -> str:
+    """One file of one JSON document: ``head``, the item of every row in the order of ``key`` over many lines, ``tail``.
+
+    Many tasks write the file, each its own part. In stores that cannot write at a place in a file, one task writes it all.
+    """
     path = shared_path(spark, name)
+    text = F.concat(F.lit("\n  "), F.regexp_replace(F.to_json(item), r":\{", ":\n  {"))
+    if files.writes_anywhere(path):
+        lines = rows.select(F.col(key).alias("at"), F.concat(F.lit(","), text, F.lit("\n")).alias("value"))
+        files.write_in_order(lines, f"{path}/part-00000.txt", f"{head}\n".encode(), f"{tail}\n".encode(), len(b","), part_bytes)
+        return path
     first = rows.agg(F.min(key)).first()[0]
-    text = F.concat(F.when(F.col(key) == F.lit(first), "").otherwise(","), F.lit("\n  "), F.regexp_replace(F.to_json(item), r":\{", ":\n  {"))
-    body = rows.select(F.lit(1).alias("part"), F.col(key).alias("at"), text.alias("value"))
+    comma = F.when(F.col(key) == F.lit(first), "").otherwise(",")
+    body = rows.select(F.lit(1).alias("part"), F.col(key).alias("at"), F.concat(comma, text).alias("value"))
     ends = spark.range(2).select((F.col("id") * 2).cast("int").alias("part"), F.lit(0).cast("bigint").alias("at"),
                                  F.when(F.col("id") == 0, head).otherwise(tail).alias("value"))
     body.unionByName(ends).coalesce(1).sortWithinPartitions("part", "at").select("value").write.text(path)

@@ -171,7 +171,7 @@ def document_records(spark: SparkSession, path: str, wrapper: str, range_bytes:
 def _lines(spark: SparkSession, path: str, wrapper: str, **bounds) -> tuple[DataFrame | None, str | None]:
     """The parsed records of arrays (None without any), and the folder of documents that are records themselves."""
     out = shared_path(spark, "json-records")
-    document_records(spark, path, wrapper, **bounds).write.partitionBy("whole").text(out)
+    document_records(spark, path, wrapper, **bounds).write.partitionBy("whole").option("compression", "gzip").text(out)
     kinds = {r["kind"] for r in list_files(spark, out, 1).selectExpr("regexp_extract(path, 'whole=(true|false)', 1) AS kind").distinct().collect()}
     parsed = rd._strict_json(spark, f"{out}/whole=false", False) if "false" in kinds else None
     return parsed, f"{out}/whole=true" if "true" in kinds else None

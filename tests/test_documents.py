@@ -5,7 +5,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from tabqual.plans import derived_sources as ds
 from tabqual.sources import files as fl
 from tabqual.sources import readers as rd
 from tabqual.sources import sniff as sn
@@ -133,3 +135,25 @@ def test_one_document_is_read_by_several_tasks(spark, tmp_path):
     from pyspark.sql import functions as F
     tasks = records.select(F.spark_partition_id().alias("p")).distinct().count()
     assert tasks > 1 and records.count() == 3000
+
+
+def test_one_document_is_written_by_several_tasks(spark):
+    rows = [(i // 2 if i % 10 else None, random.Random(i).choice(ODD) * (i % 50)) for i in range(400)] + [(7, "twice")] * 5
+    df = spark.createDataFrame(rows, "id long, s string").coalesce(1)
+    spark.sparkContext.setJobGroup("test-document", "")
+    path = ds.write_one_document(spark, df, "id", F.struct("id", "s"), '{"results": [', "]}", "test-document", part_bytes=2000)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    (file, length), = fl.list_files(spark, path, 1).collect()
+    own = [(r.get("id", -1), r["s"]) for r in json.loads(fl.read_bytes(file, 0, length))["results"]]
+    want = [(-1 if k is None else k, s) for k, s in rows]
+    assert [k for k, _ in own] == sorted(k for k, _ in want) and sorted(own) == sorted(want)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("test-document")]
+    assert max(tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds) >= length // 2000 - 1 > 8
+
+
+@pytest.mark.parametrize("n", [0, 1])
+def test_a_document_of_few_rows_is_whole(spark, n):
+    path = ds.write_one_document(spark, spark.range(n), "id", F.struct("id"), "[", "]", "test-small")
+    (file, length), = fl.list_files(spark, path, 1).collect()
+    assert json.loads(fl.read_bytes(file, 0, length)) == [{"id": i} for i in range(n)]
